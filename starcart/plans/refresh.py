@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starcart.functions.lazy import LazyTables
 from starcart.operators import star as tables
 from starcart.schemas import STAR_TABLES
 
@@ -25,21 +27,28 @@ def build_star(
     date_start: str = tables.CALENDAR_START,
     date_end: str = tables.CALENDAR_END,
     separator: str = "",
-) -> dict[str, DataFrame]:
+) -> Mapping[str, DataFrame]:
     """All eight tables, as plans; nothing runs until one of them is used."""
-    customers, orders = sources["customers"], sources["orders"]
-    return {
-        "location_dim": tables.location_dim(customers, separator),
-        "customers_dim": tables.customers_dim(customers, separator),
-        "orders_dim": tables.orders_dim(orders, customers, separator),
-        "payments_dim": tables.payments_dim(sources["payments"]),
-        "products_dim": tables.products_dim(sources["products"]),
-        "category_dim": tables.category_dim(sources["product_category_name"]),
-        "date_dim": tables.date_dim(spark, date_start, date_end),
-        "order_items_fact": tables.order_items_fact(
-            sources["order_items"], tables.order_locations(orders, customers, separator)
-        ),
-    }
+
+    def located_orders() -> DataFrame:
+        return tables.order_locations(sources["orders"], sources["customers"], separator)
+
+    return LazyTables(
+        {
+            "location_dim": lambda: tables.location_dim(sources["customers"], separator),
+            "customers_dim": lambda: tables.customers_dim(sources["customers"], separator),
+            "orders_dim": lambda: tables.orders_dim(
+                sources["orders"], sources["customers"], separator
+            ),
+            "payments_dim": lambda: tables.payments_dim(sources["payments"]),
+            "products_dim": lambda: tables.products_dim(sources["products"]),
+            "category_dim": lambda: tables.category_dim(sources["product_category_name"]),
+            "date_dim": lambda: tables.date_dim(spark, date_start, date_end),
+            "order_items_fact": lambda: tables.order_items_fact(
+                sources["order_items"], located_orders()
+            ),
+        }
+    )
 
 
 def write_star(star: Mapping[str, DataFrame], store: Store) -> None:
@@ -48,9 +57,9 @@ def write_star(star: Mapping[str, DataFrame], store: Store) -> None:
         store.write(df, name)
 
 
-def read_star(spark: SparkSession, store: Store) -> dict[str, DataFrame]:
+def read_star(spark: SparkSession, store: Store) -> Mapping[str, DataFrame]:
     """All eight tables of the store, typed."""
-    return {name: store.read(spark, name) for name in STAR_TABLES}
+    return LazyTables({name: partial(store.read, spark, name) for name in STAR_TABLES})
 
 
 def refresh_star(
@@ -60,7 +69,7 @@ def refresh_star(
     date_start: str = tables.CALENDAR_START,
     date_end: str = tables.CALENDAR_END,
     separator: str = "",
-) -> dict[str, DataFrame]:
+) -> Mapping[str, DataFrame]:
     """Build, write and re-read the star.
 
     Where the store gives back exactly what it got, the fact takes the place of
@@ -68,11 +77,12 @@ def refresh_star(
     orders are read and joined a second time.
     """
     star = build_star(spark, sources, date_start, date_end, separator)
-    fact = star.pop("order_items_fact")
-    write_star(star, store)
+    write_star({name: star[name] for name in star if name != "order_items_fact"}, store)
     if store.exact:
         locations = store.read(spark, "orders_dim").select("order_id", "location_id").distinct()
         fact = tables.order_items_fact(sources["order_items"], locations)
+    else:
+        fact = star["order_items_fact"]
     store.write(fact, "order_items_fact")
     return read_star(spark, store)
 

@@ -38,6 +38,7 @@ def sized_settings(input_bytes: int, cores: int) -> dict[str, str]:
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(per_task),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_SHUFFLE_PARTITION_BYTES),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starcart.functions.lazy import LazyTables
 from starcart.functions.parsing import typed
 from starcart.schemas import SOURCE_TABLES
 
@@ -25,25 +27,29 @@ def read_raw(
     fmt: str = "csv",
     paths: Mapping[str, str] | None = None,
     **options: str,
-) -> dict[str, DataFrame]:
+) -> Mapping[str, DataFrame]:
     """The six tables as stored: ``{root}/{table}.{fmt}`` unless ``paths`` says otherwise.
 
     Any path Spark can read will do, ``s3a://`` included.
     """
-    tables = {}
-    for name in SOURCE_TABLES:
+
+    def scan(name: str) -> DataFrame:
         path = (paths or {}).get(name, f"{root.rstrip('/')}/{name}.{fmt}")
         if fmt == "csv":
-            tables[name] = read_csv(spark, path, **options)
-        else:
-            tables[name] = spark.read.format(fmt).options(**options).load(path)
-    return tables
+            return read_csv(spark, path, **options)
+        return spark.read.format(fmt).options(**options).load(path)
+
+    return LazyTables({name: partial(scan, name) for name in SOURCE_TABLES})
 
 
-def typed_sources(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def typed_sources(raw: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     """Raw tables with their declared columns and types; bad cells become null
     and are counted by ``sources.profile.source_profile``."""
-    return {name: typed(raw[name], columns) for name, columns in SOURCE_TABLES.items()}
+
+    def load(name: str) -> DataFrame:
+        return typed(raw[name], SOURCE_TABLES[name])
+
+    return LazyTables({name: partial(load, name) for name in SOURCE_TABLES})
 
 
 def load_sources(
@@ -52,6 +58,6 @@ def load_sources(
     fmt: str = "csv",
     paths: Mapping[str, str] | None = None,
     **options: str,
-) -> dict[str, DataFrame]:
+) -> Mapping[str, DataFrame]:
     """``read_raw`` followed by ``typed_sources``."""
     return typed_sources(read_raw(spark, root, fmt, paths, **options))

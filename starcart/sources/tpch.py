@@ -6,16 +6,20 @@ to each person, so that every report has something to say about these data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starcart.functions.lazy import LazyTables
 from starcart.schemas import MONEY
 
 # Status letters of the given orders and the names used here.
 _STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
 
 
-def _text(name: str):
+def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
@@ -117,16 +121,21 @@ def _categories(part: DataFrame) -> DataFrame:
     )
 
 
-def tpch_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    orders, lineitem, part = table("orders"), table("lineitem"), table("part")
-    return {
-        "customers": _customers(table("customer"), table("nation"), table("region")),
-        "orders": _orders(orders, lineitem),
-        "order_items": _order_items(lineitem),
-        "payments": _payments(orders),
-        "products": _products(part),
-        "product_category_name": _categories(part),
-    }
+def tpch_sources(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The source tables over ``{sf_dir}/*.parquet``, each opened on first use."""
+    given = LazyTables(
+        {
+            name: partial(spark.read.parquet, f"{sf_dir}/{name}.parquet")
+            for name in ("customer", "nation", "region", "orders", "lineitem", "part")
+        }
+    )
+    return LazyTables(
+        {
+            "customers": lambda: _customers(given["customer"], given["nation"], given["region"]),
+            "orders": lambda: _orders(given["orders"], given["lineitem"]),
+            "order_items": lambda: _order_items(given["lineitem"]),
+            "payments": lambda: _payments(given["orders"]),
+            "products": lambda: _products(given["part"]),
+            "product_category_name": lambda: _categories(given["part"]),
+        }
+    )
