@@ -9,21 +9,32 @@ import uuid
 from pyspark.sql import SparkSession
 
 # What one shuffle partition and one scan task should hold.
-_SHUFFLE_PARTITION_BYTES = 256 * 1024**2
+_SHUFFLE_PARTITION_BYTES = 64 * 1024**2
 _SCAN_BYTES = 256 * 1024**2
 
 
+RUNTIME_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Switch on run-time re-planning, including the split of skewed join keys
-    where a ``distinct`` reuses the join's partitioning.
+    """Let Spark choose joins and split skewed keys from the sizes it measures.
 
     The loads partition a big table once for both its join and its ``distinct``.
-    If one key turns out to be hot, its partition is split all the same, and the
-    ``distinct`` then gets a shuffle of its own; without skew it has none.
+    If one key turns out to be hot, its partition is split all the same
+    (``forceOptimizeSkewedJoin``), and the ``distinct`` then gets a shuffle of its
+    own; without skew it has none. Where every partition of the looked-up side is
+    small, it is hashed instead of sorting the big side; otherwise the sort-merge
+    join stays.
     """
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 
@@ -38,10 +49,7 @@ def sized_settings(input_bytes: int, cores: int) -> dict[str, str]:
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(per_task),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_SHUFFLE_PARTITION_BYTES),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        **RUNTIME_SETTINGS,
     }
 
 
