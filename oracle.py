@@ -70,9 +70,9 @@ def _days(first: str, last: str) -> str:
   from (select unnest(generate_series({first}, {last}, interval 1 day)) as d)"""
 
 
-def _star(first: str = "date '2000-01-01'", last: str = "date '2030-01-01'") -> str:
-    return f"""{SOURCES},
-located as (
+def star_ctes(first: str = "date '2000-01-01'", last: str = "date '2030-01-01'") -> str:
+    """The star over the ``src_`` tables."""
+    return f"""located as (
   select *, md5(customer_city || customer_state || customer_zip_code_prefix) as location_id
   from src_customers
 ),
@@ -157,7 +157,7 @@ def _row_counts() -> str:
     parts = [
         f"select '{name}' as table_name, count(*) as row_count from {name}" for name in STAR_NAMES
     ]
-    return f"with {_star()}\n" + "\nunion all ".join(parts)
+    return f"with {SOURCES},\n{star_ctes()}\n" + "\nunion all ".join(parts)
 
 
 def _primary_keys() -> str:
@@ -181,7 +181,7 @@ def _primary_keys() -> str:
   count(*) as repeated_keys, cast(coalesce(sum(n - 1), 0) as bigint) as surplus_rows
 from (select {key}, count(*) as n from {table} where {known} group by all having count(*) > 1)"""
         )
-    return f"with {_star()}\n" + "\nunion all ".join(parts)
+    return f"with {SOURCES},\n{star_ctes()}\n" + "\nunion all ".join(parts)
 
 
 def _foreign_keys() -> str:
@@ -217,11 +217,11 @@ def _foreign_keys() -> str:
   count(distinct r) filter (where orphan) as orphan_keys
 from (select r, {orphan} as orphan from (select {expression} as r from {child}))"""
         )
-    return f"with {_star()}\n" + "\nunion all ".join(parts)
+    return f"with {SOURCES},\n{star_ctes()}\n" + "\nunion all ".join(parts)
 
 
 def _over_star(body: str, **calendar: str) -> str:
-    return f"with {_star(**calendar)}\n{body}"
+    return f"with {SOURCES},\n{star_ctes(**calendar)}\n{body}"
 
 
 _BY_MONTH = """
@@ -296,7 +296,26 @@ join (select order_id, cast(sum(payment_value) as decimal(38,4)) as payment_valu
       from payments_dim group by order_id) p on i.order_id = p.order_id
 where i.order_id in (select order_id from orders_dim)"""
 
-_WIDE = {"first": "date '1990-01-01'", "last": "date '2030-01-01'"}
+# What each report returns, over the tables of the star.
+REPORTS = {
+    "report_top_products": """select product_id, count(*) as number_of_sales from order_items_fact
+group by 1 order by 2 desc, 1 asc nulls last limit 5""",
+    "report_orders_by_month": _BY_MONTH,
+    "report_orders_by_city": """select l.location_city, count(*) as number_of_orders
+from orders_dim o left join location_dim l on o.location_id = l.location_id group by 1""",
+    "report_revenue_by_month": _revenue("f.price"),
+    "report_revenue_by_month_as_written": _revenue("try_cast(f.price as decimal(9,4))"),
+    "report_late_pct_calendar": _late(
+        "datediff('day', order_purchase_timestamp, order_delivered_customer_date) >= 1"
+    ),
+    "report_late_pct_elapsed": _late(
+        "order_delivered_customer_date > order_purchase_timestamp + interval 1 day"
+    ),
+    "report_top_categories_as_written": _CATEGORIES.format(first=_LITERAL_LOOKUP),
+    "report_top_categories_new_customers": _CATEGORIES.format(first=_FIRST_ORDERS),
+    "report_payment_control_as_written": _CONTROL_AS_WRITTEN,
+    "report_payment_control": _CONTROL,
+}
 
 
 def all_sql() -> dict[str, str]:
@@ -304,6 +323,7 @@ def all_sql() -> dict[str, str]:
         "(select least(min(cast(o_orderdate as date)), date '2000-01-01') from orders)",
         "(select greatest(max(cast(o_orderdate as date)), date '2030-01-01') from orders)",
     )
+    wide = {"first": "date '1990-01-01'", "last": "date '2030-01-01'"}
     return {
         "scan_csv": f"with {SOURCES}\nselect * from src_orders",
         "source_profile": _profile(),
@@ -315,31 +335,7 @@ def all_sql() -> dict[str, str]:
         "star_refresh": _row_counts(),
         "audit_primary_keys": _primary_keys(),
         "audit_foreign_keys": _foreign_keys(),
-        "report_top_products": _over_star(
-            """select product_id, count(*) as number_of_sales from order_items_fact
-group by 1 order by 2 desc, 1 asc nulls last limit 5"""
-        ),
-        "report_orders_by_month": _over_star(_BY_MONTH),
-        "report_orders_by_month_wide_calendar": _over_star(_BY_MONTH, **_WIDE),
-        "report_orders_by_city": _over_star(
-            """select l.location_city, count(*) as number_of_orders
-from orders_dim o left join location_dim l on o.location_id = l.location_id group by 1"""
-        ),
-        "report_revenue_by_month": _over_star(_revenue("f.price")),
-        "report_revenue_by_month_wide_calendar": _over_star(_revenue("f.price"), **_WIDE),
-        "report_revenue_by_month_as_written": _over_star(
-            _revenue("try_cast(f.price as decimal(9,4))")
-        ),
-        "report_late_pct_calendar": _over_star(
-            _late(
-                "datediff('day', order_purchase_timestamp, order_delivered_customer_date) >= 1"
-            )
-        ),
-        "report_late_pct_elapsed": _over_star(
-            _late("order_delivered_customer_date > order_purchase_timestamp + interval 1 day")
-        ),
-        "report_top_categories_as_written": _over_star(_CATEGORIES.format(first=_LITERAL_LOOKUP)),
-        "report_top_categories_new_customers": _over_star(_CATEGORIES.format(first=_FIRST_ORDERS)),
-        "report_payment_control_as_written": _over_star(_CONTROL_AS_WRITTEN),
-        "report_payment_control": _over_star(_CONTROL),
+        **{name: _over_star(body) for name, body in REPORTS.items()},
+        "report_orders_by_month_wide_calendar": _over_star(_BY_MONTH, **wide),
+        "report_revenue_by_month_wide_calendar": _over_star(_revenue("f.price"), **wide),
     }

@@ -12,11 +12,14 @@ from starcart.schemas import STAR_TABLES
 from starcart.sources.files import read_csv
 
 # Spark's CSV writer trims outer blanks and writes times to the millisecond, and
-# its reader turns empty text into null. These settings, used on both ways,
-# keep all three; ``\N`` then stands for null.
+# its reader turns empty text into null. These settings, used on both ways, keep
+# all three. ``\N`` stands for null, so a text that reads just that is lost, and
+# line breaks within a text need ``multiLine`` on top (which stops Spark from
+# splitting files). Parquet has no such exceptions.
 EXACT_CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "quoteAll": "true",
     "nullValue": "\\N",
     "emptyValue": "",
     "escape": '"',
