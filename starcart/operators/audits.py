@@ -71,37 +71,71 @@ def primary_key_violations(star: Star) -> DataFrame:
     return _stacked(parts)
 
 
+def _labelled(edges: list[tuple[int, str]], as_type: dict[int, str]) -> Column:
+    """One (edge, reference) row per edge, from the columns of one row."""
+    return F.inline(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(edge).alias("edge"),
+                    F.col(column).cast(as_type[edge]).cast("string").alias("reference"),
+                )
+                for edge, column in edges
+            ]
+        )
+    )
+
+
 def foreign_key_violations(star: Star) -> DataFrame:
     """Per declared edge: child rows, rows without a reference, and rows and keys
-    whose reference is not in the parent table."""
-    parts = []
-    for child, column, parent, parent_key in FOREIGN_KEYS:
-        if child not in star or parent not in star:
-            continue
-        reference = F.col(column).cast(STAR_TABLES[parent][parent_key]).alias("reference")
-        present = (
-            star[parent]
-            .select(F.col(parent_key).alias("reference"))
-            .distinct()
-            .withColumn("present", F.lit(True))
+    whose reference is not in the parent table.
+
+    All edges of a table are followed in one pass over it, and one join looks up
+    all of them.
+    """
+    edges = [e for e in enumerate(FOREIGN_KEYS) if e[1][0] in star and e[1][2] in star]
+    as_type = {i: STAR_TABLES[parent][key] for i, (_, _, parent, key) in edges}
+    outgoing: dict[str, list[tuple[int, str]]] = {}
+    incoming: dict[str, list[tuple[int, str]]] = {}
+    for i, (child, column, parent, key) in edges:
+        outgoing.setdefault(child, []).append((i, column))
+        incoming.setdefault(parent, []).append((i, key))
+
+    references = counted(
+        _stacked([star[t].select(_labelled(e, as_type)) for t, e in outgoing.items()]),
+        "edge",
+        "reference",
+    )
+    present = (
+        _stacked([star[t].select(_labelled(e, as_type)) for t, e in incoming.items()])
+        .distinct()
+        .withColumn("present", F.lit(True))
+    )
+    orphan = F.col("reference").isNotNull() & F.col("present").isNull()
+    found = (
+        references.join(present, ["edge", "reference"], "left")
+        .groupBy("edge")
+        .agg(
+            F.sum("n").alias("child_rows"),
+            _rows_where(F.col("reference").isNull()).alias("null_rows"),
+            _rows_where(orphan).alias("orphan_rows"),
+            F.count_if(orphan).alias("orphan_keys"),
         )
-        orphan = F.col("reference").isNotNull() & F.col("present").isNull()
-        parts.append(
-            counted(star[child].select(reference), "reference")
-            .join(present, "reference", "left")
-            .agg(
-                _rows_where(F.lit(True)).alias("child_rows"),
-                _rows_where(F.col("reference").isNull()).alias("null_rows"),
-                _rows_where(orphan).alias("orphan_rows"),
-                F.count_if(orphan).alias("orphan_keys"),
-            )
-            .select(
+    )
+    names = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("edge"),
                 F.lit(f"{child}.{column}").alias("child"),
-                F.lit(f"{parent}.{parent_key}").alias("parent"),
-                "child_rows",
-                "null_rows",
-                "orphan_rows",
-                "orphan_keys",
+                F.lit(f"{parent}.{key}").alias("parent"),
             )
-        )
-    return _stacked(parts)
+            for i, (child, column, parent, key) in edges
+        ]
+    )
+    counts = ("child_rows", "null_rows", "orphan_rows", "orphan_keys")
+    return (
+        found.sparkSession.range(0, 1, 1, 1)
+        .select(F.inline(names))
+        .join(found, "edge", "left")
+        .select("child", "parent", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+    )

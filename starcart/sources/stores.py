@@ -91,7 +91,8 @@ class JdbcStore:
         )
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        raw = spark.read.options(**self._settings()).jdbc(
+        options = {"preferTimestampNTZ": "true", **self._settings()}
+        raw = spark.read.options(**options).jdbc(
             self.url, table, properties=dict(self.properties)
         )
         return typed(raw, STAR_TABLES[table])
