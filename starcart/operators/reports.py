@@ -211,18 +211,56 @@ def top_categories(star: Star, n: int = 5, first_purchase: bool = True) -> DataF
     )
 
 
-def _item_totals(star: Star, legacy_decimal: bool) -> list[Column]:
+_TOTALS = ("order_item_price", "order_freight", "should_pay")
+
+# Fixed value: characters of an id list that one cell holds written out in full.
+LIST_LIMIT = 2**28
+
+
+def _item_totals(legacy_decimal: bool) -> list[Column]:
     price = _amount("price", legacy_decimal)
     freight = _amount("freight_value", legacy_decimal)
-    return [
-        F.sum(price).alias("order_item_price"),
-        F.sum(freight).alias("order_freight"),
-        F.sum(price + freight).alias("should_pay"),
-    ]
+    sums = (F.sum(price), F.sum(freight), F.sum(price + freight))
+    return [total.alias(name) for total, name in zip(sums, _TOTALS)]
+
+
+def _id_list(runs: str, times: str, limit: int) -> Column:
+    """Ids of ``runs`` (id, n), each ``n * times`` times, as one text.
+
+    A list longer than ``limit`` is written as ``id*count`` per id instead, so it
+    stays whole however many lines one order has.
+    """
+
+    def written(run: Column) -> Column:
+        return run["order_item_id"].cast("string")
+
+    def count(run: Column) -> Column:
+        return run["n"] * F.col(times)
+
+    def full(run: Column) -> Column:
+        more = F.repeat(F.concat(written(run), F.lit(",")), (count(run) - 1).cast("int"))
+        return F.concat(more, written(run))
+
+    def short(run: Column) -> Column:
+        return F.concat(written(run), F.lit("*"), count(run).cast("string"))
+
+    length = F.aggregate(
+        runs,
+        F.lit(0).cast("bigint"),
+        lambda total, run: total + (F.length(written(run)) + 1) * count(run),
+    )
+    return (
+        F.when(length == 0, F.lit(None))
+        .when(length <= limit, F.array_join(F.transform(runs, full), ","))
+        .otherwise(F.array_join(F.transform(runs, short), ","))
+    )
 
 
 def payment_control(
-    star: Star, fan_out: bool = False, legacy_decimal: bool = False, item_ids: bool = True
+    star: Star,
+    fan_out: bool = False,
+    legacy_decimal: bool = False,
+    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """Item totals against payments, for orders that have both.
 
@@ -232,57 +270,52 @@ def payment_control(
     ``fan_out=True`` is the control query as first written: items joined to
     payments, so an order with k payments shows k times its item totals, next to
     its largest payment. The k-fold rows are not built; the totals are multiplied.
-    ``order_item_ids`` lists the item ids of those rows, in ascending order, in one
-    cell per order; ``item_ids=False`` leaves it out for data in which the items of
-    one order do not fit a cell.
+    ``order_item_ids`` lists the item ids of those rows in ascending order. Lines
+    are counted per (order, item id) first, so what is gathered per order is one
+    pair per item id, not one entry per line.
     """
-    items = star["order_items_fact"].groupBy("order_id")
+    fact = star["order_items_fact"]
     payments = star["payments_dim"].groupBy("order_id")
-    orders = star["orders_dim"].groupBy("order_id")
-    totals = _item_totals(star, legacy_decimal)
-    money = ["order_item_price", "order_freight", "should_pay"]
+    orders = star["orders_dim"].groupBy("order_id").agg(F.count(F.lit(1)).alias("copies"))
 
     if not fan_out:
         return (
-            items.agg(F.count(F.lit(1)).alias("number_of_items"), *totals)
+            fact.groupBy("order_id")
+            .agg(F.count(F.lit(1)).alias("number_of_items"), *_item_totals(legacy_decimal))
             .join(payments.agg(F.sum("payment_value").alias("payment_value")), "order_id")
-            .join(orders.agg(F.count(F.lit(1)).alias("copies")), "order_id", "left_semi")
+            .join(orders, "order_id", "left_semi")
+            .withColumn("difference", F.col("payment_value") - F.col("should_pay"))
             .select(
                 "order_id",
                 "number_of_items",
-                *[F.col(c).cast("decimal(38,4)").alias(c) for c in money],
-                F.col("payment_value").cast("decimal(38,4)").alias("payment_value"),
-                (F.col("payment_value") - F.col("should_pay"))
-                .cast("decimal(38,4)")
-                .alias("difference"),
+                *[
+                    F.col(c).cast("decimal(38,4)").alias(c)
+                    for c in (*_TOTALS, "payment_value", "difference")
+                ],
             )
         )
 
-    if item_ids:
-        totals.append(F.sort_array(F.collect_list("order_item_id")).alias("ids"))
-    joined = (
-        items.agg(*totals)
-        .join(
-            payments.agg(
-                F.count(F.lit(1)).alias("payments"), F.max("payment_value").alias("payment_value")
-            ),
-            "order_id",
+    run = F.when(F.col("order_item_id").isNotNull(), F.struct("order_item_id", "n"))
+    items = (
+        fact.groupBy("order_id", "order_item_id")
+        .agg(F.count(F.lit(1)).alias("n"), *_item_totals(legacy_decimal))
+        .groupBy("order_id")
+        .agg(
+            F.sort_array(F.collect_list(run)).alias("runs"),
+            *[F.sum(c).alias(c) for c in _TOTALS],
         )
-        .join(orders.agg(F.count(F.lit(1)).alias("copies")), "order_id")
-        .withColumn("times", F.col("payments") * F.col("copies"))
     )
-    columns = ["order_id"]
-    if item_ids:
-        repeated = F.flatten(
-            F.transform("ids", lambda i: F.array_repeat(i, F.col("times").cast("int")))
-        )
-        columns.append(
-            F.when(F.size("ids") > 0, F.array_join(repeated.cast("array<string>"), ",")).alias(
-                "order_item_ids"
-            )
+    paid = payments.agg(
+        F.count(F.lit(1)).alias("payments"), F.max("payment_value").alias("payment_value")
+    )
+    return (
+        items.join(paid, "order_id")
+        .join(orders, "order_id")
+        .withColumn("times", F.col("payments") * F.col("copies"))
+        .select(
+            "order_id",
+            _id_list("runs", "times", list_limit).alias("order_item_ids"),
+            *[(F.col(c) * F.col("times")).cast("decimal(38,4)").alias(c) for c in _TOTALS],
+            "payment_value",
         )
-    return joined.select(
-        *columns,
-        *[(F.col(c) * F.col("times")).cast("decimal(38,4)").alias(c) for c in money],
-        "payment_value",
     )

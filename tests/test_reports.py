@@ -236,9 +236,14 @@ def test_payment_control_as_written_multiplies_and_compares_numbers(paid):
         ("o", "2,2,2,10,10,10", Decimal("90.9000"), Decimal("3.0000"), Decimal("33.3000"),
          Decimal("100.0000"))
     ]
-    lean = reports.payment_control(paid, fan_out=True, item_ids=False)
-    assert "order_item_ids" not in lean.columns
-    assert lean.collect()[0].order_item_price == Decimal("90.9000")
+
+
+def test_id_list_too_long_for_a_cell_stays_whole(paid):
+    full = "2,2,2,10,10,10"
+    for limit, text in ((len(full) + 1, full), (len(full), "2*3,10*3")):
+        row = reports.payment_control(paid, fan_out=True, list_limit=limit).collect()[0]
+        assert row.order_item_ids == text
+        assert row.order_item_price == Decimal("90.9000")
 
 
 def test_every_column_has_a_name_of_its_own(paid):
