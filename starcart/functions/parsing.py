@@ -2,35 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 _WHOLE = ("int", "bigint")
 
 
-def parsed(name: str, have: str, want: str) -> Column:
-    """Column ``name`` as type ``want``; a cell that does not parse becomes null."""
-    column = F.col(f"`{name}`")
+def parsed(name: str, have: str, want: str) -> str:
+    """SQL for column ``name`` as type ``want``; a cell that does not parse is null."""
+    column = f"`{name}`"
     if have == want:
         return column
     if have == "string" and want in _WHOLE:
         # "40" and "40.0" are both forty; "40.5" is not a whole number.
-        number = column.try_cast("decimal(38,6)")
-        return F.when(number == F.floor(number), number.try_cast(want))
-    return column.try_cast(want)
+        number = f"try_cast({column} as decimal(38,6))"
+        return f"if({number} = floor({number}), try_cast({number} as {want}), null)"
+    return f"try_cast({column} as {want})"
+
+
+def unparsed(name: str, have: str, want: str) -> str:
+    """SQL that is true where ``name`` holds a non-blank text that ``parsed`` makes null."""
+    if have == want or have != "string":
+        return "false"
+    return f"trim(`{name}`) != '' and {parsed(name, have, want)} is null"
 
 
 def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Pick ``columns`` by name, in that order, as the given types."""
     have = dict(df.dtypes)
-    return df.select(
-        *[parsed(c, have.get(c, "string"), t).alias(c) for c, t in columns.items()]
+    return df.selectExpr(
+        *[f"{parsed(c, have.get(c, 'string'), t)} as `{c}`" for c, t in columns.items()]
     )
-
-
-def unparsed(name: str, have: str, want: str) -> Column:
-    """True where ``name`` holds a non-blank value that ``parsed`` turns into null."""
-    if have == want or have != "string":
-        return F.lit(False)
-    column = F.col(f"`{name}`")
-    return (F.trim(column) != "") & parsed(name, have, want).isNull()

@@ -106,16 +106,15 @@ def _calendar(days: DataFrame) -> DataFrame:
     ``week`` is the ISO week while ``year`` is the calendar year: 2000-01-01 has
     year 2000 and week 52, so the two do not form a grouping pair.
     """
-    day = F.col("ddate")
-    return days.select(
-        day,
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-        F.dayofweek(day).alias("weekday"),
-        F.dayofyear(day).alias("yearday"),
-        F.weekofyear(day).alias("week"),
-        F.quarter(day).alias("quarter"),
+    return days.selectExpr(
+        "ddate",
+        "year(ddate) as year",
+        "month(ddate) as month",
+        "day(ddate) as day",
+        "dayofweek(ddate) as weekday",
+        "dayofyear(ddate) as yearday",
+        "weekofyear(ddate) as week",
+        "quarter(ddate) as quarter",
     )
 
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starcart.functions.parsing import parsed, unparsed
 from starcart.schemas import SOURCE_TABLES
@@ -21,23 +20,19 @@ def source_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for name, columns in SOURCE_TABLES.items():
         have = dict(raw[name].dtypes)
-        totals = [F.count(F.lit(1)).alias("rows")]
+        totals = ["count(1) as row_count"]
         cells = []
         for i, (column, want) in enumerate(columns.items()):
-            totals.append(F.count(parsed(column, have[column], want)).alias(f"v{i}"))
-            totals.append(F.count_if(unparsed(column, have[column], want)).alias(f"r{i}"))
+            totals.append(f"count({parsed(column, have[column], want)}) as filled{i}")
+            totals.append(f"count_if({unparsed(column, have[column], want)}) as rejected{i}")
             cells.append(
-                F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(want).alias("data_type"),
-                    F.col("rows").alias("row_count"),
-                    (F.col("rows") - F.col(f"v{i}")).alias("null_count"),
-                    F.col(f"r{i}").alias("reject_count"),
-                )
+                f"named_struct('column_name', '{column}', 'data_type', '{want}', "
+                f"'row_count', row_count, 'null_count', row_count - filled{i}, "
+                f"'reject_count', rejected{i})"
             )
         parts.append(
-            raw[name].agg(*totals).select(
-                F.lit(name).alias("table_name"), F.inline(F.array(*cells))
-            )
+            raw[name]
+            .selectExpr(*totals)
+            .selectExpr(f"'{name}' as table_name", f"inline(array({', '.join(cells)}))")
         )
     return reduce(DataFrame.unionByName, parts)

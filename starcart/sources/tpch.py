@@ -9,114 +9,102 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starcart.functions.lazy import LazyTables
 from starcart.schemas import MONEY
 
-# Status letters of the given orders and the names used here.
-_STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
 
 def _customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Places are nation and region; two accounts belong to each person."""
+    nations = nation.withColumnRenamed("n_nationkey", "c_nationkey")
+    regions = region.withColumnRenamed("r_regionkey", "n_regionkey")
     return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .select(
-            _text("c_custkey").alias("customer_id"),
-            F.concat(
-                F.lit("U"), F.floor(F.col("c_custkey") / 2).cast("bigint").cast("string")
-            ).alias("customer_unique_id"),
-            F.lpad((F.col("c_custkey") % 100).cast("string"), 5, "0").alias(
-                "customer_zip_code_prefix"
-            ),
-            F.col("n_name").alias("customer_city"),
-            F.col("r_name").alias("customer_state"),
+        customer.join(nations, "c_nationkey", "left")
+        .join(regions, "n_regionkey", "left")
+        .selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            "concat('U', cast(c_custkey div 2 as string)) as customer_unique_id",
+            "lpad(cast(c_custkey % 100 as string), 5, '0') as customer_zip_code_prefix",
+            "n_name as customer_city",
+            "r_name as customer_state",
         )
     )
 
 
 def _orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    shipped = lineitem.groupBy("l_orderkey").agg(
-        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
-    )
-    status = F.coalesce(
-        *[F.when(F.col("o_orderstatus") == k, F.lit(v)) for k, v in _STATUS.items()]
+    """Carrier and customer dates are the first and last ship date of the order's lines."""
+    shipped = (
+        lineitem.selectExpr("l_orderkey as o_orderkey", "l_shipdate")
+        .groupBy("o_orderkey")
+        .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
     )
-    return orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        _text("o_orderkey").alias("order_id"),
-        F.col("o_orderkey").cast("bigint").alias("index"),
-        _text("o_custkey").alias("customer_id"),
-        status.alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        F.col("o_orderdate").alias("order_approved_at"),
-        F.col("first_ship").alias("order_delivered_carrier_date"),
-        F.col("last_ship").alias("order_delivered_customer_date"),
-        (F.col("o_orderdate") + F.expr("interval 30 days")).alias("order_estimated_delivery_date"),
+    return orders.join(shipped, "o_orderkey", "left").selectExpr(
+        "cast(o_orderkey as string) as order_id",
+        "cast(o_orderkey as bigint) as index",
+        "cast(o_custkey as string) as customer_id",
+        # fixed values: the status letters of the given orders
+        "case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' "
+        "when 'P' then 'processing' end as order_status",
+        "o_orderdate as order_purchase_timestamp",
+        "o_orderdate as order_approved_at",
+        "first_ship as order_delivered_carrier_date",
+        "last_ship as order_delivered_customer_date",
+        "o_orderdate + interval 30 days as order_estimated_delivery_date",
     )
 
 
 def _order_items(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        _text("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("int").alias("order_item_id"),
-        _text("l_partkey").alias("product_id"),
-        _text("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
-        F.col("l_quantity").cast(MONEY).alias("freight_value"),
+    return lineitem.selectExpr(
+        "cast(l_orderkey as string) as order_id",
+        "cast(l_linenumber as int) as order_item_id",
+        "cast(l_partkey as string) as product_id",
+        "cast(l_suppkey as string) as seller_id",
+        "l_shipdate as shipping_limit_date",
+        f"cast(l_extendedprice as {MONEY}) as price",
+        f"cast(l_quantity as {MONEY}) as freight_value",
     )
 
 
 def _payments(orders: DataFrame) -> DataFrame:
     """One payment per order, and a second of zero for every tenth order."""
-    count = F.when(F.col("o_orderkey") % 10 == 0, 2).otherwise(1)
-    return orders.select(
-        _text("o_orderkey").alias("order_id"),
-        F.explode(F.sequence(F.lit(1), count)).alias("payment_sequential"),
-        F.col("o_orderpriority").alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
+    return orders.selectExpr(
+        "o_orderkey",
+        "explode(sequence(1, if(o_orderkey % 10 = 0, 2, 1))) as payment_sequential",
+        "o_orderpriority",
         "o_totalprice",
-    ).select(
-        "order_id",
+    ).selectExpr(
+        "cast(o_orderkey as string) as order_id",
         "payment_sequential",
-        "payment_type",
-        "payment_installments",
-        F.when(F.col("payment_sequential") == 1, F.col("o_totalprice").cast(MONEY))
-        .otherwise(F.lit(0).cast(MONEY))
-        .alias("payment_value"),
+        "o_orderpriority as payment_type",
+        "1 as payment_installments",
+        f"cast(if(payment_sequential = 1, o_totalprice, 0) as {MONEY}) as payment_value",
     )
 
 
 def _products(part: DataFrame) -> DataFrame:
-    unknown = F.lit(None).cast("int")
-    return part.select(
-        _text("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        unknown.alias("product_description_lenght"),
-        unknown.alias("product_photos_qty"),
-        F.col("p_size").cast("int").alias("product_weight_g"),
-        unknown.alias("product_length_cm"),
-        unknown.alias("product_height_cm"),
-        unknown.alias("product_width_cm"),
+    return part.selectExpr(
+        "cast(p_partkey as string) as product_id",
+        "p_type as product_category_name",
+        "length(p_name) as product_name_lenght",
+        "cast(null as int) as product_description_lenght",
+        "cast(null as int) as product_photos_qty",
+        "cast(p_size as int) as product_weight_g",
+        "cast(null as int) as product_length_cm",
+        "cast(null as int) as product_height_cm",
+        "cast(null as int) as product_width_cm",
     )
 
 
 def _categories(part: DataFrame) -> DataFrame:
     """Product types and their names; one type is left without."""
     return (
-        part.filter(F.col("p_type") != "PROMO")
+        part.filter("p_type <> 'PROMO'")
         .select("p_type")
         .distinct()
-        .select(
-            F.col("p_type").alias("product_category_name"),
-            F.lower("p_type").alias("product_category_name_english"),
+        .selectExpr(
+            "p_type as product_category_name", "lower(p_type) as product_category_name_english"
         )
     )
 
