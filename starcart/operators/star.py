@@ -6,7 +6,8 @@ big side is hash-partitioned once, by the join key, and that partitioning also
 serves the ``distinct`` because the key is among its columns. The side that is
 looked up is narrow and made unique *before* the join, so duplicated customers or
 orders never multiply rows on the wire. A join key that holds a large share of the
-rows is split at run time by the adaptive skew join (see ``plans.session``).
+rows is dealt to many tasks (``functions.hot``); what that does not foresee is split
+at run time by the adaptive skew join (``plans.session``).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starcart.functions.hot import HotKeys, distinct_columns, split_left_join
 from starcart.functions.keys import location_key
 from starcart.schemas import SOURCE_TABLES, STAR_TABLES
 
@@ -56,27 +58,33 @@ def customer_locations(customers: DataFrame, separator: str = "") -> DataFrame:
     return customers.select("customer_id", _key(separator)).distinct()
 
 
-def orders_dim(orders: DataFrame, customers: DataFrame, separator: str = "") -> DataFrame:
+def orders_dim(
+    orders: DataFrame, customers: DataFrame, separator: str = "", hot_customers: HotKeys = ()
+) -> DataFrame:
     """Orders with the place of their customer.
 
     A customer id with several places yields one row per place.
     """
-    return (
-        orders.select(*SOURCE_TABLES["orders"])
-        .join(customer_locations(customers, separator), "customer_id", "left")
-        .select(*STAR_TABLES["orders_dim"])
-        .distinct()
+    located = split_left_join(
+        orders.select(*SOURCE_TABLES["orders"]),
+        customer_locations(customers, separator),
+        "customer_id",
+        hot_customers,
     )
+    return distinct_columns(located, list(STAR_TABLES["orders_dim"]))
 
 
-def order_locations(orders: DataFrame, customers: DataFrame, separator: str = "") -> DataFrame:
+def order_locations(
+    orders: DataFrame, customers: DataFrame, separator: str = "", hot_customers: HotKeys = ()
+) -> DataFrame:
     """Distinct (order_id, location_id), from the two id columns of orders."""
-    return (
-        orders.select("order_id", "customer_id")
-        .join(customer_locations(customers, separator), "customer_id", "left")
-        .select("order_id", "location_id")
-        .distinct()
+    located = split_left_join(
+        orders.select("order_id", "customer_id"),
+        customer_locations(customers, separator),
+        "customer_id",
+        hot_customers,
     )
+    return located.select("order_id", "location_id").distinct()
 
 
 def payments_dim(payments: DataFrame) -> DataFrame:
@@ -147,14 +155,14 @@ def date_dim_covering(
     )
 
 
-def order_items_fact(order_items: DataFrame, locations: DataFrame) -> DataFrame:
+def order_items_fact(
+    order_items: DataFrame, locations: DataFrame, hot_orders: HotKeys = ()
+) -> DataFrame:
     """Order lines with the buyer's place; ``locations`` as from ``order_locations``.
 
     One join, not two: the orders and customers are first reduced to pairs of ids.
     """
-    return (
-        order_items.select(*SOURCE_TABLES["order_items"])
-        .join(locations, "order_id", "left")
-        .select(*STAR_TABLES["order_items_fact"])
-        .distinct()
+    located = split_left_join(
+        order_items.select(*SOURCE_TABLES["order_items"]), locations, "order_id", hot_orders
     )
+    return distinct_columns(located, list(STAR_TABLES["order_items_fact"]))

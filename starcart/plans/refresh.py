@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import partial
+from functools import cache, partial
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starcart.functions.hot import HotKeys, hot_keys
 from starcart.functions.lazy import LazyTables
 from starcart.operators import star as tables
 from starcart.schemas import STAR_TABLES
@@ -28,24 +29,36 @@ def build_star(
     date_end: str = tables.CALENDAR_END,
     separator: str = "",
 ) -> Mapping[str, DataFrame]:
-    """All eight tables, as plans; nothing runs until one of them is used."""
+    """All eight tables, as plans.
+
+    The rows of a table are not touched until it is used; asking for orders_dim or
+    the fact of large sources looks for hot keys in a sample of one column.
+    """
+
+    @cache
+    def hot_customers() -> HotKeys:
+        return hot_keys(sources["orders"], "customer_id")
 
     def located_orders() -> DataFrame:
-        return tables.order_locations(sources["orders"], sources["customers"], separator)
+        return tables.order_locations(
+            sources["orders"], sources["customers"], separator, hot_customers()
+        )
 
     return LazyTables(
         {
             "location_dim": lambda: tables.location_dim(sources["customers"], separator),
             "customers_dim": lambda: tables.customers_dim(sources["customers"], separator),
             "orders_dim": lambda: tables.orders_dim(
-                sources["orders"], sources["customers"], separator
+                sources["orders"], sources["customers"], separator, hot_customers()
             ),
             "payments_dim": lambda: tables.payments_dim(sources["payments"]),
             "products_dim": lambda: tables.products_dim(sources["products"]),
             "category_dim": lambda: tables.category_dim(sources["product_category_name"]),
             "date_dim": lambda: tables.date_dim(spark, date_start, date_end),
             "order_items_fact": lambda: tables.order_items_fact(
-                sources["order_items"], located_orders()
+                sources["order_items"],
+                located_orders(),
+                hot_keys(sources["order_items"], "order_id"),
             ),
         }
     )
@@ -80,7 +93,8 @@ def refresh_star(
     write_star({name: star[name] for name in star if name != "order_items_fact"}, store)
     if store.exact:
         locations = store.read(spark, "orders_dim").select("order_id", "location_id").distinct()
-        fact = tables.order_items_fact(sources["order_items"], locations)
+        items = sources["order_items"]
+        fact = tables.order_items_fact(items, locations, hot_keys(items, "order_id"))
     else:
         fact = star["order_items_fact"]
     store.write(fact, "order_items_fact")

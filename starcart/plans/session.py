@@ -8,10 +8,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# What one shuffle partition and one scan task should hold.
-_SHUFFLE_PARTITION_BYTES = 64 * 1024**2
-_SCAN_BYTES = 256 * 1024**2
-
+# Sizes of scan and shuffle tasks, and the most of each. The driver keeps
+# track of (scan tasks) x (shuffle partitions), so beyond these numbers tasks get
+# larger instead; sorts and aggregates of a larger partition spill to disk.
+_SHUFFLE_BYTES = 64 * 1024**2
+_MOST_PARTITIONS = 50_000
+_SCAN_BYTES = 128 * 1024**2
+_MOST_SCANS = 100_000
 
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,14 +44,21 @@ def prepare(spark: SparkSession) -> SparkSession:
 def sized_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a session that reads ``input_bytes`` on ``cores`` cores.
 
-    The number of shuffle partitions is an upper bound that adaptive execution
-    coalesces, sized so that a partition fits the memory of one task.
+    The number of shuffle partitions is an upper bound; adaptive execution merges
+    what turns out small. With more than 2,000 of them Spark reports sizes of shuffle
+    blocks as averages, which would hide a hot key from it: the block-size factor
+    makes outliers visible again. It has to be set when the session starts.
     """
-    partitions = max(cores, math.ceil(input_bytes / _SHUFFLE_PARTITION_BYTES))
-    per_task = max(16 * 1024**2, min(_SCAN_BYTES, math.ceil(input_bytes / max(cores, 1))))
+    partitions = max(cores, min(_MOST_PARTITIONS, math.ceil(input_bytes / _SHUFFLE_BYTES)))
+    per_scan = max(
+        16 * 1024**2,
+        min(_SCAN_BYTES, math.ceil(input_bytes / cores)),
+        math.ceil(input_bytes / _MOST_SCANS),
+    )
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(per_task),
+        "spark.sql.files.maxPartitionBytes": str(per_scan),
+        "spark.shuffle.accurateBlockSkewedFactor": "5",
         **RUNTIME_SETTINGS,
     }
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import starcart as s
+from starcart.functions.hot import PIECE, hot_keys, split_left_join
 from starcart.operators import audits
 from starcart.operators import star as tables
 from starcart.plans.session import RUNTIME_SETTINGS
@@ -201,6 +202,54 @@ def test_hot_join_keys_are_split_where_the_distinct_shares_the_shuffle(
         assert "skew=true" in final_plan(star[name]), name
 
 
+def test_hot_keys_are_found_and_counted(spark, hot_sources):
+    sources = s.load_sources(spark, hot_sources, "parquet")
+    found = hot_keys(sources["order_items"], "order_id", 9000, 5000, sample=1.0, small_bytes=0)
+    lines = sources["order_items"].filter("order_id = '7'").count()
+    assert found == [("7", -(-lines // 5000))]
+    assert hot_keys(sources["order_items"], "order_id") == []  # too small to look at
+    nulls = sources["order_items"].withColumn("order_id", F.lit(None).cast("string"))
+    assert hot_keys(nulls, "order_id", 9000, 30000, sample=1.0, small_bytes=0) == [(None, 2)]
+
+
+def test_hot_keys_in_pieces_give_the_same_tables(spark, hot_sources, split_early):
+    sources = dict(s.load_sources(spark, hot_sources, "parquet"))
+    # besides the hot key: rows without a key, and equal rows
+    lost = sources["order_items"].limit(500).withColumn("order_id", F.lit(None).cast("string"))
+    sources["order_items"] = sources["order_items"].unionAll(lost).unionAll(lost)
+    plain = s.build_star(spark, sources)
+    customers, orders = [("5", 7), (None, 3)], [("7", 9), (None, 4), ("not there", 2)]
+    pieces = {
+        "orders_dim": tables.orders_dim(sources["orders"], sources["customers"], "", customers),
+        "order_items_fact": tables.order_items_fact(
+            sources["order_items"],
+            tables.order_locations(sources["orders"], sources["customers"], "", customers),
+            orders,
+        ),
+    }
+    for name, df in pieces.items():
+        assert df.columns == plain[name].columns
+        assert compare.differences(df.toArrow(), plain[name].toArrow()) == [], name
+
+
+def test_pieces_need_no_further_shuffle(spark, large_tables):
+    items = tpch_sources(spark, SF_DIR)["order_items"]
+    locations = spark.range(100).selectExpr("cast(id as string) order_id", "'x' location_id")
+    plan = plan_of(tables.order_items_fact(items, locations, [("7", 9)]))
+    assert len(re.findall(r"hashpartitioning\(order_id#\d+, _piece#\d+L, \d+\)", plan)) == 2
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_pieces_of_a_hot_key_are_about_equal(spark, hot_sources):
+    items = s.load_sources(spark, hot_sources, "parquet")["order_items"]
+    dealt = split_left_join(
+        items, items.select("order_id").filter("false"), "order_id", [("7", 8)]
+    )
+    sizes = [r[1] for r in dealt.filter("order_id = '7'").groupBy(PIECE).count().collect()]
+    assert len(sizes) == 8
+    assert max(sizes) < 1.2 * sum(sizes) / 8
+
+
 def test_results_with_hot_keys(spark, hot_sources, split_early):
     db = compare.duckdb.connect()
     for name in s.load_sources(spark, hot_sources, "parquet"):

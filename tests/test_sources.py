@@ -241,8 +241,9 @@ def test_object_store_settings_hold_the_callers_values():
 def test_settings_grow_with_the_input():
     small, large = (session.sized_settings(b, 4000) for b in (10**9, 10**14))
     assert small["spark.sql.shuffle.partitions"] == "4000"
-    assert int(large["spark.sql.shuffle.partitions"]) * 64 * 1024**2 >= 10**14
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 256 * 1024**2
+    assert small["spark.sql.files.maxPartitionBytes"] == str(16 * 1024**2)
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(10**9)
 
 
 def test_scratch_folder_lies_in_the_shared_one(spark, tmp_path):
