@@ -65,13 +65,16 @@ def hot_keys(
     return [(row[0], math.ceil(row[1] / piece_rows)) for row in found]
 
 
-def split_left_join(big: DataFrame, lookup: DataFrame, key: str, hot: HotKeys) -> DataFrame:
-    """``big`` left-joined to ``lookup``, with hot keys in pieces.
+def split_join(
+    big: DataFrame, lookup: DataFrame, key: str, hot: HotKeys, how: str = "left"
+) -> DataFrame:
+    """``big`` joined to ``lookup`` (``left`` or ``left_semi``), with hot keys in pieces.
 
-    The result has the columns of both and, where there are hot keys, ``PIECE``.
+    ``lookup`` should have few rows per key, as they are repeated. The result has, where
+    there are hot keys, the additional column ``PIECE``.
     """
     if not hot:
-        return big.join(lookup, key, "left")
+        return big.join(lookup, key, how)
     keys, counts = zip(*hot)
     pieces = big.sparkSession.createDataFrame(
         pa.table({"_hot": pa.array(keys, pa.string()), "_pieces": pa.array(counts, pa.int64())})
@@ -89,7 +92,7 @@ def split_left_join(big: DataFrame, lookup: DataFrame, key: str, hot: HotKeys) -
         .withColumn(PIECE, F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
         .drop("_hot", "_pieces")
     )
-    return dealt.join(repeated, [key, PIECE], "left")
+    return dealt.join(repeated, [key, PIECE], how)
 
 
 def distinct_columns(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -7,6 +7,10 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame
 
 
+def _nothing() -> list:
+    return []
+
+
 class LazyTables(Mapping[str, DataFrame]):
     """Name to DataFrame, where each is made on first use and then kept.
 
@@ -14,9 +18,16 @@ class LazyTables(Mapping[str, DataFrame]):
     needs two of eight tables does so for those two only.
     """
 
-    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+    def __init__(
+        self,
+        makers: Mapping[str, Callable[[], DataFrame]],
+        hot_orders: Callable[[], list] = _nothing,
+    ) -> None:
+        """``hot_orders`` tells which orders hold a large share of the lines of a star
+        (``functions.hot``); it is asked when a report joins the lines by order."""
         self._makers = dict(makers)
         self._made: dict[str, DataFrame] = {}
+        self.hot_orders = hot_orders
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:

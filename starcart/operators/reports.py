@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starcart.functions.counted import counted, matches
+from starcart.functions.hot import HotKeys, split_join
+from starcart.functions.lazy import LazyTables
 
 Star = Mapping[str, DataFrame]
 
@@ -163,6 +165,15 @@ def first_orders(star: Star) -> DataFrame:
     )
 
 
+def _sold_lines(star: Star) -> DataFrame:
+    return star["order_items_fact"].select("order_id", "product_id")
+
+
+def _hot_orders(star: Star) -> HotKeys:
+    """Orders with a large share of the lines, where the star knows them."""
+    return star.hot_orders() if isinstance(star, LazyTables) else []
+
+
 def _sold_all(star: Star) -> DataFrame:
     """Sales per product with the literal first-purchase lookup.
 
@@ -179,15 +190,26 @@ def _sold_all(star: Star) -> DataFrame:
         .select("order_id", "customer_id", "order_purchase_timestamp")
         .join(people, ["customer_id", "order_purchase_timestamp"], "left_semi")
     )
+    times = counted(found, "order_id", "customer_id", weight="m")
+    hot = _hot_orders(star)
+    if hot:
+        times = times.groupBy("order_id").agg(F.sum("m").alias("m"))
     return (
-        star["order_items_fact"]
-        .select("order_id", "product_id")
-        .join(counted(found, "order_id", "customer_id", weight="m"), "order_id", "left")
+        split_join(_sold_lines(star), times, "order_id", hot)
         .groupBy("product_id")
         .agg(F.sum(matches("m")).alias("n"))
     )
 
 
+def _sold_first(star: Star) -> DataFrame:
+    """Sales per product among first orders."""
+    firsts = first_orders(star)
+    hot = _hot_orders(star)
+    if hot:
+        firsts = firsts.distinct()
+    return counted(split_join(_sold_lines(star), firsts, "order_id", hot, "left_semi"), "product_id")
+
+
 def top_categories(star: Star, n: int = 5, first_purchase: bool = True) -> DataFrame:
     """Categories by number of order lines; ties go by name.
 
@@ -195,15 +217,7 @@ def top_categories(star: Star, n: int = 5, first_purchase: bool = True) -> DataF
     ``False`` is the report as it was first written, whose filter has no effect
     on unique orders. Lines without a category or translation form one group.
     """
-    if first_purchase:
-        sold = counted(
-            star["order_items_fact"]
-            .select("order_id", "product_id")
-            .join(first_orders(star), "order_id", "left_semi"),
-            "product_id",
-        )
-    else:
-        sold = _sold_all(star)
+    sold = _sold_first(star) if first_purchase else _sold_all(star)
     return (
         _category_totals(star, sold)
         .orderBy(F.desc("total_sold"), F.asc_nulls_last("category_name_english"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starcart.functions.hot import HotKeys, distinct_columns, split_left_join
+from starcart.functions.hot import HotKeys, distinct_columns, split_join
 from starcart.functions.keys import location_key
 from starcart.schemas import SOURCE_TABLES, STAR_TABLES
 
@@ -65,7 +65,7 @@ def orders_dim(
 
     A customer id with several places yields one row per place.
     """
-    located = split_left_join(
+    located = split_join(
         orders.select(*SOURCE_TABLES["orders"]),
         customer_locations(customers, separator),
         "customer_id",
@@ -78,7 +78,7 @@ def order_locations(
     orders: DataFrame, customers: DataFrame, separator: str = "", hot_customers: HotKeys = ()
 ) -> DataFrame:
     """Distinct (order_id, location_id), from the two id columns of orders."""
-    located = split_left_join(
+    located = split_join(
         orders.select("order_id", "customer_id"),
         customer_locations(customers, separator),
         "customer_id",
@@ -162,7 +162,7 @@ def order_items_fact(
 
     One join, not two: the orders and customers are first reduced to pairs of ids.
     """
-    located = split_left_join(
+    located = split_join(
         order_items.select(*SOURCE_TABLES["order_items"]), locations, "order_id", hot_orders
     )
     return distinct_columns(located, list(STAR_TABLES["order_items_fact"]))

@@ -28,7 +28,7 @@ def build_star(
     date_start: str = tables.CALENDAR_START,
     date_end: str = tables.CALENDAR_END,
     separator: str = "",
-) -> Mapping[str, DataFrame]:
+) -> LazyTables:
     """All eight tables, as plans.
 
     The rows of a table are not touched until it is used; asking for orders_dim or
@@ -39,6 +39,10 @@ def build_star(
     def hot_customers() -> HotKeys:
         return hot_keys(sources["orders"], "customer_id")
 
+    @cache
+    def hot_orders() -> HotKeys:
+        return hot_keys(sources["order_items"], "order_id")
+
     def located_orders() -> DataFrame:
         return tables.order_locations(
             sources["orders"], sources["customers"], separator, hot_customers()
@@ -56,11 +60,10 @@ def build_star(
             "category_dim": lambda: tables.category_dim(sources["product_category_name"]),
             "date_dim": lambda: tables.date_dim(spark, date_start, date_end),
             "order_items_fact": lambda: tables.order_items_fact(
-                sources["order_items"],
-                located_orders(),
-                hot_keys(sources["order_items"], "order_id"),
+                sources["order_items"], located_orders(), hot_orders()
             ),
-        }
+        },
+        hot_orders,
     )
 
 
@@ -70,9 +73,14 @@ def write_star(star: Mapping[str, DataFrame], store: Store) -> None:
         store.write(df, name)
 
 
-def read_star(spark: SparkSession, store: Store) -> Mapping[str, DataFrame]:
+def read_star(spark: SparkSession, store: Store) -> LazyTables:
     """All eight tables of the store, typed."""
-    return LazyTables({name: partial(store.read, spark, name) for name in STAR_TABLES})
+
+    @cache
+    def hot_orders() -> HotKeys:
+        return hot_keys(store.read(spark, "order_items_fact"), "order_id")
+
+    return LazyTables({name: partial(store.read, spark, name) for name in STAR_TABLES}, hot_orders)
 
 
 def refresh_star(
@@ -82,7 +90,7 @@ def refresh_star(
     date_start: str = tables.CALENDAR_START,
     date_end: str = tables.CALENDAR_END,
     separator: str = "",
-) -> Mapping[str, DataFrame]:
+) -> LazyTables:
     """Build, write and re-read the star.
 
     Where the store gives back exactly what it got, the fact takes the place of
@@ -93,8 +101,7 @@ def refresh_star(
     write_star({name: star[name] for name in star if name != "order_items_fact"}, store)
     if store.exact:
         locations = store.read(spark, "orders_dim").select("order_id", "location_id").distinct()
-        items = sources["order_items"]
-        fact = tables.order_items_fact(items, locations, hot_keys(items, "order_id"))
+        fact = tables.order_items_fact(sources["order_items"], locations, star.hot_orders())
     else:
         fact = star["order_items_fact"]
     store.write(fact, "order_items_fact")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import partial
 
 import compare
 import oracle
@@ -11,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import starcart as s
-from starcart.functions.hot import PIECE, hot_keys, split_left_join
+from starcart.functions.hot import PIECE, hot_keys, split_join
+from starcart.functions.lazy import LazyTables
 from starcart.operators import audits
 from starcart.operators import star as tables
 from starcart.plans.session import RUNTIME_SETTINGS
@@ -232,6 +234,17 @@ def test_hot_keys_in_pieces_give_the_same_tables(spark, hot_sources, split_early
         assert compare.differences(df.toArrow(), plain[name].toArrow()) == [], name
 
 
+def test_hot_orders_in_pieces_give_the_same_categories(spark, hot_sources, split_early):
+    sources = s.load_sources(spark, hot_sources, "parquet")
+    star = s.build_star(spark, sources)
+    hot = LazyTables({n: partial(star.__getitem__, n) for n in star}, lambda: [("7", 9), (None, 2)])
+    for first in (True, False):
+        plain = s.top_categories(star, 100, first)
+        pieces = s.top_categories(hot, 100, first)
+        assert "_piece" in plan_of(pieces) and "_piece" not in plan_of(plain)
+        assert pieces.collect() == plain.collect()
+
+
 def test_pieces_need_no_further_shuffle(spark, large_tables):
     items = tpch_sources(spark, SF_DIR)["order_items"]
     locations = spark.range(100).selectExpr("cast(id as string) order_id", "'x' location_id")
@@ -242,7 +255,7 @@ def test_pieces_need_no_further_shuffle(spark, large_tables):
 
 def test_pieces_of_a_hot_key_are_about_equal(spark, hot_sources):
     items = s.load_sources(spark, hot_sources, "parquet")["order_items"]
-    dealt = split_left_join(
+    dealt = split_join(
         items, items.select("order_id").filter("false"), "order_id", [("7", 8)]
     )
     sizes = [r[1] for r in dealt.filter("order_id = '7'").groupBy(PIECE).count().collect()]
