@@ -2,7 +2,7 @@
 
 The rows of a hot key are dealt into pieces by a hash of the row, and the few looked-up
 rows of that key are repeated once per piece. The piece becomes part of the join key,
-so the big table is still shuffled once, and every piece lands on a task of its own.
+so the big table is still shuffled once, and the pieces spread over all tasks.
 Equal rows get equal pieces: a ``distinct`` that keeps the piece needs no other
 partitioning. No random numbers are used, so a task that is run again deals the same
 rows to the same pieces.
