@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starcart.llm.near_dedup import Rule, near_duplicates
+from starcart.llm.toxicity import fit_toxicity, learns_from, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +22,22 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(3, 85, rows=6, bands=32))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grammar fitted on the labels that are not held out, applied to every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity(docs, model).select(
+        "doc_id",
+        F.coalesce(~learns_from(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("matches").alias("n_matches"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_toxicity": op3_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
