@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starcart.llm.byte_bpe import decoded, digests, encoded
+from starcart.llm.decontamination import contaminated
 from starcart.llm.near_dedup import Rule, near_duplicates
 from starcart.llm.toxicity import fit_toxicity, learns_from, toxicity
 
@@ -22,6 +25,19 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(3, 85, rows=6, bands=32))
 
 
+def rank_file(path: str | None = None) -> bytes:
+    """The vocabulary's ranks, read where the query is built."""
+    with open(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        return file.read()
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded again."""
+    ranks, pattern = rank_file(), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents")
+    return digests(decoded(encoded(docs, ranks, pattern), ranks, pattern))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grammar fitted on the labels that are not held out, applied to every document."""
     docs = table(spark, sf_dir, "documents")
@@ -35,9 +51,17 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cover half of a benchmark item, with that item."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("n_tiles", F.size("tiles")).drop("tiles")
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_toxicity": op3_toxicity,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}

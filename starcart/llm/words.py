@@ -68,20 +68,21 @@ class Stretches:
 
 
 class Words:
-    """The words of several texts at once.
+    """The words of several texts at once, parted by the bytes that ``breaks`` marks.
 
     ``starts``/``ends`` are byte positions in ``data``, the texts with a line feed after
     each; ``first[i]:first[i + 1]`` are the words of text i.
     """
 
-    def __init__(self, texts: list[bytes], lower: bool = True) -> None:
+    def __init__(
+        self, texts: list[bytes], lower: bool = True, breaks: np.ndarray = IS_SPACE
+    ) -> None:
         raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         self.data = LOWER[raw] if lower else raw
         lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
         self.offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(lengths + 1, out=self.offsets[1:])
-        space = IS_SPACE[self.data]
-        edges = np.flatnonzero(np.diff(space, prepend=True))
+        edges = np.flatnonzero(np.diff(breaks[self.data], prepend=True))
         self.starts, self.ends = edges[0::2], edges[1::2]
         self.first = np.searchsorted(self.starts, self.offsets)
 
