@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from starcart.llm.words import map_slices
 
-_CACHED = 400_000  # pieces a worker remembers, of at most _PIECE characters
+_CACHED = 500_000  # pieces a worker remembers, of at most _PIECE characters
 _PIECE = 48
 
 # The characters that \s stands for in the pattern's own dialect.
@@ -107,6 +107,19 @@ def _ordered_splits(token: bytes, ranks: dict[bytes, int]) -> tuple[list[int], b
     return out, False
 
 
+class _Known(dict):
+    """Pieces already encoded; long ones, which hardly come again, are not kept."""
+
+    def __init__(self, codec: Codec) -> None:
+        self.codec = codec
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.codec.encode_piece(piece)
+        if len(piece) <= _PIECE:
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Encoder and decoder for one rank file and pattern."""
 
@@ -131,39 +144,25 @@ class Codec:
         )
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.circular = regex.compile("|".join(map(regex.escape, circular)) or "(?!)")
-        self.known: dict[str, list[int]] = {}
-
-    def _learn(self, pieces: set[str]) -> dict[str, list[int]]:
-        listed = list(pieces)
-        found = {
-            piece: encoding.ids
-            for piece, encoding in zip(
-                listed, self.model.encode_batch(listed, add_special_tokens=False), strict=True
-            )
-        }
-        for piece in listed:
-            if self.circular.search(piece):
-                raw = piece.encode()
-                found[piece] = [self.ranks[raw]] if raw in self.ranks else merged(raw, self.ranks)
-        return found
+        self.known = _Known(self)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Token ids per text, special tokens never."""
-        split = [self.pattern.findall(text) for text in texts]
-        if len(self.known) > _CACHED:
-            self.known = {}
-        wanted = set(chain.from_iterable(split))
-        fresh = self._learn(wanted - self.known.keys())
-        known = self.known | fresh if len(self.known) < len(fresh) else None
-        if known is None:
-            self.known.update(fresh)
-            known = self.known
-        out = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
-        self.known = {p: i for p, i in known.items() if len(p) <= _PIECE} if any(
-            len(p) > _PIECE for p in fresh
-        ) else known
+        out = []
+        for text in texts:
+            if len(self.known) > _CACHED:
+                self.known = _Known(self)
+            ids_of = self.known.__getitem__
+            out.append(list(chain.from_iterable(map(ids_of, self.pattern.findall(text)))))
         return out
 
+    def encode_piece(self, piece: str) -> tuple[int, ...]:
+        """Token ids of one match of the pattern."""
+        if self.circular.search(piece):
+            raw = piece.encode()
+            return (self.ranks[raw],) if raw in self.ranks else tuple(merged(raw, self.ranks))
+        return tuple(self.model.encode(piece, add_special_tokens=False).ids)
+
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the ids; an unknown id is an error."""
         return b"".join(map(self.tokens.__getitem__, ids))
