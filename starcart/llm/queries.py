@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starcart.llm.byte_bpe import decoded, digests, encoded
 from starcart.llm.decontamination import contaminated
 from starcart.llm.near_dedup import Rule, near_duplicates
+from starcart.llm.secrets import find_secrets, of_kind, written
 from starcart.llm.toxicity import fit_toxicity, learns_from, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,19 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    base = F.col("base")
+    return find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        of_kind(base, "assign").alias("n_assign"),
+        of_kind(base, "access").alias("n_access"),
+        of_kind(base, "hex").alias("n_hex"),
+        F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
+        written(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover half of a benchmark item, with that item."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -61,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_toxicity": op3_toxicity,
+    "op5_secrets": op5_secrets,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
