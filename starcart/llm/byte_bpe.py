@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from starcart.llm.words import map_slices
 
-_CACHED = 500_000  # pieces a worker remembers, of at most _PIECE characters
+_CACHED = 150_000  # pieces a worker remembers, of at most _PIECE characters
 _PIECE = 48
 
 # The characters that \s stands for in the pattern's own dialect.
-WHITE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def pattern_of(text: str) -> regex.Pattern:
@@ -120,16 +120,27 @@ class _Known(dict):
         return ids
 
 
-class Codec:
+class Decoder:
+    """The tokens of a rank file."""
+
+    def __init__(self, rank_file: bytes) -> None:
+        pairs = (line.split() for line in rank_file.splitlines() if line)
+        self.tokens = {int(rank): base64.b64decode(token) for token, rank in pairs}
+
+    def decode(self, ids: list[int]) -> bytes:
+        """The bytes of the ids; an unknown id is an error."""
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+
+class Codec(Decoder):
     """Encoder and decoder for one rank file and pattern."""
 
     def __init__(self, rank_file: bytes, pattern: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer, models, pre_tokenizers
 
-        pairs = (line.split() for line in rank_file.splitlines() if line)
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        super().__init__(rank_file)
+        self.ranks = {token: rank for rank, token in self.tokens.items()}
         self.pattern = pattern_of(pattern)
         characters = byte_characters()
         name = {t: "".join([characters[b] for b in t]) for t in self.ranks}
@@ -163,10 +174,6 @@ class Codec:
             return (self.ranks[raw],) if raw in self.ranks else tuple(merged(raw, self.ranks))
         return tuple(self.model.encode(piece, add_special_tokens=False).ids)
 
-    def decode(self, ids: list[int]) -> bytes:
-        """The bytes of the ids; an unknown id is an error."""
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 @lru_cache(maxsize=2)
 def codec(rank_file: bytes, pattern: str) -> Codec:
@@ -174,6 +181,12 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
     return Codec(rank_file, pattern)
 
 
+@lru_cache(maxsize=2)
+def decoder(rank_file: bytes) -> Decoder:
+    """Workers that only decode need no encoder."""
+    return Decoder(rank_file)
+
+
 def byte_starts(ids: list[int], tokens: dict[int, bytes]) -> np.ndarray:
     """First byte of each token in the UTF-8 text."""
     lengths = np.fromiter((len(tokens[i]) for i in ids), np.int64, len(ids))
@@ -226,11 +239,11 @@ def _token_lengths(own: Codec) -> np.ndarray:
     return own.lengths
 
 
-def decoded(df: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:
+def decoded(df: DataFrame, rank_file: bytes) -> DataFrame:
     """The rows with ``decoded``, the bytes that their ``ids`` stand for; no ids give none."""
 
     def run(batches):
-        own = codec(rank_file, pattern)
+        own = decoder(rank_file)
         for batch in batches:
             raw = [own.decode(ids or []) for ids in batch.column("ids").to_pylist()]
             yield batch.append_column("decoded", pa.array(raw, pa.binary()))

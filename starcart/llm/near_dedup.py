@@ -110,7 +110,7 @@ def may_link(
 
 
 def _sets(df: DataFrame, columns: str, rule: Rule, keep) -> DataFrame:
-    """Rows of ``doc_id`` and what ``keep`` makes of each document's set of shingles."""
+    """Rows of ``doc_id``, ``tag`` and what ``keep`` makes of each document's set of shingles."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(as_bytes(batch.column("text")))
@@ -121,11 +121,12 @@ def _sets(df: DataFrame, columns: str, rule: Rule, keep) -> DataFrame:
         ]
         made = [pa.array([r[k] for r in rows]) for k in range(len(rows[0]))]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), *made],
-            ["doc_id", *(c.split()[0] for c in columns.split(", "))],
+            [batch.column("doc_id"), batch.column("tag"), *made],
+            ["doc_id", "tag", *(c.split()[0] for c in columns.split(", "))],
         )
 
-    return map_slices(df.select(F.col("doc_id").cast("long"), "text"), run, f"doc_id long, {columns}")
+    source = df.select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    return map_slices(source, run, f"doc_id long, tag long, {columns}")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -133,7 +134,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def sketches(df: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, n_shingles, digest, registers``; an empty set has empty registers."""
+    """``doc_id, tag, n_shingles, digest, registers``; an empty set has empty registers."""
     order = borrow_order(rule.registers)
 
     def keep(shingles: np.ndarray) -> tuple:
@@ -303,7 +304,7 @@ def _rare_pairs(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Per row of ``(doc_id, text)``: n_shingles, component_id, kept.
+    """Per row of ``(doc_id, text)``: n_shingles, component_id, kept, and tag, a hash of the text.
 
     Two documents are linked if their sets of distinct word shingles have a Jaccard similarity
     of ``rule.percent`` or more; component_id is the least doc_id reachable over links. kept
@@ -336,7 +337,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .join(linked, "digest", "left")
         .select("digest", F.coalesce("least", "doc_id").alias("least"))
     )
-    out = drawn.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    out = drawn.select("doc_id", "tag", "n_shingles", "digest").join(named, "digest", "left")
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", alone))
     return out.select(
@@ -344,6 +345,32 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        "tag",
+    )
+
+
+def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The documents, all columns, with one of each group of near duplicates.
+
+    The one with the least doc_id stays. Of rows with the same doc_id one text stays, by the least
+    hash, and of repeated rows one. Texts without words and rows without doc_id all stay.
+    """
+    found = stored(near_duplicates(docs, rule).where("n_shingles > 0 and doc_id is not null"), "groups")
+    first = found.where("kept").groupBy("component_id").agg(
+        F.min("tag").alias("best"), F.max("tag").alias("worst"), F.count("*").alias("rows")
+    )
+    doubtful = first.where("rows > 1")  # several rows with one doc_id
+    losers = found.where("not kept").union(
+        found.where("kept").join(doubtful, "component_id").where("tag != best").select(*found.columns)
+    )
+    losers = losers.select(F.col("doc_id").alias("id"), "tag").distinct()
+    same = (F.col("id") == F.col("doc_id")) & (F.col("tag") == F.xxhash64("text"))
+    kept = docs.join(losers, same, "left_anti")
+    repeated = doubtful.select(F.col("component_id").alias("id"), F.col("best").alias("tag"))
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, same, "left_anti").unionByName(
+        kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
     )
 
 

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from starcart.llm.byte_bpe import decoded, digests, encoded
 from starcart.llm.decontamination import contaminated
+from starcart.llm.lattice_lm import lattice_scores
 from starcart.llm.near_dedup import Rule, near_duplicates
 from starcart.llm.secrets import find_secrets, of_kind, written
+from starcart.llm.sharding import records, sharded, slot_bytes, slot_map
 from starcart.llm.toxicity import fit_toxicity, learns_from, toxicity
+from starcart.llm.words import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,11 +35,17 @@ def rank_file(path: str | None = None) -> bytes:
         return file.read()
 
 
+def vocabulary_file(path: str | None = None) -> bytes:
+    """The subword vocabulary with its scores."""
+    with open(path or public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        return file.read()
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again."""
     ranks, pattern = rank_file(), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents")
-    return digests(decoded(encoded(docs, ranks, pattern), ranks, pattern))
+    return digests(decoded(encoded(docs, ranks, pattern), ranks))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +61,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of near equal bytes; the map is stored as version 1."""
+    rows = records(table(spark, sf_dir, "documents"))
+    first = stored(slot_map(slot_bytes(rows)), "slot_map")
+    return sharded(rows, first.drop("version")).select(
+        F.col("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+    )
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     base = F.col("base")
@@ -65,6 +90,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the piece lattice learnt from six sevenths of them."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lattice_scores(table(spark, sf_dir, "documents"), held, vocabulary_file())
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover half of a benchmark item, with that item."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,7 +106,9 @@ QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_toxicity": op3_toxicity,
+    "op4_sharding": op4_sharding,
     "op5_secrets": op5_secrets,
+    "op7_lattice_lm": op7_lattice_lm,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 

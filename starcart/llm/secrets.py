@@ -231,3 +231,38 @@ def written(spans: Column) -> Column:
 
 def of_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == KINDS.index(kind))).cast("long")
+
+
+def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """The rows, all columns, with each found span of the text replaced by ``mark``.
+
+    Spans that overlap are replaced by one mark. ``n_chars``, where the table has it, becomes the new
+    length; rows without a span stay as they are.
+    """
+    columns = docs.columns
+    found = find_secrets(docs.select(F.struct(*(f"`{c}`" for c in columns)).alias("row"), "text"), ("row",))
+    text = F.col("row")["text"]
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+
+    def add(state: Column, span: Column) -> Column:
+        fresh = span["start"] >= state["at"]
+        between = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
+        done = F.concat(state["done"], F.when(fresh, F.concat(between, F.lit(mark))).otherwise(F.lit("")))
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), done.alias("done"))
+
+    spans = F.array_sort(F.concat("base", "added"))
+    rest = F.substring(text, F.col("s")["at"] + 1, F.length(text))
+    changed = F.size("spans") > 0
+    rows = found.select("row", spans.alias("spans"))
+    rows = rows.select("row", "spans", F.when(changed, F.aggregate("spans", start, add)).alias("s"))
+    rows = rows.select("row", "spans", F.concat(F.col("s")["done"], rest).alias("clean"))
+    kinds = dict(docs.dtypes)
+    new = {"text": F.col("clean"), "n_chars": F.length("clean").cast(kinds.get("n_chars", "long"))}
+    return rows.select(
+        *(
+            (
+                F.when(changed, new[c]).otherwise(F.col("row")[c]) if c in new else F.col("row")[c]
+            ).alias(c)
+            for c in columns
+        )
+    )

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import LOWER, Stretches, as_bytes, map_slices, shingle_set, stored
+from starcart.llm.words import LOWER, Stretches, as_bytes, map_slices, shingle_set, slices, stored
 
 # Words of four languages per symbol.
 INSULTS = """
@@ -407,6 +407,19 @@ def score_of(matches: list[tuple], model: Model) -> float:
     return float(1 / (1 + np.exp(-np.clip(x[:-1] @ model.tags + x[-1] * model.kinds + model.bias, -30, 30))))
 
 
+def without_toxic(docs: DataFrame, model: Model, limit: float = 0.7) -> DataFrame:
+    """The rows, all columns, whose text scores below the limit."""
+    reader = Reader(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                found = reader.read(as_bytes(piece.column("text")))
+                yield piece.filter(pa.array([score_of(m, model) < limit for m in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns of each row with ``score`` and ``matches``.
 

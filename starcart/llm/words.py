@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 2_000_000
@@ -122,9 +123,8 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
     """The batch in pieces of about SLICE_BYTES of text, so that arrays stay small."""
     if not batch.num_rows:
         return
-    lengths = np.fromiter(
-        (len(t) for t in as_bytes(batch.column(text))), np.int64, batch.num_rows
-    )
+    sizes = pc.binary_length(batch.column(text).cast(pa.binary()))
+    lengths = sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     piece = np.cumsum(lengths + 64) // SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:], strict=False):
