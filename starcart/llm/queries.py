@@ -12,6 +12,7 @@ from starcart.llm.byte_bpe import decoded, digests, encoded
 from starcart.llm.decontamination import contaminated
 from starcart.llm.lattice_lm import lattice_scores
 from starcart.llm.near_dedup import Rule, near_duplicates
+from starcart.llm.quality import fit_quality, quality
 from starcart.llm.secrets import find_secrets, of_kind, written
 from starcart.llm.sharding import records, sharded, slot_bytes, slot_map
 from starcart.llm.toxicity import fit_toxicity, learns_from, toxicity
@@ -96,6 +97,12 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(table(spark, sf_dir, "documents"), held, vocabulary_file())
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and classifier over every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover half of a benchmark item, with that item."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -109,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_secrets": op5_secrets,
     "op7_lattice_lm": op7_lattice_lm,
+    "op8_quality": op8_quality,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
