@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starcart.llm import reputation
 from starcart.llm.byte_bpe import decoded, digests, encoded
 from starcart.llm.decontamination import contaminated
 from starcart.llm.lattice_lm import lattice_scores
+from starcart.llm.licenses import licenses
 from starcart.llm.near_dedup import Rule, near_duplicates
 from starcart.llm.quality import fit_quality, quality
 from starcart.llm.secrets import find_secrets, of_kind, written
@@ -46,7 +48,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again."""
     ranks, pattern = rank_file(), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents")
-    return digests(decoded(encoded(docs, ranks, pattern), ranks))
+    return digests(decoded(encoded(docs, ranks, pattern).drop("starts"), ranks))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +93,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by the piece lattice learnt from six sevenths of them."""
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
@@ -109,15 +116,23 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.withColumn("n_tiles", F.size("tiles")).drop("tiles")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return reputation.judged(pages, labels).drop("share")
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_sharding": op4_sharding,
     "op5_secrets": op5_secrets,
+    "op6_licenses": op6_licenses,
     "op7_lattice_lm": op7_lattice_lm,
     "op8_quality": op8_quality,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_url_filter": op10_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_url_filter": reputation.ORACLE_SQL}
