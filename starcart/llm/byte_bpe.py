@@ -17,8 +17,12 @@ from __future__ import annotations
 import base64
 import heapq
 import os
+import re
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +32,34 @@ from pyspark.sql import functions as F
 
 from starcart.llm.words import map_slices
 
-_CACHED = 150_000  # pieces a worker remembers, of at most _PIECE characters
+_CACHED = 100_000  # pieces in a generation of a worker's cache, of at most _PIECE characters
 _PIECE = 48
 
 # The characters that \s stands for in the pattern's own dialect.
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def pattern_of(text: str) -> regex.Pattern:
-    r"""The splitting pattern; \s and \S by the white space above."""
-    text = text.replace(r"(?!\S)", f"(?![^{WHITE}])").replace(r"[^\s", f"[^{WHITE}")
-    return regex.compile(text.replace(r"\s", f"[{WHITE}]"))
+@lru_cache
+def _ranges(category: str, most: int) -> str:
+    """The characters of a category, up to a highest one, as ranges for a character class."""
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, most + 1))))
+    runs = regex.finditer(rf"\p{{{category}}}+", every)
+    return "".join(f"{re.escape(r[0][0])}-{re.escape(r[0][-1])}" for r in runs)
+
+
+def pattern_of(text: str, most: int = 0x10FFFF) -> re.Pattern:
+    r"""The splitting pattern with \s, \S, \p{L} and \p{N} as plain character classes.
+
+    With ``most`` 0xFFFF it is for texts without higher characters, and faster.
+    """
+    classes = {r"\s": WHITE, r"\p{L}": _ranges("L", most), r"\p{N}": _ranges("N", most)}
+    out = []
+    for part in re.split(r"(\[[^\]]*\])", text.replace(r"\S", r"[^\s]")):
+        bracketed = part.startswith("[")
+        for name, members in classes.items():
+            part = part.replace(name, members if bracketed else f"[{members}]")
+        out.append(part)
+    return re.compile("".join(out))
 
 
 def byte_characters() -> list[str]:
@@ -108,28 +129,48 @@ def _ordered_splits(token: bytes, ranks: dict[bytes, int]) -> tuple[list[int], b
 
 
 class _Known(dict):
-    """Pieces already encoded; long ones, which hardly come again, are not kept."""
+    """Token ids of pieces met so far, packed, in two generations: what is not met again is forgotten.
 
-    def __init__(self, codec: Codec) -> None:
-        self.codec = codec
+    Long pieces, which hardly come again, are not kept.
+    """
+
+    def __init__(self, encode_piece: Callable[[str], list[int]]) -> None:
+        self.encode_piece = encode_piece
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.codec.encode_piece(piece)
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece) or array("i", self.encode_piece(piece)).tobytes()
         if len(piece) <= _PIECE:
             self[piece] = ids
         return ids
 
+    def age(self) -> None:
+        if len(self) > _CACHED:
+            self.older = dict(self)
+            self.clear()
+
 
 class Decoder:
-    """The tokens of a rank file."""
+    """The tokens of a rank file; ids may have gaps."""
 
     def __init__(self, rank_file: bytes) -> None:
         pairs = (line.split() for line in rank_file.splitlines() if line)
         self.tokens = {int(rank): base64.b64decode(token) for token, rank in pairs}
+        listed = [self.tokens.get(i) for i in range(max(self.tokens) + 1)]
+        self.lengths = np.array([-1 if t is None else len(t) for t in listed])
+        self.starts = np.cumsum(np.maximum(self.lengths, 0)) - np.maximum(self.lengths, 0)
+        self.data = np.frombuffer(b"".join(t or b"" for t in listed), np.uint8)
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids; an unknown id is an error."""
-        return b"".join(map(self.tokens.__getitem__, ids))
+        ids = np.asarray(ids, np.int64)
+        if not len(ids):
+            return b""
+        lengths = self.lengths[ids]
+        if ids.min() < 0 or lengths.min() < 0:
+            raise ValueError("an id is not in the vocabulary")
+        ends = np.cumsum(lengths)
+        return self.data[np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends + lengths, lengths)].tobytes()
 
 
 class Codec(Decoder):
@@ -137,11 +178,11 @@ class Codec(Decoder):
 
     def __init__(self, rank_file: bytes, pattern: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import models
 
         super().__init__(rank_file)
         self.ranks = {token: rank for rank, token in self.tokens.items()}
-        self.pattern = pattern_of(pattern)
+        self.pattern, self.short = pattern_of(pattern), pattern_of(pattern, 0xFFFF)
         characters = byte_characters()
         name = {t: "".join([characters[b] for b in t]) for t in self.ranks}
         merges, circular = [], []
@@ -150,29 +191,36 @@ class Codec(Decoder):
             merges += [(name[token[:i]], name[token[i:]]) for i in splits]
             if contradiction:
                 circular.append(token.decode("utf-8", "surrogateescape"))
-        self.model = Tokenizer(
-            models.BPE({name[t]: r for t, r in self.ranks.items()}, merges, ignore_merges=True)
-        )
-        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = models.BPE({name[t]: r for t, r in self.ranks.items()}, merges, ignore_merges=True)
+        self.characters = {b: c for b, c in enumerate(characters)}
         self.circular = regex.compile("|".join(map(regex.escape, circular)) or "(?!)")
-        self.known = _Known(self)
+        self.known = _Known(self.encode_piece)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern."""
+        low = len(text.encode("utf-16-le")) == 2 * len(text)
+        return (self.short if low else self.pattern).findall(text)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids per text, special tokens never."""
         out = []
         for text in texts:
-            if len(self.known) > _CACHED:
-                self.known = _Known(self)
-            ids_of = self.known.__getitem__
-            out.append(list(chain.from_iterable(map(ids_of, self.pattern.findall(text)))))
+            self.known.age()
+            pieces = self.split(text)
+            if len(pieces) > 1:
+                packed = b"".join(itemgetter(*pieces)(self.known))
+            else:
+                packed = b"".join([self.known[piece] for piece in pieces])
+            out.append(np.frombuffer(packed, np.int32))
         return out
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
+    def encode_piece(self, piece: str) -> list[int]:
         """Token ids of one match of the pattern."""
+        raw = piece.encode()
         if self.circular.search(piece):
-            raw = piece.encode()
-            return (self.ranks[raw],) if raw in self.ranks else tuple(merged(raw, self.ranks))
-        return tuple(self.model.encode(piece, add_special_tokens=False).ids)
+            return [self.ranks[raw]] if raw in self.ranks else merged(raw, self.ranks)
+        shown = raw.decode("latin-1").translate(self.characters)
+        return [token.id for token in self.model.tokenize(shown)]
 
 
 @lru_cache(maxsize=2)
@@ -187,12 +235,6 @@ def decoder(rank_file: bytes) -> Decoder:
     return Decoder(rank_file)
 
 
-def byte_starts(ids: list[int], tokens: dict[int, bytes]) -> np.ndarray:
-    """First byte of each token in the UTF-8 text."""
-    lengths = np.fromiter((len(tokens[i]) for i in ids), np.int64, len(ids))
-    return np.cumsum(lengths) - lengths
-
-
 def char_spans(raw: bytes, starts: np.ndarray) -> list[tuple[int, int]]:
     """Characters that each token touches, [first, end); a split character belongs to each part."""
     if not len(starts):
@@ -214,8 +256,8 @@ def encoded(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ..
         own = codec(rank_file, pattern)
         ids = own.encode([t or "" for t in batch.column("text").to_pylist()])
         sizes = np.fromiter((len(i) for i in ids), np.int32, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-        lengths = _token_lengths(own)[flat]
+        flat = np.concatenate(ids)
+        lengths = own.lengths[flat]
         ends = np.cumsum(lengths)
         at = np.zeros(len(ids) + 1, np.int32)
         np.cumsum(sizes, out=at[1:])
@@ -231,21 +273,15 @@ def encoded(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ..
     return map_slices(source, run, f"{types}, ids array<int>, starts array<int>")
 
 
-def _token_lengths(own: Codec) -> np.ndarray:
-    if not hasattr(own, "lengths"):
-        own.lengths = np.zeros(max(own.tokens) + 1, np.int64)
-        for rank, token in own.tokens.items():
-            own.lengths[rank] = len(token)
-    return own.lengths
-
-
 def decoded(df: DataFrame, rank_file: bytes) -> DataFrame:
-    """The rows with ``decoded``, the bytes that their ``ids`` stand for; no ids give none."""
+    """The rows with ``decoded``, the bytes that their ``ids`` stand for; no or null ids give none."""
 
     def run(batches):
         own = decoder(rank_file)
         for batch in batches:
-            raw = [own.decode(ids or []) for ids in batch.column("ids").to_pylist()]
+            ids = batch.column("ids")
+            values, at = ids.values.to_numpy(), ids.offsets.to_numpy()
+            raw = [own.decode(values[a:b]) for a, b in zip(at, at[1:], strict=False)]
             yield batch.append_column("decoded", pa.array(raw, pa.binary()))
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
