@@ -49,7 +49,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids per document. A null text counts as empty."""
     ranks, pattern = rank_file(), public_tokenizers.PATTERN
-    found = decoded(encoded(docs, ranks, pattern, ("doc_id", "lang", "source", "text")), ranks)
+    found = encoded(docs, ranks, pattern, ("doc_id", "lang", "source", "text")).drop("starts")
+    found = decoded(found, ranks)
     return found.select(
         "doc_id",
         "lang",
