@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import map_slices
+from starcart.llm.words import map_batches, map_slices
 
 _CACHED = 100_000  # pieces in a generation of a worker's cache, of at most _PIECE characters
 _PIECE = 48
@@ -166,8 +166,9 @@ class Decoder:
         ids = np.asarray(ids, np.int64)
         if not len(ids):
             return b""
-        lengths = self.lengths[ids]
-        if ids.min() < 0 or lengths.min() < 0:
+        known = ids.min() >= 0 and ids.max() < len(self.lengths)
+        lengths = self.lengths[ids] if known else ids - ids - 1
+        if lengths.min() < 0:
             raise ValueError("an id is not in the vocabulary")
         ends = np.cumsum(lengths)
         return self.data[np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends + lengths, lengths)].tobytes()
@@ -285,7 +286,7 @@ def decoded(df: DataFrame, rank_file: bytes) -> DataFrame:
             yield batch.append_column("decoded", pa.array(raw, pa.binary()))
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{types}, decoded binary")
+    return map_batches(df, run, f"{types}, decoded binary")
 
 
 def digests(df: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         "edges",
     )
     before = _checksum(now)
-    while True:
+    while before[0]:
         now = stored(_small_star(_large_star(now)), "edges")
         after = _checksum(now)
         if after == before:

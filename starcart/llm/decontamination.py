@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import Words, as_bytes, map_slices, mix, slices
+from starcart.llm.words import Words, as_bytes, map_batches, map_slices, mix, slices
 
 SEED = 5
 COVERAGE = 0.5
@@ -277,5 +277,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
                     found = leaks(as_bytes(piece.column("text")), block, coverage)
                     yield piece.filter(pa.array([not f for f in found], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_batches(docs, run, docs.schema)
     return docs

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import Stretches, Words, as_bytes, mix, slices, stored
+from starcart.llm.words import Stretches, Words, as_bytes, map_batches, mix, slices, stored
 
 END = int(mix(np.array([0x0E4D], np.uint64))[0])  # the end of a text, as a word
 SMOOTHING = 0.1  # added to each piece's expected count
@@ -224,7 +224,7 @@ def _blocks(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         if number:
             yield as_batch({"expected": np.rint(total * _UNIT).astype(np.int64)})
 
-    return docs.mapInArrow(run, _PACKED)
+    return map_batches(docs, run, _PACKED)
 
 
 def _unpacked(df: DataFrame, columns: dict[str, str], schema: str, extra=None) -> DataFrame:
@@ -241,7 +241,7 @@ def _unpacked(df: DataFrame, columns: dict[str, str], schema: str, extra=None) -
                     [*head, *place, *map(pa.array, arrays)], ["block", "place", *columns]
                 )
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def lattice_scores(docs: DataFrame, held: F.Column, model_file: bytes) -> DataFrame:

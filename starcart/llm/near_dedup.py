@@ -24,11 +24,11 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starcart.llm.components import components
-from starcart.llm.words import Words, as_bytes, map_slices, mix, shingle_set, stored
+from starcart.llm.words import Words, as_bytes, map_batches, map_slices, mix, shingle_set, stored
 
 MANTISSA = 10
 _EMPTY = np.uint64(2**64 - 1)
@@ -184,7 +184,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
             good = pa.array(may_link(left, right, *sizes, rule))
             yield batch.select(["a", "b"]).filter(good)
 
-    return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a binary, b binary")
+    return map_batches(both.select("a", "b", "n_a", "n_b", "r_a", "r_b"), run, "a binary, b binary")
 
 
 def _class_sets(df: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
@@ -363,14 +363,17 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     losers = found.where("not kept").union(
         found.where("kept").join(doubtful, "component_id").where("tag != best").select(*found.columns)
     )
-    losers = losers.select(F.col("doc_id").alias("id"), "tag").distinct()
-    same = (F.col("id") == F.col("doc_id")) & (F.col("tag") == F.xxhash64("text"))
-    kept = docs.join(losers, same, "left_anti")
-    repeated = doubtful.select(F.col("component_id").alias("id"), F.col("best").alias("tag"))
+    losers = losers.select("doc_id", "tag").distinct()
+    repeated = doubtful.select(F.col("component_id").alias("doc_id"), F.col("best").alias("tag"))
+
+    def same(other: DataFrame) -> Column:
+        return (docs["doc_id"] == other["doc_id"]) & (F.xxhash64(docs["text"]) == other["tag"])
+
+    kept = docs.join(losers, same(losers), "left_anti")
     if repeated.isEmpty():
         return kept
-    return kept.join(repeated, same, "left_anti").unionByName(
-        kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, same(repeated), "left_anti").unionByName(
+        kept.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id"])
     )
 
 

@@ -97,13 +97,18 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
-    everything = suffixes.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior"))
-    suffixes = _shrunk(suffixes.join(F.broadcast(everything), how="cross"))  # a single row
+    everything = suffixes.agg(
+        ((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior"), (F.sum("n") + 3).alias("pages")
+    )
+    everything = F.broadcast(everything)  # a single row
+    suffixes = _shrunk(suffixes.join(everything.select("prior"), how="cross"))
     of_suffix = suffixes.select("suffix", F.col("mean").alias("prior"))
     of_domain = _shrunk(domains.join(of_suffix, "suffix")).select("domain", F.col("mean").alias("prior"))
-    known = _shrunk(hosts.join(of_domain, "domain"))
-    total = F.col("k") + F.col("n")
-    sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1))
+    known = _shrunk(hosts.join(of_domain, "domain")).join(everything.select("pages"), how="cross")
+    # of the host's share, and of the mean that all shares are shrunk towards in the end
+    sd = F.sqrt(
+        F.col("mean") * (1 - F.col("mean")) * (1 / (F.col("k") + F.col("n") + 1) + 1 / F.col("pages"))
+    )
     return known.select("host", F.col("mean").alias("share"), (F.col("mean") - SURENESS * sd).alias("bound"))
 
 
@@ -192,7 +197,8 @@ with read as (
   h as (select host, p.n, p.bad, m.mean as prior from placed p join d_mean m using (domain)),
   {_LEVEL.format(name="h")},
   known as (
-    select host, mean - {SURENESS} * sqrt(mean * (1 - mean) / (k + n + 1)) as bound from h_mean),
+    select host, mean - {SURENESS} * sqrt(mean * (1 - mean) * (1 / (k + n + 1)
+      + 1 / (select sum(n) + 3 from placed))) as bound from h_mean),
   ruled as (
     select page_id, host, path, bound, case
       when (host = 'example.net' or host like '%.example.net') and starts_with(path, '/en/')

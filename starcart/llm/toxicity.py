@@ -22,7 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import LOWER, Stretches, as_bytes, map_slices, shingle_set, slices, stored
+from starcart.llm.words import (
+    LOWER,
+    Stretches,
+    as_bytes,
+    map_batches,
+    map_slices,
+    shingle_set,
+    slices,
+    stored,
+)
 
 # Words of four languages per symbol.
 INSULTS = """
@@ -417,7 +426,7 @@ def without_toxic(docs: DataFrame, model: Model, limit: float = 0.7) -> DataFram
                 found = reader.read(as_bytes(piece.column("text")))
                 yield piece.filter(pa.array([score_of(m, model) < limit for m in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def toxicity(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

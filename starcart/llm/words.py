@@ -14,8 +14,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2_000_000
+BATCH_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -131,20 +133,33 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(start, end - start)
 
 
+def map_batches(
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
+) -> DataFrame:
+    """``df.mapInArrow`` with batches of about BATCH_BYTES, a setting of the session.
+
+    By default a batch has 10,000 rows, whatever their size.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def map_slices(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
     schema: str,
     text: str = "text",
 ) -> DataFrame:
-    """``df.mapInArrow`` with one call per piece of a batch."""
+    """``map_batches`` with one call per piece of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, text):
                 yield function(piece)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,102 @@
+"""Counts against loops; the classifier on drawn and on given labels."""
+
+from __future__ import annotations
+
+import os
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm.conftest import prose
+
+from starcart.llm.quality import fit_quality, quality
+from starcart.llm.words import Words
+
+
+def counted(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often, covered = Counter(windows), set()
+    for i, window in enumerate(windows):
+        if often[window] > 1:
+            covered.update(range(i, i + 5))
+    lines = Counter(x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x))
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        sum(n - 1 for n in lines.values()),
+        len(covered),
+    )
+
+
+def made(n=400):
+    rng, rows, labels = random.Random(12), [], []
+    for doc in range(n):
+        words = prose(rng, rng.randrange(15, 80), 3000)
+        good = doc % 4 > 0
+        if not good:
+            words = [rng.choice((f"{w} |", f"{w}###", f"{w.upper()}!!")) for w in words]
+        rows.append((doc, " ".join(words)))
+        labels.append((doc, int(good), 0))
+    return rows, labels
+
+
+SCHEMA = "doc_id long, quality int, toxic int"
+
+
+def test_counts(spark, docs_of):
+    rng = random.Random(2)
+    parts = ["a", "b", "é😀", "A", "\n", " ", "\t", "\n\n", "#", "<x>", "\x1c", "\xa0", "a b a b a b", "line\nline\n"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randrange(60)))) for i in range(400)]
+    rows += [(500, None), (501, "w " * 20_000), (502, "same line\n" * 300)]
+    model = fit_quality(docs_of(rows), spark.createDataFrame([], SCHEMA))
+    for r in quality(docs_of(rows), model).collect():
+        expected = counted(dict(rows)[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == expected
+        assert r.base_failed == (expected[0] < 10 or 100 * expected[4] > 20 * expected[0])
+        assert r.kept == (not r.base_failed)  # without labels the classifier is undecided
+
+
+def test_learns(spark, docs_of):
+    rows, labels = made()
+    docs = docs_of(rows)
+    model = fit_quality(docs, spark.createDataFrame(labels[:300], SCHEMA))
+    verdicts = {r.doc_id: r for r in quality(docs, model).collect()}
+    right = sum(verdicts[d].kept == bool(q) for d, q, _ in labels[300:])
+    assert right >= 97
+    assert all(0 <= r.probability <= 1 for r in verdicts.values())
+    again = fit_quality(docs, spark.createDataFrame(labels[:300], SCHEMA))
+    assert (again.weights == model.weights).all()
+
+
+def test_a_text_is_scored_by_itself(spark, docs_of):
+    rows, labels = made(60)
+    model = fit_quality(docs_of(rows), spark.createDataFrame(labels, SCHEMA))
+    texts = [t.encode() for _, t in rows]
+    together = model.margins(Words(texts, lower=False))
+    alone = [model.margins(Words([t], lower=False))[0] for t in texts]
+    assert together.tolist() == pytest.approx(alone)
+
+
+@pytest.mark.parametrize("labels", [[], [(5, 1, 0)], [(5, None, 0), (None, 0, 0)]])
+def test_odd_rows(spark, odd_docs, labels):
+    model = fit_quality(odd_docs, spark.createDataFrame(labels, SCHEMA))
+    rows = quality(odd_docs, model).collect()
+    assert len(rows) == 11
+    assert all(r.base_failed and not r.kept for r in rows if r.doc_id in (1, 2, 3, 4, 8))
+    assert quality(odd_docs.limit(0), model).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test data not present")
+def test_labels_that_were_not_used(spark):
+    from starcart.llm.queries import table
+
+    docs, labels = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    model = fit_quality(docs, labels.where("doc_id % 3 > 0"))
+    rows = quality(docs, model).join(labels.where("doc_id % 3 = 0"), "doc_id").collect()
+    kept = Counter((r.quality, r.kept) for r in rows)
+    assert kept[0, True] <= 1
+    assert kept[1, False] <= 0.05 * len(rows)
