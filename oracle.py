@@ -147,12 +147,32 @@ def _profile() -> str:
             name, kind = column.split(" ")
             parts.append(
                 f"""select '{table}' as table_name, '{name}' as column_name,
-  '{kind}' as data_type, count(*) as row_count, count(*) - count("{name}") as null_count,
-  cast(0 as bigint) as reject_count from src_{table}"""
+  '{kind}' as data_type, '{kind}' as actual_type, 'present' as status, count(*) as row_count,
+  count(*) - count("{name}") as null_count, cast(0 as bigint) as reject_count,
+  cast(0 as bigint) as rounded_count from src_{table}"""
             )
     return f"with {SOURCES}\n" + "\nunion all ".join(parts)
 
 
+def _profile_csv() -> str:
+    """The lines as text: ids, prices and freights spoilt by rule, a column more."""
+    spoilt = {"order_item_id": "order_item_id % 10 = 0", "price": "order_item_id % 7 = 0"}
+    columns = [c.split(" ") for c in SOURCE_COLUMNS["order_items"].split(", ")]
+    parts = []
+    for name, kind in [*columns, ["note", None]]:
+        rejected = f"count(*) filter ({spoilt[name]})" if name in spoilt else "0"
+        nulls = f'count(*) filter ("{name}" is null)' if kind else "0"
+        lost = "count(*) filter (order_item_id % 3 = 0)" if name == "freight_value" else "0"
+        parts.append(
+            f"""select 'order_items' as table_name, '{name}' as column_name,
+  {f"'{kind}'" if kind else "cast(null as varchar)"} as data_type, 'string' as actual_type,
+  '{"present" if kind else "extra"}' as status, count(*) as row_count,
+  {nulls} + {rejected} as null_count, cast({rejected} as bigint) as reject_count,
+  cast({lost} as bigint) as rounded_count from src_order_items"""
+        )
+    return f"with {SOURCES}\n" + "\nunion all ".join(parts)
+
+
 def _row_counts() -> str:
     parts = [
         f"select '{name}' as table_name, count(*) as row_count from {name}" for name in STAR_NAMES
@@ -256,12 +276,16 @@ left join products_dim p on f.product_id = p.product_id
 left join category_dim c on p.product_category_name = c.category_name
 group by 1 order by 2 desc, 1 asc nulls last limit 5"""
 
+# Each person's earliest time over all accounts; then the orders of that time whose account id
+# reads like the person's id.
 _LITERAL_LOOKUP = """left join (
-  select o2.order_id from orders_dim o2
-  where (o2.customer_id, o2.order_purchase_timestamp) in (
-    select c2.customer_unique_id, min(o3.order_purchase_timestamp)
-    from customers_dim c2 join orders_dim o3 on c2.customer_id = o3.customer_id
-    group by c2.customer_unique_id)
+  with earliest as (
+    select people.customer_unique_id as person, min(bought.order_purchase_timestamp) as at_time
+    from orders_dim bought, customers_dim people
+    where bought.customer_id = people.customer_id
+    group by person)
+  select named.order_id from orders_dim named, earliest
+  where named.customer_id = earliest.person and named.order_purchase_timestamp = earliest.at_time
 ) fp on f.order_id = fp.order_id"""
 
 _FIRST_ORDERS = """join (
@@ -273,28 +297,48 @@ _FIRST_ORDERS = """join (
 ) fp on f.order_id = fp.order_id"""
 
 _CONTROL_AS_WRITTEN = """
-select o.order_id,
-       string_agg(cast(f.order_item_id as varchar), ',' order by f.order_item_id) as order_item_ids,
-       cast(sum(f.price) as decimal(38,4)) as order_item_price,
-       cast(sum(f.freight_value) as decimal(38,4)) as order_freight,
-       cast(sum(f.price + f.freight_value) as decimal(38,4)) as should_pay,
-       max(p.payment_value) as payment_value
-from order_items_fact f
-join orders_dim o on f.order_id = o.order_id
-join payments_dim p on p.order_id = o.order_id
-group by o.order_id"""
+, joined as (
+  select o.order_id, f.order_item_id, f.price, f.freight_value, p.payment_value,
+    try_cast(f.price as decimal(9,4)) as legacy_price,
+    try_cast(f.freight_value as decimal(9,4)) as legacy_freight
+  from orders_dim o
+  join order_items_fact f on f.order_id = o.order_id
+  join payments_dim p on p.order_id = o.order_id),
+totals as (
+  select order_id,
+    cast(sum(legacy_price) as decimal(38,4)) as order_item_price,
+    cast(sum(legacy_freight) as decimal(38,4)) as order_freight,
+    cast(sum(legacy_price + legacy_freight) as decimal(38,4)) as should_pay,
+    max(payment_value) as payment_value,
+    count(*) filter (where (price is not null and legacy_price is null)
+      or (freight_value is not null and legacy_freight is null)) as lost_lines
+  from joined group by order_id)
+select order_id, order_item_id, count(*) as occurrences, any_value(order_item_price) as order_item_price,
+  any_value(order_freight) as order_freight, any_value(should_pay) as should_pay,
+  any_value(t.payment_value) as payment_value, any_value(lost_lines) as lost_lines
+from joined join totals t using (order_id) group by order_id, order_item_id"""
 
 _CONTROL = """
-select i.order_id, i.number_of_items, i.order_item_price, i.order_freight, i.should_pay,
-       p.payment_value, cast(p.payment_value - i.should_pay as decimal(38,4)) as difference
-from (select order_id, count(*) as number_of_items,
-             cast(sum(price) as decimal(38,4)) as order_item_price,
-             cast(sum(freight_value) as decimal(38,4)) as order_freight,
-             cast(sum(price + freight_value) as decimal(38,4)) as should_pay
-      from order_items_fact group by order_id) i
-join (select order_id, cast(sum(payment_value) as decimal(38,4)) as payment_value
-      from payments_dim group by order_id) p on i.order_id = p.order_id
-where i.order_id in (select order_id from orders_dim)"""
+select o.order_id, coalesce(number_of_items, 0) as number_of_items,
+  coalesce(incomplete_lines, 0) as incomplete_lines,
+  coalesce(number_of_payments, 0) as number_of_payments,
+  cast(coalesce(order_item_price, 0) as decimal(38,4)) as order_item_price,
+  cast(coalesce(order_freight, 0) as decimal(38,4)) as order_freight,
+  cast(coalesce(should_pay, 0) as decimal(38,4)) as should_pay,
+  cast(coalesce(payment_value, 0) as decimal(38,4)) as payment_value,
+  cast(coalesce(payment_value, 0) - coalesce(should_pay, 0) as decimal(38,4)) as difference
+from (select distinct order_id from orders_dim where order_id is not null) o
+left join (
+  select order_id, count(*) as number_of_items,
+    count(*) filter (where price is null or freight_value is null) as incomplete_lines,
+    cast(sum(coalesce(price, 0)) as decimal(38,4)) as order_item_price,
+    cast(sum(coalesce(freight_value, 0)) as decimal(38,4)) as order_freight,
+    cast(sum(coalesce(price, 0) + coalesce(freight_value, 0)) as decimal(38,4)) as should_pay
+  from order_items_fact group by order_id) i on i.order_id = o.order_id
+left join (
+  select order_id, count(*) as number_of_payments,
+    cast(sum(payment_value) as decimal(38,4)) as payment_value
+  from payments_dim group by order_id) p on p.order_id = o.order_id"""
 
 # What each report returns, over the tables of the star.
 REPORTS = {
@@ -327,6 +371,7 @@ def all_sql() -> dict[str, str]:
     return {
         "scan_csv": f"with {SOURCES}\nselect * from src_orders",
         "source_profile": _profile(),
+        "source_profile_csv": _profile_csv(),
         "sink_csv_roundtrip": _over_star("select * from order_items_fact"),
         "sink_parquet_roundtrip": _over_star("select * from orders_dim"),
         **{f"load_{name}": _over_star(f"select * from {name}") for name in STAR_NAMES},

@@ -5,6 +5,7 @@ from starcart.operators.reports import (
     orders_by_city,
     orders_by_month,
     payment_control,
+    payment_control_as_written,
     revenue_by_month,
     top_categories,
     top_products,
@@ -23,6 +24,7 @@ __all__ = [
     "orders_by_city",
     "orders_by_month",
     "payment_control",
+    "payment_control_as_written",
     "prepare",
     "read_star",
     "refresh_star",

@@ -7,80 +7,78 @@ Equal rows get equal pieces: a ``distinct`` that keeps the piece needs no other
 partitioning. No random numbers are used, so a task that is run again deals the same
 rows to the same pieces.
 
-Which keys are hot only decides where rows travel, never what the result is. The list
-is fetched once (it is short, see ``hot_keys``) and both sides use that same list.
+A key is hot if it has more rows than a task's fair share, rows / partitions. No more than
+``partitions`` keys can have that, so their list is short by itself, at every size. It is a
+DataFrame of the same plan: nothing runs while a plan is built.
 """
 
 from __future__ import annotations
 
-import math
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE = "_piece"
 
-# A column smaller than this has no key worth splitting; rows from which
-# a key is hot; rows of a piece (small, so that pieces fill all partitions evenly);
-# share of rows looked at; most keys treated.
-_SMALL_BYTES = 16 * 1024**2
-_HOT_ROWS = 2_000_000
-_PIECE_ROWS = 200_000
-_SAMPLE = 0.001
-_MOST_KEYS = 1000
-
-HotKeys = list[tuple[str | None, int]]
+#: How to treat hot keys: find and deal them, which reads the key column once more, or leave
+#: them to the adaptive skew join, for sources whose second reading costs much (CSV).
+MEASURE, ADAPTIVE = "measure", "adaptive"
 
+# Fixed value: keys that the counting sketch follows per key that can be hot. A count is then
+# right to about a ninth of a fair share.
+_FOLLOWED = 32
+_MOST_FOLLOWED = 1_000_000
 
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
+def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``_hot, _pieces``: keys, null included, with more rows than a task's fair share.
 
-def hot_keys(
-    df: DataFrame,
-    key: str,
-    hot_rows: int = _HOT_ROWS,
-    piece_rows: int = _PIECE_ROWS,
-    sample: float = _SAMPLE,
-    small_bytes: int = _SMALL_BYTES,
-) -> HotKeys:
-    """Keys of ``df`` with ``hot_rows`` rows or more, null included, and the number of
-    pieces for each; at most a thousand, the largest first.
-
-    Looks at a sample of the one column, and at nothing where the column is small.
+    Counts come from one mergeable sketch over the one column; which keys are listed decides
+    only where rows travel. A key with p fair shares gets p pieces, rounded up, and one more.
     """
-    column = df.select(key)
-    if _estimated_bytes(column) < small_bytes:
-        return []
-    found = (
-        column.sample(sample, seed=1)
-        .groupBy(key)
-        .agg((F.count(F.lit(1)) / sample).alias("rows"))
-        .filter(F.col("rows") >= hot_rows)
-        .orderBy(F.desc("rows"))
-        .limit(_MOST_KEYS)
-        .collect()
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    followed = min(max(_FOLLOWED * partitions, 1000), _MOST_FOLLOWED)
+    kept = min(partitions, followed)
+    counts = df.select(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("key").isNull()).alias("nulls"),
+        F.expr(f"approx_top_k(key, {kept}, {followed})").alias("top"),
+    )
+    kind = dict(df.dtypes)[key]
+    null_key = F.expr(f"array(named_struct('item', cast(null as {kind}), 'count', nulls))")
+    listed = counts.select(
+        "rows",
+        F.explode(
+            F.concat(
+                F.filter(
+                    F.transform(
+                        F.coalesce("top", F.expr(f"cast(array() as array<struct<item: {kind}, count: bigint>>)")),
+                        lambda x: F.struct(x["item"].alias("item"), x["count"].alias("count")),
+                    ),
+                    lambda x: x["item"].isNotNull(),
+                ),
+                null_key,
+            )
+        ).alias("x"),
+    )
+    shares = F.try_divide(F.col("x.count") * partitions, F.col("rows"))
+    return listed.where(shares > 1).select(
+        F.col("x.item").alias("_hot"), (F.ceil(shares) + 1).alias("_pieces")
     )
-    return [(row[0], math.ceil(row[1] / piece_rows)) for row in found]
 
 
 def split_join(
-    big: DataFrame, lookup: DataFrame, key: str, hot: HotKeys, how: str = "left"
+    big: DataFrame, lookup: DataFrame, key: str, hot: DataFrame | None, how: str = "left"
 ) -> DataFrame:
     """``big`` joined to ``lookup`` (``left`` or ``left_semi``), with hot keys in pieces.
 
-    ``lookup`` should have few rows per key, as they are repeated. The result has, where
-    there are hot keys, the additional column ``PIECE``.
+    ``lookup`` should have few rows per key, as they are repeated. ``hot`` is as from ``hot_keys``;
+    with it the result has the additional column ``PIECE``, without it the join is left
+    to Spark.
     """
-    if not hot:
+    if hot is None:
         return big.join(lookup, key, how)
-    keys, counts = zip(*hot)
-    pieces = big.sparkSession.createDataFrame(
-        pa.table({"_hot": pa.array(keys, pa.string()), "_pieces": pa.array(counts, pa.int64())})
-    )
-    # at most a thousand rows, whatever the size of the tables
-    pieces = F.broadcast(pieces)
+    pieces = F.broadcast(hot)  # at most as many rows as there are partitions
     count = F.coalesce("_pieces", F.lit(1).cast("bigint"))
     dealt = (
         big.join(pieces, F.col(key).eqNullSafe(F.col("_hot")), "left")
@@ -95,6 +93,13 @@ def split_join(
     return dealt.join(repeated, [key, PIECE], how)
 
 
+def measured(df: DataFrame, key: str, hot: str) -> DataFrame | None:
+    """The hot keys to deal under the chosen method."""
+    if hot not in (MEASURE, ADAPTIVE):
+        raise ValueError(f"hot is {MEASURE!r} or {ADAPTIVE!r}, not {hot!r}")
+    return hot_keys(df, key) if hot == MEASURE else None
+
+
 def distinct_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct rows of ``columns``, in the partitioning the join left behind."""
     piece = [PIECE] if PIECE in df.columns else []

@@ -1,34 +1,60 @@
-"""Text to typed columns, without ever failing a job on one bad cell."""
+"""Text, or columns of another type, to typed columns without ever failing a job on one bad cell."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
-_WHOLE = ("int", "bigint")
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+_TIMES = {"date": "to_date", "timestamp_ntz": "to_timestamp_ntz", "timestamp": "to_timestamp"}
+
 
+def parsed(name: str, have: str, want: str, pattern: str | None = None) -> str:
+    """SQL for column ``name`` as type ``want``; a cell that does not parse is null.
 
-def parsed(name: str, have: str, want: str) -> str:
-    """SQL for column ``name`` as type ``want``; a cell that does not parse is null."""
+    ``pattern`` is the date or time format of a text column; without it text is ISO.
+    """
     column = f"`{name}`"
     if have == want:
         return column
-    if have == "string" and want in _WHOLE:
-        # "40" and "40.0" are both forty; "40.5" is not a whole number.
+    if have == "string" and want in _TIMES and pattern:
+        return f"cast(try_to_timestamp({column}, '{pattern}') as {want})"
+    if want in _WHOLE and have not in _WHOLE:
+        # "40" and "40.0" are both forty; "40.5" is not a whole number
         number = f"try_cast({column} as decimal(38,6))"
         return f"if({number} = floor({number}), try_cast({number} as {want}), null)"
     return f"try_cast({column} as {want})"
 
 
-def unparsed(name: str, have: str, want: str) -> str:
-    """SQL that is true where ``name`` holds a non-blank text that ``parsed`` makes null."""
-    if have == want or have != "string":
+def unparsed(name: str, have: str, want: str, pattern: str | None = None) -> str:
+    """SQL that is true where ``name`` holds something that ``parsed`` makes null."""
+    if have == want:
         return "false"
-    return f"trim(`{name}`) != '' and {parsed(name, have, want)} is null"
+    filled = f"trim(`{name}`) != ''" if have == "string" else f"`{name}` is not null"
+    return f"{filled} and {parsed(name, have, want, pattern)} is null"
+
+
+def rounded(name: str, have: str, want: str) -> str:
+    """SQL that is true where ``parsed`` keeps a number but not all of its digits."""
+    if not want.startswith("decimal") or have == want:
+        return "false"
+    exact = f"try_cast(`{name}` as {'double' if have in ('double', 'float') else 'decimal(38,18)'})"
+    kept = f"cast({parsed(name, have, want)} as {'double' if have in ('double', 'float') else 'decimal(38,18)'})"
+    return f"coalesce({exact} != {kept}, false)"
+
 
+def typed(
+    df: DataFrame, columns: Mapping[str, str], patterns: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Pick ``columns`` by name, in that order, as the given types.
 
-def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Pick ``columns`` by name, in that order, as the given types."""
+    ``patterns`` names the date or time format of text columns that are not ISO.
+    """
     have = dict(df.dtypes)
     return df.selectExpr(
-        *[f"{parsed(c, have.get(c, 'string'), t)} as `{c}`" for c, t in columns.items()]
+        *[
+            f"{parsed(c, have.get(c, 'string'), t, (patterns or {}).get(c))} as `{c}`"
+            for c, t in columns.items()
+        ]
     )

@@ -1,9 +1,9 @@
 """The business reports over a star, each returning a DataFrame.
 
 ``star`` maps table names to DataFrames, as returned by ``build_star`` or
-``read_star``. All joins are between grouped sides (``functions.counted``); small
-sides are broadcast by Spark itself when their size is under
-``spark.sql.autoBroadcastJoinThreshold``, never by hint.
+``read_star``. All joins are between grouped sides (``functions.counted``), but for lines joined by
+order, where hot orders are dealt into pieces (``functions.hot``). Spark itself broadcasts small
+sides under ``spark.sql.autoBroadcastJoinThreshold``; the one hint is on the list of hot keys.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starcart.functions.counted import counted, matches
-from starcart.functions.hot import HotKeys, split_join
-from starcart.functions.lazy import LazyTables
+from starcart.functions.hot import MEASURE, measured, split_join
 
 Star = Mapping[str, DataFrame]
 
@@ -169,12 +168,7 @@ def _sold_lines(star: Star) -> DataFrame:
     return star["order_items_fact"].select("order_id", "product_id")
 
 
-def _hot_orders(star: Star) -> HotKeys:
-    """Orders with a large share of the lines, where the star knows them."""
-    return star.hot_orders() if isinstance(star, LazyTables) else []
-
-
-def _sold_all(star: Star) -> DataFrame:
+def _sold_all(star: Star, hot: str) -> DataFrame:
     """Sales per product with the literal first-purchase lookup.
 
     The lookup compares account ids with person ids and is left-joined, so it
@@ -190,34 +184,32 @@ def _sold_all(star: Star) -> DataFrame:
         .select("order_id", "customer_id", "order_purchase_timestamp")
         .join(people, ["customer_id", "order_purchase_timestamp"], "left_semi")
     )
-    times = counted(found, "order_id", "customer_id", weight="m")
-    hot = _hot_orders(star)
-    if hot:
-        times = times.groupBy("order_id").agg(F.sum("m").alias("m"))
+    lines = _sold_lines(star)
     return (
-        split_join(_sold_lines(star), times, "order_id", hot)
+        split_join(lines, counted(found, "order_id", weight="m"), "order_id", measured(lines, "order_id", hot))
         .groupBy("product_id")
         .agg(F.sum(matches("m")).alias("n"))
     )
 
 
-def _sold_first(star: Star) -> DataFrame:
+def _sold_first(star: Star, hot: str) -> DataFrame:
     """Sales per product among first orders."""
-    firsts = first_orders(star)
-    hot = _hot_orders(star)
-    if hot:
-        firsts = firsts.distinct()
-    return counted(split_join(_sold_lines(star), firsts, "order_id", hot, "left_semi"), "product_id")
+    lines, firsts = _sold_lines(star), first_orders(star).distinct()
+    dealt = measured(lines, "order_id", hot)
+    return counted(split_join(lines, firsts, "order_id", dealt, "left_semi"), "product_id")
 
 
-def top_categories(star: Star, n: int = 5, first_purchase: bool = True) -> DataFrame:
+def top_categories(
+    star: Star, n: int = 5, first_purchase: bool = True, hot: str = MEASURE
+) -> DataFrame:
     """Categories by number of order lines; ties go by name.
 
     ``first_purchase=True`` counts the lines of each person's first order(s).
     ``False`` is the report as it was first written, whose filter has no effect
     on unique orders. Lines without a category or translation form one group.
+    ``hot`` is how orders with a large share of the lines are joined (``functions.hot``).
     """
-    sold = _sold_first(star) if first_purchase else _sold_all(star)
+    sold = _sold_first(star, hot) if first_purchase else _sold_all(star, hot)
     return (
         _category_totals(star, sold)
         .orderBy(F.desc("total_sold"), F.asc_nulls_last("category_name_english"))
@@ -227,109 +219,87 @@ def top_categories(star: Star, n: int = 5, first_purchase: bool = True) -> DataF
 
 _TOTALS = ("order_item_price", "order_freight", "should_pay")
 
-# Fixed value: characters of an id list that one cell holds written out in full.
-LIST_LIMIT = 2**28
 
-
-def _item_totals(legacy_decimal: bool) -> list[Column]:
-    price = _amount("price", legacy_decimal)
-    freight = _amount("freight_value", legacy_decimal)
-    sums = (F.sum(price), F.sum(freight), F.sum(price + freight))
-    return [total.alias(name) for total, name in zip(sums, _TOTALS)]
+def _lost(name: str, amount: Column) -> Column:
+    """Whether the legacy rule drops a value that is there."""
+    return F.col(name).isNotNull() & amount.isNull()
 
 
-def _id_list(runs: str, times: str, limit: int) -> Column:
-    """Ids of ``runs`` (id, n), each ``n * times`` times, as one text.
+def payment_control_as_written(star: Star, legacy_decimal: bool = True) -> DataFrame:
+    """The control query as first written: items joined to payments, per order.
 
-    A list longer than ``limit`` is written as ``id*count`` per id instead, so it
-    stays whole however many lines one order has.
+    An order with k payments shows k times its item totals, next to its largest payment. A row is one
+    item id of an order, with ``occurrences``, the times it comes up among the joined rows, instead of
+    one text of all ids; the totals of the order stand on each of its rows. ``lost_lines`` counts the
+    joined rows whose price or freight the legacy decimal drops from the sums. Only the totals are
+    multiplied, no joined row is built and nothing is gathered per order.
     """
-
-    def written(run: Column) -> Column:
-        return run["order_item_id"].cast("string")
-
-    def count(run: Column) -> Column:
-        return run["n"] * F.col(times)
-
-    def full(run: Column) -> Column:
-        more = F.repeat(F.concat(written(run), F.lit(",")), (count(run) - 1).cast("int"))
-        return F.concat(more, written(run))
-
-    def short(run: Column) -> Column:
-        return F.concat(written(run), F.lit("*"), count(run).cast("string"))
-
-    length = F.aggregate(
-        runs,
-        F.lit(0).cast("bigint"),
-        lambda total, run: total + (F.length(written(run)) + 1) * count(run),
+    price = _amount("price", legacy_decimal)
+    freight = _amount("freight_value", legacy_decimal)
+    lost = _lost("price", price) | _lost("freight_value", freight)
+    ids = star["order_items_fact"].groupBy("order_id", "order_item_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(price).alias("order_item_price"),
+        F.sum(freight).alias("order_freight"),
+        F.sum(price + freight).alias("should_pay"),
+        F.count_if(lost).alias("lost_lines"),
+    )
+    totals = ids.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in (*_TOTALS, "lost_lines")])
+    paid = star["payments_dim"].groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("payments"), F.max("payment_value").alias("payment_value")
+    )
+    orders = star["orders_dim"].groupBy("order_id").agg(F.count(F.lit(1)).alias("copies"))
+    per_order = (
+        totals.join(paid, "order_id")
+        .join(orders, "order_id")
+        .withColumn("times", F.col("payments") * F.col("copies"))
     )
     return (
-        F.when(length == 0, F.lit(None))
-        .when(length <= limit, F.array_join(F.transform(runs, full), ","))
-        .otherwise(F.array_join(F.transform(runs, short), ","))
+        ids.select("order_id", "order_item_id", "n")
+        .join(per_order, "order_id")
+        .select(
+            "order_id",
+            "order_item_id",
+            (F.col("n") * F.col("times")).alias("occurrences"),
+            *[(F.col(c) * F.col("times")).cast("decimal(38,4)").alias(c) for c in _TOTALS],
+            "payment_value",
+            (F.col("lost_lines") * F.col("times")).alias("lost_lines"),
+        )
     )
 
 
-def payment_control(
-    star: Star,
-    fan_out: bool = False,
-    legacy_decimal: bool = False,
-    list_limit: int = LIST_LIMIT,
-) -> DataFrame:
-    """Item totals against payments, for orders that have both.
-
-    ``fan_out=False`` reconciles: items and payments are totalled per order, and
-    ``difference`` is what was paid beyond (or short of) what was due.
+def payment_control(star: Star) -> DataFrame:
+    """What is due against what was paid, for every order of orders_dim exactly once.
 
-    ``fan_out=True`` is the control query as first written: items joined to
-    payments, so an order with k payments shows k times its item totals, next to
-    its largest payment. The k-fold rows are not built; the totals are multiplied.
-    ``order_item_ids`` lists the item ids of those rows in ascending order. Lines
-    are counted per (order, item id) first, so what is gathered per order is one
-    pair per item id, not one entry per line.
+    An order without lines owes nothing, one without payments has paid nothing; a missing price or
+    freight counts as zero, and ``incomplete_lines`` counts the lines with one. ``difference`` is what
+    was paid beyond what was due, or short of it.
     """
-    fact = star["order_items_fact"]
-    payments = star["payments_dim"].groupBy("order_id")
-    orders = star["orders_dim"].groupBy("order_id").agg(F.count(F.lit(1)).alias("copies"))
-
-    if not fan_out:
-        return (
-            fact.groupBy("order_id")
-            .agg(F.count(F.lit(1)).alias("number_of_items"), *_item_totals(legacy_decimal))
-            .join(payments.agg(F.sum("payment_value").alias("payment_value")), "order_id")
-            .join(orders, "order_id", "left_semi")
-            .withColumn("difference", F.col("payment_value") - F.col("should_pay"))
-            .select(
-                "order_id",
-                "number_of_items",
-                *[
-                    F.col(c).cast("decimal(38,4)").alias(c)
-                    for c in (*_TOTALS, "payment_value", "difference")
-                ],
-            )
-        )
-
-    run = F.when(F.col("order_item_id").isNotNull(), F.struct("order_item_id", "n"))
-    items = (
-        fact.groupBy("order_id", "order_item_id")
-        .agg(F.count(F.lit(1)).alias("n"), *_item_totals(legacy_decimal))
-        .groupBy("order_id")
-        .agg(
-            F.sort_array(F.collect_list(run)).alias("runs"),
-            *[F.sum(c).alias(c) for c in _TOTALS],
-        )
+    price, freight = (F.coalesce(c, F.lit(0).cast("decimal(18,4)")) for c in ("price", "freight_value"))
+    missing = F.col("price").isNull() | F.col("freight_value").isNull()
+    items = star["order_items_fact"].groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("number_of_items"),
+        F.count_if(missing).alias("incomplete_lines"),
+        F.sum(price).alias("order_item_price"),
+        F.sum(freight).alias("order_freight"),
+        F.sum(price + freight).alias("should_pay"),
     )
-    paid = payments.agg(
-        F.count(F.lit(1)).alias("payments"), F.max("payment_value").alias("payment_value")
+    paid = star["payments_dim"].groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("number_of_payments"), F.sum("payment_value").alias("payment_value")
     )
+    counts = ("number_of_items", "incomplete_lines", "number_of_payments")
+    money = (*_TOTALS, "payment_value")
     return (
-        items.join(paid, "order_id")
-        .join(orders, "order_id")
-        .withColumn("times", F.col("payments") * F.col("copies"))
+        star["orders_dim"]
+        .select("order_id")
+        .where("order_id is not null")
+        .distinct()
+        .join(items, "order_id", "left")
+        .join(paid, "order_id", "left")
         .select(
             "order_id",
-            _id_list("runs", "times", list_limit).alias("order_item_ids"),
-            *[(F.col(c) * F.col("times")).cast("decimal(38,4)").alias(c) for c in _TOTALS],
-            "payment_value",
+            *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+            *[F.coalesce(c, F.lit(0)).cast("decimal(38,4)").alias(c) for c in money],
         )
+        .withColumn("difference", (F.col("payment_value") - F.col("should_pay")).cast("decimal(38,4)"))
     )

@@ -12,10 +12,10 @@ at run time by the adaptive skew join (``plans.session``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starcart.functions.hot import HotKeys, distinct_columns, split_join
+from starcart.functions.hot import distinct_columns, split_join
 from starcart.functions.keys import location_key
 from starcart.schemas import SOURCE_TABLES, STAR_TABLES
 
@@ -59,7 +59,7 @@ def customer_locations(customers: DataFrame, separator: str = "") -> DataFrame:
 
 
 def orders_dim(
-    orders: DataFrame, customers: DataFrame, separator: str = "", hot_customers: HotKeys = ()
+    orders: DataFrame, customers: DataFrame, separator: str = "", hot_customers: DataFrame | None = None
 ) -> DataFrame:
     """Orders with the place of their customer.
 
@@ -75,7 +75,7 @@ def orders_dim(
 
 
 def order_locations(
-    orders: DataFrame, customers: DataFrame, separator: str = "", hot_customers: HotKeys = ()
+    orders: DataFrame, customers: DataFrame, separator: str = "", hot_customers: DataFrame | None = None
 ) -> DataFrame:
     """Distinct (order_id, location_id), from the two id columns of orders."""
     located = split_join(
@@ -126,6 +126,12 @@ def _calendar(days: DataFrame) -> DataFrame:
     )
 
 
+def _valid(day: Column) -> Column:
+    """The day, or the nearest of the years 1 to 9999; a calendar thus has under four million."""
+    earliest, latest = F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")
+    return F.least(F.greatest(day, earliest), latest)
+
+
 def date_dim(
     spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END
 ) -> DataFrame:
@@ -134,7 +140,8 @@ def date_dim(
     At most as many rows as there are dates (under four million), whatever the
     size of the other tables.
     """
-    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))
+    first, last = _valid(F.lit(start).cast("date")), _valid(F.lit(end).cast("date"))
+    days = F.sequence(first, last, F.expr("interval 1 day"))
     return _calendar(spark.range(0, 1, 1, 1).select(F.explode(days).alias("ddate")))
 
 
@@ -149,14 +156,14 @@ def date_dim_covering(
     purchased = F.to_date("order_purchase_timestamp")
     return _calendar(
         orders.agg(
-            F.least(F.min(purchased), F.lit(start).cast("date")).alias("first"),
-            F.greatest(F.max(purchased), F.lit(end).cast("date")).alias("last"),
+            _valid(F.least(F.min(purchased), F.lit(start).cast("date"))).alias("first"),
+            _valid(F.greatest(F.max(purchased), F.lit(end).cast("date"))).alias("last"),
         ).select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("ddate"))
     )
 
 
 def order_items_fact(
-    order_items: DataFrame, locations: DataFrame, hot_orders: HotKeys = ()
+    order_items: DataFrame, locations: DataFrame, hot_orders: DataFrame | None = None
 ) -> DataFrame:
     """Order lines with the buyer's place; ``locations`` as from ``order_locations``.
 

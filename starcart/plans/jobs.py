@@ -1,11 +1,13 @@
-"""Jobs to submit: load a star from source files, and print the reports over it.
+"""Jobs to submit: load a star from source files, and store or print the reports over it.
 
     spark-submit starcart/plans/jobs.py etl --source DIR --target DIR [--format csv --files 4]
     spark-submit starcart/plans/jobs.py etl --source DIR --jdbc-url URL --jdbc-properties FILE
-    spark-submit starcart/plans/jobs.py reports --star DIR [--format csv]
+    spark-submit starcart/plans/jobs.py reports --star DIR [--format csv] [--output DIR]
+    spark-submit starcart/plans/jobs.py reports --jdbc-url URL --jdbc-properties FILE --output DIR
 
-Connection settings come from the caller: ``--conf spark.hadoop.fs.s3a...`` for an
-object store, a JSON file with driver, user and password for a database.
+``--option KEY=VALUE`` goes to the CSV reader, ``--pattern COLUMN=FORMAT`` tells how a column writes dates
+or times, ``--input-bytes`` and ``--cores`` size the session, ``--s3a FILE`` (JSON: endpoint, access_key,
+secret_key, ...) connects an object store.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 if __name__ == "__main__":
     sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+from starcart.functions.hot import ADAPTIVE, MEASURE
 from starcart.operators import reports
 from starcart.plans.refresh import read_star, refresh_star, register_views
-from starcart.plans.session import prepare
+from starcart.plans.session import prepare, s3a_settings, sized_settings
 from starcart.sources.files import read_raw, typed_sources
 from starcart.sources.profile import source_profile
 from starcart.sources.stores import FileStore, JdbcStore
@@ -42,54 +45,99 @@ def all_reports(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = read_raw(spark, args.source, args.source_format)
+def _pairs(given: list[str] | None) -> dict[str, str]:
+    """``KEY=VALUE`` arguments."""
+    return dict(pair.split("=", 1) for pair in given or [])
+
+
+def _store(args: argparse.Namespace, path: str | None) -> FileStore | JdbcStore:
     if args.jdbc_url:
         properties = json.loads(Path(args.jdbc_properties).read_text())
-        store = JdbcStore(args.jdbc_url, properties, args.connections)
-    else:
-        store = FileStore(args.target, args.format, args.files)
+        return JdbcStore(args.jdbc_url, properties, args.connections)
+    return FileStore(path, args.format, getattr(args, "files", None))
+
+
+def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
+    patterns = _pairs(args.pattern)
+    raw = read_raw(spark, args.source, args.source_format, **_pairs(args.option))
     if args.profile:
-        source_profile(raw).show(1000, truncate=False)
-    refresh_star(spark, typed_sources(raw), store, args.date_start, args.date_end)
+        source_profile(raw, patterns).show(1000, truncate=False)
+    hot = args.hot or (ADAPTIVE if args.source_format == "csv" else MEASURE)
+    refresh_star(
+        spark,
+        typed_sources(raw, patterns),
+        _store(args, args.target),
+        args.date_start,
+        args.date_end,
+        hot=hot,
+        covering=args.covering,
+    )
 
 
 def _reports(spark: SparkSession, args: argparse.Namespace) -> None:
-    star = read_star(spark, FileStore(args.star, args.format))
+    star = read_star(spark, _store(args, args.star))
     register_views(star)
     for title, report in all_reports(star).items():
-        print(title)
-        report.show(args.rows, truncate=False)
+        if args.output:
+            name = title.split(",")[0].replace(" ", "_")
+            report.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")
+        else:
+            print(title)
+            report.show(args.rows, truncate=False)
 
 
-def main(argv: list[str] | None = None) -> None:
+def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description="Star-schema load and reports")
     commands = parser.add_subparsers(required=True)
 
     etl = commands.add_parser("etl")
     etl.add_argument("--source", required=True)
     etl.add_argument("--source-format", default="csv")
+    etl.add_argument("--option", action="append", metavar="KEY=VALUE")
+    etl.add_argument("--pattern", action="append", metavar="COLUMN=FORMAT")
+    etl.add_argument("--hot", choices=(MEASURE, ADAPTIVE), help="adaptive for CSV, else measure")
     target = etl.add_mutually_exclusive_group(required=True)
     target.add_argument("--target")
-    target.add_argument("--jdbc-url")
-    etl.add_argument("--jdbc-properties")
-    etl.add_argument("--connections", type=int)
-    etl.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     etl.add_argument("--files", type=int)
     etl.add_argument("--profile", action="store_true")
     etl.add_argument("--date-start", default="2000-01-01")
     etl.add_argument("--date-end", default="2030-01-01")
+    etl.add_argument("--covering", action="store_true", help="stretch the calendar to the purchases")
     etl.set_defaults(run=_etl)
 
     report = commands.add_parser("reports")
-    report.add_argument("--star", required=True)
-    report.add_argument("--format", default="parquet", choices=("parquet", "csv"))
-    report.add_argument("--rows", type=int, default=20)
+    source = report.add_mutually_exclusive_group(required=True)
+    source.add_argument("--star")
+    report.add_argument("--output", help="store whole reports here as Parquet")
+    report.add_argument("--rows", type=int, default=20, help="printed without --output")
     report.set_defaults(run=_reports)
 
+    for command, place in ((etl, target), (report, source)):
+        place.add_argument("--jdbc-url")
+        command.add_argument("--jdbc-properties", metavar="FILE")
+        command.add_argument("--connections", type=int, default=8)
+        command.add_argument("--format", default="parquet", choices=("parquet", "csv"))
+        command.add_argument("--input-bytes", type=int, help="sizes the session, with --cores")
+        command.add_argument("--cores", type=int)
+        command.add_argument("--s3a", metavar="FILE")
+    return parser
+
+
+def _settings(args: argparse.Namespace) -> dict[str, str]:
+    sized = sized_settings(args.input_bytes, args.cores) if args.input_bytes else {}
+    store = s3a_settings(**json.loads(Path(args.s3a).read_text())) if args.s3a else {}
+    return {**sized, **store}
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = _arguments()
     args = parser.parse_args(argv)
-    spark = prepare(SparkSession.builder.appName("starcart").getOrCreate())
-    args.run(spark, args)
+    if bool(args.jdbc_url) != bool(args.jdbc_properties):
+        parser.error("--jdbc-url and --jdbc-properties go together")
+    if bool(args.input_bytes) != bool(args.cores):
+        parser.error("--input-bytes and --cores go together")
+    builder = SparkSession.builder.appName("starcart").config(map=_settings(args))
+    args.run(prepare(builder.getOrCreate()), args)
 
 
 if __name__ == "__main__":

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cache, partial
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starcart.functions.hot import HotKeys, hot_keys
+from starcart.functions.hot import MEASURE, measured
 from starcart.functions.lazy import LazyTables
 from starcart.operators import star as tables
 from starcart.schemas import STAR_TABLES
@@ -28,59 +29,66 @@ def build_star(
     date_start: str = tables.CALENDAR_START,
     date_end: str = tables.CALENDAR_END,
     separator: str = "",
+    hot: str = MEASURE,
+    covering: bool = False,
 ) -> LazyTables:
-    """All eight tables, as plans.
+    """All eight tables, as plans; nothing is read until a table is used.
 
-    The rows of a table are not touched until it is used; asking for orders_dim or
-    the fact of large sources looks for hot keys in a sample of one column.
+    ``hot`` is how the loads treat hot customers and orders (``functions.hot``). ``covering`` stretches
+    the calendar to the purchases.
     """
 
-    @cache
-    def hot_customers() -> HotKeys:
-        return hot_keys(sources["orders"], "customer_id")
-
-    @cache
-    def hot_orders() -> HotKeys:
-        return hot_keys(sources["order_items"], "order_id")
-
     def located_orders() -> DataFrame:
         return tables.order_locations(
-            sources["orders"], sources["customers"], separator, hot_customers()
+            sources["orders"],
+            sources["customers"],
+            separator,
+            measured(sources["orders"], "customer_id", hot),
         )
 
+    def calendar() -> DataFrame:
+        if covering:
+            return tables.date_dim_covering(sources["orders"], date_start, date_end)
+        return tables.date_dim(spark, date_start, date_end)
+
     return LazyTables(
         {
             "location_dim": lambda: tables.location_dim(sources["customers"], separator),
             "customers_dim": lambda: tables.customers_dim(sources["customers"], separator),
             "orders_dim": lambda: tables.orders_dim(
-                sources["orders"], sources["customers"], separator, hot_customers()
+                sources["orders"],
+                sources["customers"],
+                separator,
+                measured(sources["orders"], "customer_id", hot),
             ),
             "payments_dim": lambda: tables.payments_dim(sources["payments"]),
             "products_dim": lambda: tables.products_dim(sources["products"]),
             "category_dim": lambda: tables.category_dim(sources["product_category_name"]),
-            "date_dim": lambda: tables.date_dim(spark, date_start, date_end),
+            "date_dim": calendar,
             "order_items_fact": lambda: tables.order_items_fact(
-                sources["order_items"], located_orders(), hot_orders()
+                sources["order_items"],
+                located_orders(),
+                measured(sources["order_items"], "order_id", hot),
             ),
-        },
-        hot_orders,
+        }
     )
 
 
-def write_star(star: Mapping[str, DataFrame], store: Store) -> None:
-    """Replace every table of the store, one after another, without a transaction."""
-    for name, df in star.items():
-        store.write(df, name)
+def write_star(star: Mapping[str, DataFrame], store: Store, at_once: int = 4) -> None:
+    """Replace every table of the store, ``at_once`` at a time, without a transaction.
+
+    Spark shares its tasks among the writes; a failed one is raised after the others have ended.
+    """
+    frames = dict(star.items())
+    with ThreadPoolExecutor(at_once) as pool:
+        done = [pool.submit(store.write, df, name) for name, df in frames.items()]
+    for one in done:
+        one.result()
 
 
 def read_star(spark: SparkSession, store: Store) -> LazyTables:
     """All eight tables of the store, typed."""
-
-    @cache
-    def hot_orders() -> HotKeys:
-        return hot_keys(store.read(spark, "order_items_fact"), "order_id")
-
-    return LazyTables({name: partial(store.read, spark, name) for name in STAR_TABLES}, hot_orders)
+    return LazyTables({name: partial(store.read, spark, name) for name in STAR_TABLES})
 
 
 def refresh_star(
@@ -90,6 +98,8 @@ def refresh_star(
     date_start: str = tables.CALENDAR_START,
     date_end: str = tables.CALENDAR_END,
     separator: str = "",
+    hot: str = MEASURE,
+    covering: bool = False,
 ) -> LazyTables:
     """Build, write and re-read the star.
 
@@ -97,11 +107,13 @@ def refresh_star(
     each order from the orders_dim just written, and so neither customers nor
     orders are read and joined a second time.
     """
-    star = build_star(spark, sources, date_start, date_end, separator)
+    star = build_star(spark, sources, date_start, date_end, separator, hot, covering)
     write_star({name: star[name] for name in star if name != "order_items_fact"}, store)
     if store.exact:
         locations = store.read(spark, "orders_dim").select("order_id", "location_id").distinct()
-        fact = tables.order_items_fact(sources["order_items"], locations, star.hot_orders())
+        fact = tables.order_items_fact(
+            sources["order_items"], locations, measured(sources["order_items"], "order_id", hot)
+        )
     else:
         fact = star["order_items_fact"]
     store.write(fact, "order_items_fact")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,7 +40,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def sized_settings(input_bytes: int, cores: int) -> dict[str, str]:
+def sized_settings(
+    input_bytes: int,
+    cores: int,
+    most_partitions: int = _MOST_PARTITIONS,
+    most_scans: int = _MOST_SCANS,
+) -> dict[str, str]:
     """Settings for a session that reads ``input_bytes`` on ``cores`` cores.
 
     The number of shuffle partitions is an upper bound; adaptive execution merges
@@ -49,11 +53,11 @@ def sized_settings(input_bytes: int, cores: int) -> dict[str, str]:
     blocks as averages, which would hide a hot key from it: the block-size factor
     makes outliers visible again. It has to be set when the session starts.
     """
-    partitions = max(cores, min(_MOST_PARTITIONS, math.ceil(input_bytes / _SHUFFLE_BYTES)))
+    partitions = max(cores, min(most_partitions, math.ceil(input_bytes / _SHUFFLE_BYTES)))
     per_scan = max(
         16 * 1024**2,
         min(_SCAN_BYTES, math.ceil(input_bytes / cores)),
-        math.ceil(input_bytes / _MOST_SCANS),
+        math.ceil(input_bytes / most_scans),
     )
     return {
         "spark.sql.shuffle.partitions": str(partitions),
@@ -87,14 +91,15 @@ def s3a_settings(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``.
+    """A new folder under the cluster's ``spark.checkpoint.dir``, else under its warehouse.
 
-    Where that is unset, a local session gets a folder of its own machine; a
-    cluster session is refused, since its executors would not share one.
+    On a cluster a folder of one machine is refused, unless the cluster's own ``spark.checkpoint.dir``
+    names it: then that path is one all executors share.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        on_cluster = not spark.sparkContext.master.startswith("local[")
+        if on_cluster and ("://" not in shared or shared.startswith("file:")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="starcart-")
     return f"{shared.rstrip('/')}/starcart-{uuid.uuid4().hex}"

@@ -42,12 +42,17 @@ def read_raw(
     return LazyTables({name: partial(scan, name) for name in SOURCE_TABLES})
 
 
-def typed_sources(raw: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
+def typed_sources(
+    raw: Mapping[str, DataFrame], patterns: Mapping[str, str] | None = None
+) -> Mapping[str, DataFrame]:
     """Raw tables with their declared columns and types; bad cells become null
-    and are counted by ``sources.profile.source_profile``."""
+    and are counted by ``sources.profile.source_profile``.
+
+    ``patterns`` gives the date or time format of columns that are not ISO text.
+    """
 
     def load(name: str) -> DataFrame:
-        return typed(raw[name], SOURCE_TABLES[name])
+        return typed(raw[name], SOURCE_TABLES[name], patterns)
 
     return LazyTables({name: partial(load, name) for name in SOURCE_TABLES})
 

@@ -1,4 +1,4 @@
-"""What came in: columns, types, rows, nulls and cells that did not parse."""
+"""What came in: columns, types, rows, nulls, and cells that did not parse or lost digits."""
 
 from __future__ import annotations
 
@@ -7,32 +7,53 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from starcart.functions.parsing import parsed, unparsed
+from starcart.functions.parsing import parsed, rounded, unparsed
 from starcart.schemas import SOURCE_TABLES
 
 
-def source_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per source column, from one scan and one global aggregate per table.
+def source_profile(
+    raw: Mapping[str, DataFrame], patterns: Mapping[str, str] | None = None
+) -> DataFrame:
+    """One row per column of the given source tables, from one scan and one global aggregate per table.
 
-    ``null_count`` counts nulls of the typed column, ``reject_count`` those among
-    them that held a non-blank text.
+    ``actual_type`` is the column's type as it came, ``data_type`` the wanted one; ``status`` is
+    ``present``, ``missing`` (no actual type, all rows null) or ``extra`` (no wanted type).
+    ``null_count`` counts nulls of the typed column, ``reject_count`` those among them that held something,
+    ``rounded_count`` decimals that were kept with fewer digits.
     """
     parts = []
     for name, columns in SOURCE_TABLES.items():
+        if name not in raw:
+            continue
         have = dict(raw[name].dtypes)
-        totals = ["count(1) as row_count"]
-        cells = []
-        for i, (column, want) in enumerate(columns.items()):
-            totals.append(f"count({parsed(column, have[column], want)}) as filled{i}")
-            totals.append(f"count_if({unparsed(column, have[column], want)}) as rejected{i}")
+        totals, cells = ["count(1) as row_count"], []
+        for i, column in enumerate(dict.fromkeys([*columns, *have])):
+            want, actual = columns.get(column), have.get(column)
+            pattern = (patterns or {}).get(column)
+            if actual is None:
+                status, filled, rejected, lost = "missing", "0L", "0L", "0L"
+            elif want is None:
+                status, filled, rejected, lost = "extra", f"count(`{column}`)", "0L", "0L"
+            else:
+                status = "present"
+                filled = f"count({parsed(column, actual, want, pattern)})"
+                rejected = f"count_if({unparsed(column, actual, want, pattern)})"
+                lost = f"count_if({rounded(column, actual, want)})"
+            totals += [f"{filled} as filled{i}", f"{rejected} as rejected{i}", f"{lost} as lost{i}"]
+            types = ", ".join(
+                f"'{key}', {f"'{kind}'" if kind else 'cast(null as string)'}"
+                for key, kind in (("data_type", want), ("actual_type", actual))
+            )
             cells.append(
-                f"named_struct('column_name', '{column}', 'data_type', '{want}', "
+                f"named_struct('column_name', '{column}', {types}, 'status', '{status}', "
                 f"'row_count', row_count, 'null_count', row_count - filled{i}, "
-                f"'reject_count', rejected{i})"
+                f"'reject_count', rejected{i}, 'rounded_count', lost{i})"
             )
+        constant = [t for t in totals if t.startswith("0L")]
         parts.append(
             raw[name]
-            .selectExpr(*totals)
+            .selectExpr(*[t for t in totals if t not in constant])
+            .selectExpr("*", *constant)
             .selectExpr(f"'{name}' as table_name", f"inline(array({', '.join(cells)}))")
         )
     return reduce(DataFrame.unionByName, parts)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starcart.functions.parsing import typed
 from starcart.schemas import STAR_TABLES
@@ -13,9 +14,7 @@ from starcart.sources.files import read_csv
 
 # Spark's CSV writer trims outer blanks and writes times to the millisecond, and
 # its reader turns empty text into null. These settings, used on both ways, keep
-# all three. ``\N`` stands for null, so a text that reads just that is lost, and
-# line breaks within a text need ``multiLine`` on top (which stops Spark from
-# splitting files). Parquet has no such exceptions.
+# all three. ``\N`` stands for null.
 EXACT_CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -26,6 +25,25 @@ EXACT_CSV = {
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
 
+# Formats whose files give back what was written.
+_EXACT_FORMATS = ("parquet", "orc")
+
+
+def _writable(df: DataFrame) -> DataFrame:
+    """Rows as they are; one that exact CSV would not give back fails the job with its column's name.
+
+    That is a text with a line break, which splits a record where files are read in parts, or one that
+    reads like the null marker.
+    """
+
+    def kept(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        lost = column.rlike("[\\r\\n]") | (column == EXACT_CSV["nullValue"])
+        message = F.lit(f"CSV cannot keep a line break or a text \\N: column {name}")
+        return F.when(lost, F.raise_error(message).cast("string")).otherwise(column).alias(name)
+
+    return df.select(*[kept(n) if kind == "string" else F.col(f"`{n}`") for n, kind in df.dtypes])
+
 
 @dataclass(frozen=True)
 class FileStore:
@@ -33,14 +51,15 @@ class FileStore:
 
     ``fmt`` is ``"parquet"`` (typed, columnar, exact) or ``"csv"`` (with header).
     ``files`` sets the number of files per table at the price of one more shuffle;
-    without it every write task leaves one file. ``options`` go to Spark's writer
-    and reader, e.g. ``EXACT_CSV``.
+    without it every write task leaves one file, and adaptive execution sizes the tasks by
+    bytes. ``options`` go to Spark's writer and reader; without them CSV is written as
+    ``EXACT_CSV``, which gives back what was written or fails.
     """
 
     root: str
     fmt: str = "parquet"
     files: int | None = None
-    options: Mapping[str, str] = field(default_factory=dict)
+    options: Mapping[str, str] | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -49,21 +68,32 @@ class FileStore:
         """Replace the table's directory."""
         if self.files:
             df = df.repartition(self.files)
-        options = {"header": "true", **self.options} if self.fmt == "csv" else self.options
+        options = dict(self._options)
+        if self.fmt == "csv":
+            options["header"] = "true"
+            df = _writable(df) if self.exact else df
         df.write.mode("overwrite").format(self.fmt).options(**options).save(self.path(table))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """The table with its declared types."""
         if self.fmt == "csv":
-            raw = read_csv(spark, self.path(table), **self.options)
+            raw = read_csv(spark, self.path(table), **self._options)
         else:
-            raw = spark.read.format(self.fmt).options(**self.options).load(self.path(table))
+            raw = spark.read.format(self.fmt).options(**self._options).load(self.path(table))
         return typed(raw, STAR_TABLES[table])
 
     @property
     def exact(self) -> bool:
         """Whether what is read back equals what was written."""
-        return self.fmt != "csv"
+        if self.fmt == "csv":
+            return dict(self._options) == EXACT_CSV
+        return self.fmt in _EXACT_FORMATS
+
+    @property
+    def _options(self) -> Mapping[str, str]:
+        if self.options is None:
+            return EXACT_CSV if self.fmt == "csv" else {}
+        return self.options
 
 
 @dataclass(frozen=True)
@@ -72,28 +102,36 @@ class JdbcStore:
 
     ``properties`` holds driver, user and password as the caller supplies them;
     the driver's jar has to be on Spark's class path. ``connections`` bounds how
-    many tasks write at once; ``options`` go to Spark's JDBC reader and writer
-    (``batchsize``, or ``partitionColumn`` with its bounds for a parallel read).
+    many tasks write, or read, at once. ``hashes`` gives per table an expression of the database's
+    own SQL with a whole number per row, e.g. ``{"orders_dim": "hashtext(order_id)"}``; such a table is
+    read over ``connections`` connections, any other over one. ``options`` go to Spark's JDBC
+    reader and writer (``batchsize``, ``fetchsize``).
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
-    connections: int | None = None
+    connections: int = 8
     options: Mapping[str, str] = field(default_factory=dict)
-
-    def _settings(self) -> dict[str, str]:
-        limit = {"numPartitions": str(self.connections)} if self.connections else {}
-        return {**limit, **self.options}
+    hashes: Mapping[str, str] = field(default_factory=dict)
 
     def write(self, df: DataFrame, table: str) -> None:
-        df.write.mode("overwrite").options(**self._settings()).jdbc(
+        """Replace the table. The rows are dealt to the connections by a shuffle, so that the work before it
+        keeps its own number of tasks."""
+        df.repartition(self.connections).write.mode("overwrite").options(**self.options).jdbc(
             self.url, table, properties=dict(self.properties)
         )
 
+    def parts(self, table: str) -> list[str] | None:
+        """Conditions that part the table's rows, each row under exactly one."""
+        if table not in self.hashes:
+            return None
+        remainder = f"mod(abs(coalesce({self.hashes[table]}, 0)), {self.connections})"
+        return [f"{remainder} = {i}" for i in range(self.connections)]
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        options = {"preferTimestampNTZ": "true", **self._settings()}
-        raw = spark.read.options(**options).jdbc(
-            self.url, table, properties=dict(self.properties)
+        reader = spark.read.options(preferTimestampNTZ="true", **self.options)
+        raw = reader.jdbc(
+            self.url, table, predicates=self.parts(table), properties=dict(self.properties)
         )
         return typed(raw, STAR_TABLES[table])
 

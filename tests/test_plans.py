@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-from functools import partial
 
 import compare
 import oracle
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 
 import starcart as s
 from starcart.functions.hot import PIECE, hot_keys, split_join
-from starcart.functions.lazy import LazyTables
 from starcart.operators import audits
 from starcart.operators import star as tables
 from starcart.plans.session import RUNTIME_SETTINGS
@@ -67,7 +65,7 @@ def all_frames(star):
         "categories": s.top_categories(star),
         "categories as written": s.top_categories(star, first_purchase=False),
         "control": s.payment_control(star),
-        "control as written": s.payment_control(star, fan_out=True),
+        "control as written": s.payment_control_as_written(star),
         "primary keys": audits.primary_key_violations(star),
         "foreign keys": audits.foreign_key_violations(star),
     }
@@ -110,12 +108,21 @@ def test_payment_control_shuffles_each_table_once(stored, large_tables):
     assert plan_of(s.payment_control(stored)).count("Exchange ") == 3
 
 
-def test_payment_control_gathers_item_ids_not_lines(stored, large_tables):
-    plan = plan_of(s.payment_control(stored, fan_out=True))
-    assert plan.count("Exchange ") == 4  # lines are counted per (order, item id) first
+def test_payment_control_as_written_gathers_nothing(stored, large_tables):
+    plan = plan_of(s.payment_control_as_written(stored))
+    assert "collect_list" not in plan
     assert re.search(r"hashpartitioning\(order_id#\d+, order_item_id#\d+, \d+\)", plan)
 
 
+def test_payment_control_with_a_third_of_the_lines_in_one_order(spark, hot_sources, split_early):
+    star = s.build_star(spark, s.load_sources(spark, hot_sources, "parquet"))
+    hot = s.payment_control_as_written(star).where("order_id = '7'")
+    lines = star["order_items_fact"].where("order_id = '7'")
+    payments = star["payments_dim"].where("order_id = '7'").count()
+    assert hot.count() == lines.select("order_item_id").distinct().count()
+    assert hot.agg(F.sum("occurrences")).first()[0] == lines.count() * payments
+
+
 def test_late_share_is_one_scan(stored):
     plan = plan_of(s.late_delivery_pct(stored))
     assert plan.count("FileScan") == 1
@@ -148,7 +155,8 @@ def test_distinct_of_the_loads_has_no_shuffle_of_its_own(spark, large_tables):
 
 def test_fact_load_does_not_compute_deliveries(spark):
     """Only ids of the orders are read; the per-order ship dates are pruned away."""
-    plan = plan_of(s.build_star(spark, tpch_sources(spark, SF_DIR))["order_items_fact"])
+    star = s.build_star(spark, tpch_sources(spark, SF_DIR), hot="adaptive")
+    plan = plan_of(star["order_items_fact"])
     assert plan.count("FileScan") == 5  # lineitem, orders, customer, nation, region
     assert "min(l_shipdate" not in plan
 
@@ -199,19 +207,31 @@ def split_early(spark, large_tables):
 def test_hot_join_keys_are_split_where_the_distinct_shares_the_shuffle(
     spark, hot_sources, split_early
 ):
-    star = s.build_star(spark, s.load_sources(spark, hot_sources, "parquet"))
+    star = s.build_star(spark, s.load_sources(spark, hot_sources, "parquet"), hot="adaptive")
     for name in ("orders_dim", "order_items_fact"):
         assert "skew=true" in final_plan(star[name]), name
 
 
-def test_hot_keys_are_found_and_counted(spark, hot_sources):
-    sources = s.load_sources(spark, hot_sources, "parquet")
-    found = hot_keys(sources["order_items"], "order_id", 9000, 5000, sample=1.0, small_bytes=0)
-    lines = sources["order_items"].filter("order_id = '7'").count()
-    assert found == [("7", -(-lines // 5000))]
-    assert hot_keys(sources["order_items"], "order_id") == []  # too small to look at
-    nulls = sources["order_items"].withColumn("order_id", F.lit(None).cast("string"))
-    assert hot_keys(nulls, "order_id", 9000, 30000, sample=1.0, small_bytes=0) == [(None, 2)]
+def hot_list(spark, rows):
+    return spark.createDataFrame(rows, "_hot string, _pieces long")
+
+
+def test_hot_keys_are_found_by_their_share(spark, hot_sources):
+    items = s.load_sources(spark, hot_sources, "parquet")["order_items"]
+    rows, lines = items.count(), items.filter("order_id = '7'").count()
+    assert hot_keys(items, "order_id", 16).collect() == [("7", -(-lines * 16 // rows) + 1)]
+    nulls = items.withColumn("order_id", F.lit(None).cast("string"))
+    assert hot_keys(nulls, "order_id", 4).collect() == [(None, 5)]
+    assert hot_keys(items.limit(0), "order_id", 4).collect() == []
+
+
+def test_no_hot_key_is_left_out(spark):
+    """More than a thousand keys, each with several fair shares."""
+    many = spark.range(1500 * 40).selectExpr(
+        "if(id % 2 = 0, cast(id % 3000 as string), concat('rare', id)) as order_id"
+    )
+    found = hot_keys(many, "order_id", 20_000).collect()
+    assert {r[0] for r in found} == {str(k) for k in range(0, 3000, 2)}
 
 
 def test_hot_keys_in_pieces_give_the_same_tables(spark, hot_sources, split_early):
@@ -219,8 +239,9 @@ def test_hot_keys_in_pieces_give_the_same_tables(spark, hot_sources, split_early
     # besides the hot key: rows without a key, and equal rows
     lost = sources["order_items"].limit(500).withColumn("order_id", F.lit(None).cast("string"))
     sources["order_items"] = sources["order_items"].unionAll(lost).unionAll(lost)
-    plain = s.build_star(spark, sources)
-    customers, orders = [("5", 7), (None, 3)], [("7", 9), (None, 4), ("not there", 2)]
+    plain = s.build_star(spark, sources, hot="adaptive")
+    customers = hot_list(spark, [("5", 7), (None, 3)])
+    orders = hot_list(spark, [("7", 9), (None, 4), ("not there", 2)])
     pieces = {
         "orders_dim": tables.orders_dim(sources["orders"], sources["customers"], "", customers),
         "order_items_fact": tables.order_items_fact(
@@ -234,30 +255,39 @@ def test_hot_keys_in_pieces_give_the_same_tables(spark, hot_sources, split_early
         assert compare.differences(df.toArrow(), plain[name].toArrow()) == [], name
 
 
+def test_registered_loads_deal_hot_keys(spark):
+    """At any size: the path that is checked is the one that runs at 100 TB."""
+    star = s.build_star(spark, tpch_sources(spark, SF_DIR))
+    frames = [star["orders_dim"], star["order_items_fact"], s.top_categories(star), s.top_categories(star, 5, False)]
+    for df in frames:
+        plan = plan_of(df)
+        assert "_piece" in plan
+        assert "approx_top_k" in plan
+    with pytest.raises(ValueError):
+        s.top_categories(star, hot="sometimes")
+
+
 def test_hot_orders_in_pieces_give_the_same_categories(spark, hot_sources, split_early):
-    sources = s.load_sources(spark, hot_sources, "parquet")
-    star = s.build_star(spark, sources)
-    hot = LazyTables({n: partial(star.__getitem__, n) for n in star}, lambda: [("7", 9), (None, 2)])
+    star = s.build_star(spark, s.load_sources(spark, hot_sources, "parquet"))
     for first in (True, False):
-        plain = s.top_categories(star, 100, first)
-        pieces = s.top_categories(hot, 100, first)
-        assert "_piece" in plan_of(pieces) and "_piece" not in plan_of(plain)
+        plain = s.top_categories(star, 100, first, hot="adaptive")
+        pieces = s.top_categories(dict(star), 100, first)  # the container makes no difference
+        assert "_piece" in plan_of(pieces)
         assert pieces.collect() == plain.collect()
 
 
 def test_pieces_need_no_further_shuffle(spark, large_tables):
     items = tpch_sources(spark, SF_DIR)["order_items"]
     locations = spark.range(100).selectExpr("cast(id as string) order_id", "'x' location_id")
-    plan = plan_of(tables.order_items_fact(items, locations, [("7", 9)]))
+    plan = plan_of(tables.order_items_fact(items, locations, hot_list(spark, [("7", 9)])))
     assert len(re.findall(r"hashpartitioning\(order_id#\d+, _piece#\d+L, \d+\)", plan)) == 2
     assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_pieces_of_a_hot_key_are_about_equal(spark, hot_sources):
     items = s.load_sources(spark, hot_sources, "parquet")["order_items"]
-    dealt = split_join(
-        items, items.select("order_id").filter("false"), "order_id", [("7", 8)]
-    )
+    none = items.select("order_id").filter("false")
+    dealt = split_join(items, none, "order_id", hot_list(spark, [("7", 8)]))
     sizes = [r[1] for r in dealt.filter("order_id = '7'").groupBy(PIECE).count().collect()]
     assert len(sizes) == 8
     assert max(sizes) < 1.2 * sum(sizes) / 8
@@ -277,7 +307,7 @@ def test_results_with_hot_keys(spark, hot_sources, split_early):
         "report_top_categories_new_customers": s.top_categories(star),
         "report_top_categories_as_written": s.top_categories(star, first_purchase=False),
         "report_payment_control": s.payment_control(star),
-        "report_payment_control_as_written": s.payment_control(star, fan_out=True),
+        "report_payment_control_as_written": s.payment_control_as_written(star),
     }
     for name, df in frames.items():
         theirs = db.sql(f"with {oracle.star_ctes()} {oracle.REPORTS[name]}").to_arrow_table()

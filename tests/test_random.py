@@ -30,7 +30,7 @@ OURS = {
     "report_late_pct_elapsed": lambda star: s.late_delivery_pct(star, "elapsed"),
     "report_top_categories_as_written": lambda star: s.top_categories(star, first_purchase=False),
     "report_top_categories_new_customers": lambda star: s.top_categories(star),
-    "report_payment_control_as_written": lambda star: s.payment_control(star, fan_out=True),
+    "report_payment_control_as_written": lambda star: s.payment_control_as_written(star),
     "report_payment_control": lambda star: s.payment_control(star),
 }
 

@@ -223,33 +223,39 @@ def paid(star_of):
     )
 
 
-def test_payment_control_totals_once(paid):
-    assert values(reports.payment_control(paid)) == [
-        ("o", 2, Decimal("30.3000"), Decimal("1.0000"), Decimal("11.1000"), Decimal("110.0000"),
-         Decimal("98.9000"))
-    ]
+def test_payment_control_has_every_order_once(paid):
+    """Orders without lines or payments too; a missing freight counts as zero and is counted."""
+    money = [Decimal(x).quantize(Decimal("0.0001")) for x in ("30.30", "1", "31.30", "110", "78.70")]
+    rows = {r[0]: tuple(r)[1:] for r in reports.payment_control(paid).collect()}
+    assert set(rows) == {"o", "unpaid", "empty"}
+    assert rows["o"] == (2, 1, 3, *money)
+    assert rows["unpaid"][:3] == (1, 0, 0)
+    assert rows["unpaid"][-1] == -rows["unpaid"][-3]
+    assert rows["empty"] == (0, 0, 1, *[Decimal(x).quantize(Decimal("0.0001")) for x in (0, 0, 0, 7, 7)])
 
 
-def test_payment_control_as_written_multiplies_and_compares_numbers(paid):
-    row = reports.payment_control(paid, fan_out=True).collect()
-    assert [tuple(r) for r in row] == [
-        ("o", "2,2,2,10,10,10", Decimal("90.9000"), Decimal("3.0000"), Decimal("33.3000"),
-         Decimal("100.0000"))
-    ]
+def test_payment_control_as_written_multiplies_per_payment(paid):
+    totals = (Decimal("90.9000"), Decimal("3.0000"), Decimal("33.3000"), Decimal("100.0000"), 0)
+    rows = sorted(tuple(r) for r in reports.payment_control_as_written(paid).collect())
+    assert rows == [("o", 2, 3, *totals), ("o", 10, 3, *totals)]
 
 
-def test_id_list_too_long_for_a_cell_stays_whole(paid):
-    full = "2,2,2,10,10,10"
-    for limit, text in ((len(full) + 1, full), (len(full), "2*3,10*3")):
-        row = reports.payment_control(paid, fan_out=True, list_limit=limit).collect()[0]
-        assert row.order_item_ids == text
-        assert row.order_item_price == Decimal("90.9000")
+def test_payment_control_as_written_counts_what_the_legacy_decimal_drops(star_of):
+    star = star_of(
+        orders=[_order("o")],
+        order_items=[_item("o", 1, price="100000"), _item("o", 2, price="5")],
+        payments=[_payment("o", 1, "1"), _payment("o", 2, "1")],
+    )
+    rows = reports.payment_control_as_written(star).collect()
+    assert {(r.order_item_price, r.lost_lines) for r in rows} == {(Decimal("10.0000"), 2)}
+    exact = reports.payment_control_as_written(star, legacy_decimal=False).collect()
+    assert {(r.order_item_price, r.lost_lines) for r in exact} == {(Decimal("200010.0000"), 0)}
 
 
 def test_every_column_has_a_name_of_its_own(paid):
     for report in (
         reports.top_products(paid),
-        reports.payment_control(paid, fan_out=True),
+        reports.payment_control_as_written(paid),
         reports.revenue_by_month(paid),
     ):
         assert all(c.isidentifier() for c in report.columns)

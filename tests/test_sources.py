@@ -8,8 +8,9 @@ from decimal import Decimal
 
 import pytest
 from conftest import values
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrameReader, DataFrameWriter
 
+from starcart.functions.parsing import rounded, typed, unparsed
 from starcart.operators import audits
 from starcart.plans import session
 from starcart.plans.jobs import all_reports, main
@@ -17,7 +18,7 @@ from starcart.plans.refresh import build_star, read_star, refresh_star, write_st
 from starcart.schemas import SOURCE_TABLES, STAR_TABLES
 from starcart.sources.files import load_sources, read_csv, read_raw, typed_sources
 from starcart.sources.profile import source_profile
-from starcart.sources.stores import EXACT_CSV, FileStore, JdbcStore
+from starcart.sources.stores import FileStore, JdbcStore
 
 
 def test_bad_dates_and_numbers_become_null_and_are_counted(raw):
@@ -138,7 +139,7 @@ def test_refresh_gives_what_build_gives(spark, csv_root, tmp_path):
     built = build_star(spark, sources)
     for store in (
         FileStore(str(tmp_path / "p")),
-        FileStore(str(tmp_path / "c"), "csv", options=EXACT_CSV),
+        FileStore(str(tmp_path / "c"), "csv"),
     ):
         stored = refresh_star(spark, sources, store)
         for name in STAR_TABLES:
@@ -157,16 +158,18 @@ ODD_TEXT = [
 
 def test_plain_csv_loses_blanks_and_empty_text_but_exact_csv_does_not(spark, tmp_path):
     df = spark.createDataFrame(ODD_TEXT, "category_name string, category_name_english string")
-    plain = FileStore(str(tmp_path / "plain"), "csv")
+    plain = FileStore(str(tmp_path / "plain"), "csv", options={})
+    assert not plain.exact and not FileStore("x", "json").exact
     plain.write(df, "category_dim")
     kept = dict((v, k) for k, v in values(plain.read(spark, "category_dim")))
     assert kept["blank outside"] == "a"
     assert kept["empty"] is None
     assert kept["leading zeros"] == "00123"
     for store in (
-        FileStore(str(tmp_path / "exact"), "csv", options=EXACT_CSV),
+        FileStore(str(tmp_path / "exact"), "csv"),
         FileStore(str(tmp_path / "parquet")),
     ):
+        assert store.exact
         store.write(df, "category_dim")
         assert sorted(values(store.read(spark, "category_dim")), key=str) == sorted(
             ODD_TEXT, key=str
@@ -181,11 +184,56 @@ def test_exact_csv_keeps_microseconds(spark, tmp_path):
             for c, t in STAR_TABLES["orders_dim"].items()
         ]
     )
-    store = FileStore(str(tmp_path), "csv", options=EXACT_CSV)
+    store = FileStore(str(tmp_path), "csv")
     store.write(df, "orders_dim")
     assert store.read(spark, "orders_dim").collect()[0].order_approved_at == moment
 
 
+@pytest.mark.parametrize("text", ["two\nlines", "carriage\rreturn", "\\N"])
+def test_exact_csv_fails_where_it_would_lose_something(spark, tmp_path, text):
+    df = spark.createDataFrame([("a", text)], "category_name string, category_name_english string")
+    with pytest.raises(Exception, match="category_name_english"):
+        FileStore(str(tmp_path / "c"), "csv").write(df, "category_dim")
+    FileStore(str(tmp_path / "p")).write(df, "category_dim")
+
+
+def test_cells_of_other_types_are_counted(spark):
+    """What a typed source loses shows as rejected, or as rounded."""
+    cases = [
+        ("5000000000L", "int", 1, 0), ("1e30d", "decimal(18,4)", 1, 0), ("12.5d", "int", 1, 0),
+        ("12d", "int", 0, 0), ("cast(1 as int)", "bigint", 0, 0), ("'123.456789'", "decimal(18,4)", 0, 1),
+        ("'40.0000001'", "decimal(18,4)", 0, 1), ("'40.5'", "decimal(18,4)", 0, 0), ("''", "int", 0, 0),
+        ("cast(null as double)", "int", 0, 0), ("12.34567d", "decimal(18,4)", 0, 1),
+    ]
+    for value, want, rejected, lost in cases:
+        df = spark.sql(f"select {value} as x")
+        have = dict(df.dtypes)["x"]
+        row = df.selectExpr(
+            f"count_if({unparsed('x', have, want)})", f"count_if({rounded('x', have, want)})"
+        ).first()
+        assert tuple(row) == (rejected, lost), (value, want)
+
+
+def test_date_and_time_formats(spark):
+    df = spark.sql("select '31/12/2019' as d, '31.12.2019 23-59' as t, 'soon' as bad")
+    out = typed(
+        df,
+        {"d": "date", "t": "timestamp_ntz", "bad": "date"},
+        {"d": "dd/MM/yyyy", "t": "dd.MM.yyyy HH-mm", "bad": "dd/MM/yyyy"},
+    ).first()
+    assert tuple(out) == (dt.date(2019, 12, 31), dt.datetime(2019, 12, 31, 23, 59), None)
+    rejected = f"count_if({unparsed('bad', 'string', 'date', 'dd/MM/yyyy')})"
+    assert df.selectExpr(rejected).first()[0] == 1
+
+
+def test_profile_shows_missing_and_extra_columns(spark):
+    raw = {"payments": spark.sql("select 'o' as order_id, 'x' as note, 2.5d as payment_value")}
+    rows = {r.column_name: r for r in source_profile(raw).collect()}
+    assert (rows["note"].status, rows["note"].data_type, rows["note"].actual_type) == ("extra", None, "string")
+    assert (rows["payment_type"].status, rows["payment_type"].actual_type) == ("missing", None)
+    assert (rows["payment_type"].null_count, rows["payment_value"].actual_type) == (1, "double")
+
+
 def test_number_of_files_and_overwrite(spark, star_of, tmp_path):
     star = star_of()
     store = FileStore(str(tmp_path), "csv", files=4)
@@ -221,11 +269,28 @@ def test_jdbc_store_hands_over_the_callers_settings(spark, star_of, monkeypatch)
         options={"batchsize": "5000"},
     )
     write_star(star_of(), store)
-    assert [table for _, table, _ in calls] == list(STAR_TABLES)
+    assert sorted(table for _, table, _ in calls) == sorted(STAR_TABLES)
     assert {url for url, _, _ in calls} == {"jdbc:postgresql://host/db"}
     assert calls[0][2] == {"driver": "org.postgresql.Driver", "user": "u", "password": "p"}
     assert set(modes) == {"overwrite"}
-    assert options[0] == {"numPartitions": "16", "batchsize": "5000"}
+    assert options[0] == {"batchsize": "5000"}  # numPartitions would make Spark merge tasks
+
+
+def test_jdbc_reads_in_parts(monkeypatch, spark):
+    calls = []
+    monkeypatch.setattr(
+        DataFrameReader,
+        "jdbc",
+        lambda self, url, table, predicates=None, properties=None: (
+            calls.append((table, predicates)),
+            spark.sql("select 'a' as category_name, 'b' as category_name_english"),
+        )[1],
+    )
+    store = JdbcStore("jdbc:x", connections=2, hashes={"category_dim": "hashtext(category_name)"})
+    store.read(spark, "category_dim")
+    JdbcStore("jdbc:x").read(spark, "category_dim")
+    part = "mod(abs(coalesce(hashtext(category_name), 0)), 2) = "
+    assert calls == [("category_dim", [f"{part}0", f"{part}1"]), ("category_dim", None)]
 
 
 def test_object_store_settings_hold_the_callers_values():
@@ -246,22 +311,45 @@ def test_settings_grow_with_the_input():
     assert large["spark.sql.files.maxPartitionBytes"] == str(10**9)
 
 
-def test_scratch_folder_lies_in_the_shared_one(spark, tmp_path):
-    class Session:
-        class conf:
-            get = staticmethod(lambda key, default=None: str(tmp_path))
-
-    assert session.scratch_root(Session).startswith(f"{tmp_path}/starcart-")
+def test_scratch_folder_lies_in_the_shared_one(tmp_path):
+    def session_with(master="local[8]", **given):
+        class Session:
+            class conf:
+                get = staticmethod(lambda key, default=None: given.get(key.split(".")[1], default))
 
-    class Cluster:
-        class conf:
-            get = staticmethod(lambda key, default=None: None)
+            class sparkContext:
+                pass
 
-        class sparkContext:
-            master = "spark://host:7077"
+        Session.sparkContext.master = master
+        return Session
 
+    root = str(tmp_path)
+    assert session.scratch_root(session_with(checkpoint=root)).startswith(f"{root}/starcart-")
+    assert session.scratch_root(session_with(sql=f"file:{root}")).startswith(f"file:{root}/starcart-")
+    cluster = session_with("spark://host:7077", sql=f"file:{root}")
     with pytest.raises(ValueError):
-        session.scratch_root(Cluster)
+        session.scratch_root(cluster)
+    shared = session_with("spark://host:7077", sql="hdfs://store/warehouse")
+    assert session.scratch_root(shared).startswith("hdfs://store/warehouse/starcart-")
+
+
+def test_command_line_checks_its_arguments(csv_root, tmp_path):
+    with pytest.raises(SystemExit):
+        main(["etl", "--source", csv_root, "--jdbc-url", "jdbc:x"])
+    with pytest.raises(SystemExit):
+        main(["reports", "--star", str(tmp_path), "--input-bytes", "5"])
+
+
+def test_command_line_stores_whole_reports(spark, csv_root, tmp_path):
+    star, output = str(tmp_path / "star"), str(tmp_path / "out")
+    main(["etl", "--source", csv_root, "--target", star, "--covering", "--hot", "measure"])
+    main(["reports", "--star", star, "--output", output])
+    built = all_reports(read_star(spark, FileStore(star)))
+    assert len(os.listdir(output)) == len(built)
+    for title, report in built.items():
+        name = title.split(",")[0].replace(" ", "_")
+        stored = spark.read.parquet(f"{output}/{name}")
+        assert sorted(map(str, stored.collect())) == sorted(map(str, report.collect())), title
 
 
 def test_command_line_loads_and_reports(spark, csv_root, tmp_path, capsys):
