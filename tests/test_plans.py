@@ -324,3 +324,8 @@ def test_hot_key_is_one_row_per_task_before_the_shuffle(spark, hot_sources, spli
         assert re.search(
             rf"HashAggregate\(keys=\[{count}#\d+\], functions=\[partial_count", plan_of(df)
         )
+
+
+def test_foreign_key_audit_reads_each_stored_table_once(stored, large_tables):
+    plan = plan_of(audits.foreign_key_violations(stored))
+    assert plan.count("FileScan") == 8
