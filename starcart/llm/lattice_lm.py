@@ -274,13 +274,12 @@ def lattice_scores(docs: DataFrame, held: F.Column, model_file: bytes) -> DataFr
         {"hashes": "<i8", "counts": "<i8"},
         "block long, place int, hashes long, counts long",
     )
-    asked = stored(asked, "asked")
-    known = asked.groupBy("hashes").agg(F.sum("counts").alias("c")).where("c > 0")
+    known = asked.where("counts > 0").groupBy("hashes").agg(F.sum("counts").alias("c"))
     known = stored(known, "known")
     totals = known.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     ends = int(round(sum(r.n for r in sums if r.place == len(vocabulary.pieces)) / _UNIT))
     distinct, tokens = totals[0] + (ends > 0), totals[1] + ends
-    answers = asked.join(known, "hashes").select("block", "place", "c")
+    answers = asked.drop("counts").join(known, "hashes").select("block", "place", "c")
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
