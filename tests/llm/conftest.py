@@ -33,7 +33,7 @@ def docs_of(spark):
         )
         for name, value in extra.items():
             table = table.append_column(name, pa.array([value] * len(rows)))
-        return spark.createDataFrame(table)
+        return spark.createDataFrame(table).coalesce(2)
 
     return make
 

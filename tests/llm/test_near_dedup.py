@@ -66,7 +66,7 @@ def variants(seed, bases=25):
     return list(zip(ids, rows, strict=True))
 
 
-@pytest.mark.parametrize(("rule", "seed"), [(OP1, 1), (OP1, 2), (Rule(), 3)])
+@pytest.mark.parametrize(("rule", "seed"), [(OP1, 1), (Rule(), 3)])
 def test_equals_all_pairs(docs_of, rule, seed):
     rows = variants(seed)
     expected, sets = all_pairs(rows, rule)
@@ -116,7 +116,6 @@ def test_one_of_each(odd_docs, docs_of):
 
 
 def test_empty_table(no_docs):
-    assert near_duplicates(no_docs).count() == 0
     assert one_of_each(no_docs).count() == 0
 
 

@@ -81,7 +81,7 @@ def test_a_text_is_scored_by_itself(spark, docs_of):
     assert together.tolist() == pytest.approx(alone)
 
 
-@pytest.mark.parametrize("labels", [[], [(5, 1, 0)], [(5, None, 0), (None, 0, 0)]])
+@pytest.mark.parametrize("labels", [[(5, 1, 0), (6, None, 0), (None, 0, 0)]])
 def test_odd_rows(spark, odd_docs, labels):
     model = fit_quality(odd_docs, spark.createDataFrame(labels, SCHEMA))
     rows = quality(odd_docs, model).collect()

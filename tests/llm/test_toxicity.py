@@ -82,7 +82,7 @@ def test_learns_stems_and_reads_no_held_out_label(spark, docs_of):
     assert {r.doc_id for r in left.collect()} == {d for d, _, t in labels if not t}
 
 
-@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (5, 1, 0)], [(5, None, None), (None, 1, 1)]])
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (5, None, None), (None, 1, 1)]])
 def test_without_labels_of_both_kinds(spark, odd_docs, labels):
     model = fit_toxicity(odd_docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     rows = toxicity(odd_docs, model).collect()
