@@ -19,7 +19,7 @@ import heapq
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 from operator import itemgetter
@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import map_batches, map_slices
+from starcart.llm.words import map_batches, slices
 
 _CACHED = 100_000  # pieces in a generation of a worker's cache, of at most _PIECE characters
 _PIECE = 48
@@ -224,18 +224,6 @@ class Codec(Decoder):
         return [token.id for token in self.model.tokenize(shown)]
 
 
-@lru_cache(maxsize=2)
-def codec(rank_file: bytes, pattern: str) -> Codec:
-    """One per worker process, built at its first batch."""
-    return Codec(rank_file, pattern)
-
-
-@lru_cache(maxsize=2)
-def decoder(rank_file: bytes) -> Decoder:
-    """Workers that only decode need no encoder."""
-    return Decoder(rank_file)
-
-
 def char_spans(raw: bytes, starts: np.ndarray) -> list[tuple[int, int]]:
     """Characters that each token touches, [first, end); a split character belongs to each part."""
     if not len(starts):
@@ -253,8 +241,7 @@ def encoded(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ..
     ``rank_file`` is the content of the vocabulary file, which goes to the tasks with the function.
     """
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = codec(rank_file, pattern)
+    def piece(batch: pa.RecordBatch, own: Codec) -> pa.RecordBatch:
         ids = own.encode([t or "" for t in batch.column("text").to_pylist()])
         sizes = np.fromiter((len(i) for i in ids), np.int32, len(ids))
         flat = np.concatenate(ids)
@@ -269,16 +256,23 @@ def encoded(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ..
             [*(batch.column(c) for c in keep), *lists], [*keep, "ids", "starts"]
         )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Codec(rank_file, pattern)  # for the task, half a second; not kept in idle workers
+        for batch in batches:
+            for part in slices(batch):
+                yield piece(part, own)
+        own.known.clear()
+
     source = docs.select(*{c: 0 for c in (*keep, "text")})
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return map_slices(source, run, f"{types}, ids array<int>, starts array<int>")
+    return map_batches(source, run, f"{types}, ids array<int>, starts array<int>")
 
 
 def decoded(df: DataFrame, rank_file: bytes) -> DataFrame:
     """The rows with ``decoded``, the bytes that their ``ids`` stand for; no or null ids give none."""
 
     def run(batches):
-        own = decoder(rank_file)
+        own = Decoder(rank_file)
         for batch in batches:
             ids = batch.column("ids")
             values, at = ids.values.to_numpy(), ids.offsets.to_numpy()

@@ -8,6 +8,8 @@ hash of any stretch of bytes comes from two prefix sums, so there is no loop ove
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,8 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 2_000_000
-BATCH_BYTES = 4 << 20
+SLICE_BYTES = 1_000_000
+BATCH_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -47,7 +49,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
+            size = (n // 262_144 + 1) * 262_144
             for name, base in (("up", _BASE), ("down", _INVERSE)):
                 steps = np.full(size, base, np.uint64)
                 steps[0] = 1
@@ -140,10 +142,25 @@ def map_batches(
 ) -> DataFrame:
     """``df.mapInArrow`` with batches of about BATCH_BYTES, a setting of the session.
 
-    By default a batch has 10,000 rows, whatever their size.
+    By default a batch has 10,000 rows, whatever their size. Workers outlive their tasks, so at its end a task
+    gives back the memory that it has freed.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Freed memory to the system, where the C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def map_slices(
