@@ -322,6 +322,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
             F.min("doc_id").alias("doc_id"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("registers").alias("registers"),
+            F.count("*").alias("copies"),
         ),
         "classes",
     )
@@ -337,7 +338,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .join(linked, "digest", "left")
         .select("digest", F.coalesce("least", "doc_id").alias("least"))
     )
-    out = drawn.select("doc_id", "tag", "n_shingles", "digest").join(named, "digest", "left")
+    out = _of_class(drawn.select("doc_id", "tag", "n_shingles", "digest"), named, classes)
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", alone))
     return out.select(
@@ -349,6 +350,29 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
 
 
+def _of_class(rows: DataFrame, named: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows with what ``named`` says of their class, or null.
+
+    A class with more than a task's fair share of the rows, of which there are at most as many as
+    partitions, is dealt over all tasks and its one row of ``named`` repeated.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = classes.agg(F.sum("copies").alias("total"))
+    hot = F.broadcast(  # at most ``parts`` rows
+        classes.crossJoin(F.broadcast(total))  # a single row
+        .where(F.col("copies") * parts > F.col("total"))
+        .select("digest", F.lit(True).alias("hot"))
+    )
+    dealt = rows.join(hot, "digest", "left").withColumn(
+        "part", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(parts))).otherwise(0).cast("int")
+    )
+    everywhere = F.sequence(F.lit(0), F.lit(parts - 1))
+    repeated = named.join(hot, "digest", "left").withColumn(
+        "part", F.explode(F.when(F.col("hot"), everywhere).otherwise(F.array(F.lit(0))))
+    )
+    return dealt.drop("hot").join(repeated.drop("hot"), ["digest", "part"], "left").drop("part")
+
+
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The documents, all columns, with one of each group of near duplicates.
 
