@@ -8,8 +8,8 @@ probabilities, and one round of expected counts over all training rows gives the
 
 Work goes by blocks of a few megabytes of text. A block keeps each of its different words
 once, with postings per document. Word counts of the corpus are a plain grouped sum over (block,
-word) rows, and come back to the blocks by a join; no word, however common, has more rows than
-there are blocks.
+word) rows; lattices are summed once per different word of the corpus, and counts and probabilities
+come back to the blocks by a join. No word, however common, has more rows than there are blocks.
 """
 
 from __future__ import annotations
@@ -23,18 +23,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import Stretches, Words, as_bytes, map_batches, mix, slices, stored
+from starcart.llm.words import Stretches, Words, as_bytes, map_batches, slices, stored
 
-END = int(mix(np.array([0x0E4D], np.uint64))[0])  # the end of a text, as a word
 SMOOTHING = 0.1  # added to each piece's expected count
 ZIPF = 100
 _UNIT = 1 << 16  # expected counts are summed as integers, so that sums do not depend on the order
 _MAYBE = 1 << 21
 
+BLOCK_BYTES = 3_000_000
+
 _PACKED = (
     "block long, doc_ids binary, no_id binary, held binary, sizes binary, words binary, lengths binary, "
-    "hashes binary, counts binary, posted binary, times binary, first binary, expected binary"
+    "counts binary, posted binary, times binary, first binary"
 )
+#: Types of the packed arrays.
+_KINDS = {
+    "doc_ids": "<i8", "no_id": "?", "held": "?", "sizes": "<i4", "words": "u1", "lengths": "<i4",
+    "counts": "<i4", "posted": "<i4", "times": "<i4", "first": "<i4",
+}
 
 
 @dataclass(frozen=True)
@@ -155,93 +161,126 @@ class Lattice:
         )
 
 
-def _packed_block(batch: pa.RecordBatch, lattice: Lattice, block: int):
-    """A block as a row, and the expected piece counts of its training words."""
+def _packed_block(batch: pa.RecordBatch, block: int) -> dict:
+    """A block's different words with training counts, and per document what words it has how often.
+
+    ``posted[first[i]:first[i + 1]]`` are the words of document i, as distances, ``times`` how often each.
+    """
     words = Words(as_bytes(batch.column("text")))
-    hashes = words.hashes()
     per_doc = words.counts()
     held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
-    unique, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    unique, one, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
     starts, ends = words.starts[one], words.ends[one]
     doc = np.repeat(np.arange(batch.num_rows), per_doc)
     pairs, times = np.unique(doc * max(len(unique), 1) + inverse, return_counts=True)
     pair_doc, posted = np.divmod(pairs, max(len(unique), 1))
-    counts = np.bincount(posted, times * ~held[pair_doc], minlength=len(unique)).astype(np.int64)
-    # a blank before each word
-    sizes = ends - starts + 1
-    first = np.cumsum(sizes) - sizes
-    blob = np.full(int(sizes.sum()), 32, np.uint8)
-    inner = np.ones(len(blob), bool)
-    inner[first] = False
-    spots = np.arange(int((sizes - 1).sum())) - np.repeat(np.cumsum(sizes - 1) - (sizes - 1), sizes - 1)
-    blob[inner] = words.data[np.repeat(starts, sizes - 1) + spots]
-    known = counts > 0
-    expected = lattice.expected(blob, first[known], (first + sizes)[known], counts[known])
-    ids = batch.column("doc_id")
+    counts = np.bincount(posted, times * ~held[pair_doc], minlength=len(unique))
+    sizes = ends - starts
+    at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    ids = batch.column("doc_id").to_pylist()
     row = {
-        "block": block,
-        "doc_ids": np.array([0 if i is None else i for i in ids.to_pylist()], np.int64),
-        "no_id": np.array([i is None for i in ids.to_pylist()], bool),
+        "doc_ids": [0 if i is None else i for i in ids],
+        "no_id": [i is None for i in ids],
         "held": held,
-        "sizes": per_doc.astype(np.int64),
-        "words": blob,
-        "lengths": sizes.astype(np.int32),
-        "hashes": unique,
+        "sizes": per_doc,
+        "words": words.data[np.repeat(starts, sizes) + at],
+        "lengths": sizes,
         "counts": counts,
-        "posted": posted.astype(np.int32),
-        "times": times.astype(np.int32),
-        "first": np.searchsorted(pair_doc, np.arange(batch.num_rows + 1)).astype(np.int64),
+        "posted": np.diff(posted, prepend=0),
+        "times": times,
+        "first": np.searchsorted(pair_doc, np.arange(batch.num_rows + 1)),
     }
-    return row, expected
+    return {"block": block, **{c: np.asarray(v).astype(_KINDS[c]).tobytes() for c, v in row.items()}}
+
+
+def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[f.name] for r in rows], f.type) for f in schema], schema=schema
+    )
 
 
-def _blocks(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """A row per block, and one per task with expected counts (block null)."""
+def _blocks(docs: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in _PACKED.split(", ")]
-    kinds = [pa.int64(), *[pa.binary()] * (len(names) - 1)]
-
-    def as_batch(row: dict) -> pa.RecordBatch:
-        values = [row.get(n) for n in names]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([v.tobytes() if isinstance(v, np.ndarray) else v], k)
-                for v, k in zip(values, kinds, strict=True)
-            ],
-            names,
-        )
+    schema = pa.schema([(n, pa.int64() if n == "block" else pa.binary()) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(vocabulary)
         task, number = TaskContext.get().partitionId(), 0
-        total = np.zeros(len(vocabulary.pieces) + 1)
         for batch in batches:
-            for piece in slices(batch):
-                row, expected = _packed_block(piece, lattice, (task << 32) + number)
-                total[:-1] += expected
-                total[-1] += (~np.frombuffer(row["held"], bool)).sum()
+            for piece in slices(batch, size=BLOCK_BYTES):
+                yield _batch([_packed_block(piece, (task << 32) + number)], schema)
                 number += 1
-                yield as_batch(row)
-        if number:
-            yield as_batch({"expected": np.rint(total * _UNIT).astype(np.int64)})
 
-    return map_batches(docs, run, _PACKED)
+    return map_batches(docs, run, _PACKED, BLOCK_BYTES)
 
 
-def _unpacked(df: DataFrame, columns: dict[str, str], schema: str, extra=None) -> DataFrame:
-    """Rows from columns of packed arrays, one for each number."""
+def _word_rows(packed: DataFrame) -> DataFrame:
+    """``block, place, word, n``: a row per different word of a block, n times in its training rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                arrays = [np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in columns.items()]
-                n = len(arrays[0])
-                head = [pa.array(np.full(n, batch.column("block")[i].as_py() or 0, np.int64))]
-                place = [pa.array(np.arange(n, dtype=np.int32))]
+                data, lengths, counts = (
+                    np.frombuffer(batch.column(c)[i].as_py(), _KINDS[c]) for c in ("words", "lengths", "counts")
+                )
+                ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+                n = len(lengths)
+                words = pa.BinaryArray.from_buffers(
+                    pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [*head, *place, *map(pa.array, arrays)], ["block", "place", *columns]
+                    [
+                        pa.array(np.full(n, batch.column("block")[i].as_py())),
+                        pa.array(np.arange(n, dtype=np.int32)),
+                        words,
+                        pa.array(counts.astype(np.int64)),
+                    ],
+                    ["block", "place", "word", "n"],
                 )
 
-    return map_batches(df, run, schema)
+    source = packed.select("block", "words", "lengths", "counts")
+    return map_batches(source, run, "block long, place int, word binary, n long")
+
+
+def _lattice_input(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with a blank before each, in one buffer, and where they begin and end."""
+    listed = words.to_pylist()
+    data = np.frombuffer(b" " + b" ".join(listed), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in listed])
+    return data, np.append(0, ends[:-1]), ends
+
+
+def _expected(known: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Expected uses of the pieces in all training words, under the given probabilities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice, total = Lattice(vocabulary), np.zeros(len(vocabulary.pieces))
+        for batch in batches:
+            for piece in slices(batch, "word"):
+                total += lattice.expected(*_lattice_input(piece.column("word")), piece.column("c").to_numpy())
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(np.rint(total[at] * _UNIT).astype(np.int64))],
+            ["piece", "n"],
+        )
+
+    uses = map_batches(known.where("c > 0").select("word", "c"), run, "piece int, n long")
+    out = np.full(len(vocabulary.pieces), SMOOTHING)
+    for row in uses.groupBy("piece").agg(F.sum("n").alias("n")).collect():  # one row per piece
+        out[row.piece] += row.n / _UNIT
+    return out
+
+
+def _with_logs(known: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``word, c, logp``: each word's natural log of its probability."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(vocabulary)
+        for batch in batches:
+            for piece in slices(batch, "word"):
+                logs = lattice.logs(*_lattice_input(piece.column("word")))
+                yield piece.append_column("logp", pa.array(logs, pa.float64()))
+
+    return map_batches(known, run, "word binary, c long, logp double")
 
 
 def lattice_scores(docs: DataFrame, held: F.Column, model_file: bytes) -> DataFrame:
@@ -255,79 +294,44 @@ def lattice_scores(docs: DataFrame, held: F.Column, model_file: bytes) -> DataFr
     source = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(held, F.lit(False)).alias("held"), "text"
     )
-    packed = stored(_blocks(source, vocabulary), "blocks")
-    blocks = packed.where("block is not null")
-
-    uses = _unpacked(
-        packed.where("block is null").select("block", "expected"),
-        {"expected": "<i8"},
-        "block long, place int, expected long",
-    )
-    sums = uses.groupBy("place").agg(F.sum("expected").alias("n")).collect()  # one row per piece
-    expected = np.full(len(vocabulary.logp), SMOOTHING)
-    for row in sums:
-        expected[row.place] += row.n / _UNIT
-    learnt = Vocabulary(vocabulary.pieces, np.log(expected / expected.sum()))
-
-    asked = _unpacked(
-        blocks.select("block", "hashes", "counts"),
-        {"hashes": "<i8", "counts": "<i8"},
-        "block long, place int, hashes long, counts long",
-    )
-    known = asked.where("counts > 0").groupBy("hashes").agg(F.sum("counts").alias("c"))
-    known = stored(known, "known")
-    totals = known.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    ends = int(round(sum(r.n for r in sums if r.place == len(vocabulary.pieces)) / _UNIT))
-    distinct, tokens = totals[0] + (ends > 0), totals[1] + ends
-    answers = asked.drop("counts").join(known, "hashes").select("block", "place", "c")
+    packed = stored(_blocks(source), "blocks")
+    asked = _word_rows(packed)
+    known = stored(asked.groupBy("word").agg(F.sum("n").alias("c")), "known")
+    ends = docs.where(~F.coalesce(held, F.lit(False))).count()
+    distinct, tokens = known.agg(F.count_if(F.col("c") > 0), F.coalesce(F.sum("c"), F.lit(0))).first()
+    distinct, tokens = distinct + (ends > 0), tokens + ends
+    uses = np.append(_expected(known, vocabulary), ends + SMOOTHING)
+    learnt = Vocabulary(vocabulary.pieces, np.log(uses / uses.sum()))
+    answers = asked.drop("n").join(_with_logs(known, learnt), "word").select("block", "place", "c", "logp")
+    end_log, ends = float(learnt.logp[-1]), int(ends)
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        lattice = Lattice(learnt)
-        parts = []
-        for i in range(left.num_rows):
-            row = {c: left.column(c)[i].as_py() for c in left.column_names}
-            array = {
-                c: np.frombuffer(row[c], t)
-                for c, t in (
-                    ("doc_ids", "<i8"), ("no_id", bool), ("held", bool), ("sizes", "<i8"), ("words", np.uint8),
-                    ("lengths", "<i4"), ("posted", "<i4"), ("times", "<i4"), ("first", "<i8"),
-                )
-            }
-            count = np.zeros(len(array["lengths"]), np.int64)
-            count[right.column("place").to_numpy()] = right.column("c").to_numpy()
-            ends_ = np.cumsum(array["lengths"], dtype=np.int64)
-            logs = lattice.logs(array["words"], ends_ - array["lengths"], ends_)
-            times, posted = array["times"], array["posted"]
-
-            def summed(values: np.ndarray, first=array["first"]) -> np.ndarray:
-                return np.diff(np.append(0, np.cumsum(values))[first])
-
-            n = array["sizes"] + 1
-            seen = summed(times * (count[posted] > 0)) + (ends > 0)
-            base = summed_exact(times * np.log10(count[posted] + 1.0), array["first"])
-            base += np.log10(ends + 1.0) - n * np.log10(tokens + distinct + 1.0)
-            model = summed_exact(times * logs[posted], array["first"])
-            model = (model + lattice.logp[-1]) / np.log(10)
-            parts.append(
-                pa.table(
-                    [
-                        pa.array(array["doc_ids"], mask=array["no_id"]),
-                        pa.array(array["held"]),
-                        pa.array(n),
-                        pa.array(seen.astype(np.int64)),
-                        pa.array(np.full(len(n), tokens, np.int64)),
-                        pa.array(base),
-                        pa.array(model),
-                    ],
-                    names,
-                )
-            )
-        return pa.concat_tables(parts) if parts else _nothing(names)
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = {c: np.frombuffer(left.column(c)[0].as_py(), _KINDS[c]) for c in left.column_names if c != "block"}
+        size = right.num_rows
+        count, logs = np.zeros(size, np.int64), np.zeros(size)
+        place = right.column("place").to_numpy()
+        count[place], logs[place] = right.column("c").to_numpy(), right.column("logp").to_numpy()
+        first, times, posted = row["first"], row["times"], np.cumsum(row["posted"])
+        n = row["sizes"].astype(np.int64) + 1
+        seen = _summed(times * (count[posted] > 0), first) + (ends > 0)
+        base = _summed(times * np.log10(count[posted] + 1.0), first)
+        base += np.log10(ends + 1.0) - n * np.log10(tokens + distinct + 1.0)
+        model = (_summed(times * logs[posted], first) + end_log) / np.log(10)
+        values = [
+            pa.array(row["doc_ids"], mask=row["no_id"]),
+            pa.array(row["held"]),
+            pa.array(n),
+            pa.array(seen.astype(np.int64)),
+            pa.array(np.full(len(n), tokens, np.int64)),
+            pa.array(base),
+            pa.array(model),
+        ]
+        return pa.table(values, names)
 
     return (
-        blocks.drop("expected", "hashes", "counts")
+        packed.drop("words", "lengths", "counts")
         .groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
@@ -338,15 +342,10 @@ def lattice_scores(docs: DataFrame, held: F.Column, model_file: bytes) -> DataFr
     )
 
 
-def summed_exact(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+def _summed(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of each stretch by itself, so that other documents leave no rounding in it."""
     out = np.zeros(len(first) - 1)
     full = np.flatnonzero(np.diff(first) > 0)
     if len(full):
         out[full] = np.add.reduceat(values, first[:-1][full])
     return out
-
-
-def _nothing(names: list[str]) -> pa.Table:
-    kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.float64()]
-    return pa.table([pa.array([], k) for k in kinds], names)

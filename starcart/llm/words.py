@@ -123,13 +123,15 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about SLICE_BYTES of text, so that arrays stay small."""
+def slices(
+    batch: pa.RecordBatch, text: str = "text", size: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``size`` (SLICE_BYTES) of text, so that arrays stay small."""
     if not batch.num_rows:
         return
     sizes = pc.binary_length(batch.column(text).cast(pa.binary()))
     lengths = sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    piece = np.cumsum(lengths + 64) // SLICE_BYTES
+    piece = np.cumsum(lengths + 64) // (size or SLICE_BYTES)
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(start, end - start)
@@ -139,13 +141,14 @@ def map_batches(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str | StructType,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
-    """``df.mapInArrow`` with batches of about BATCH_BYTES, a setting of the session.
+    """``df.mapInArrow`` with batches of about ``batch_bytes``, a setting of the session.
 
     By default a batch has 10,000 rows, whatever their size. Workers outlive their tasks, so at its end a task
     gives back the memory that it has freed.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(batches)

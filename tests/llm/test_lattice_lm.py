@@ -13,7 +13,7 @@ import pytest
 from llm.conftest import prose
 from pyspark.sql import functions as F
 
-from starcart.llm import lattice_lm, words
+from starcart.llm import lattice_lm
 from starcart.llm.lattice_lm import Lattice, Vocabulary, first_vocabulary, lattice_scores
 from starcart.llm.queries import vocabulary_file
 
@@ -105,7 +105,7 @@ def made():
 
 
 def test_scores(docs_of, monkeypatch):
-    monkeypatch.setattr(words, "SLICE_BYTES", 20_000)
+    monkeypatch.setattr(lattice_lm, "BLOCK_BYTES", 20_000)
     rows = made()
     found = {r.doc_id: r for r in lattice_scores(docs_of(rows), held(), vocabulary_file()).collect()}
     assert len(found) == len(rows)
