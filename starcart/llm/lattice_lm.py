@@ -30,7 +30,7 @@ ZIPF = 100
 _UNIT = 1 << 16  # expected counts are summed as integers, so that sums do not depend on the order
 _MAYBE = 1 << 21
 
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 6_000_000
 
 _PACKED = (
     "block long, doc_ids binary, no_id binary, held binary, sizes binary, words binary, lengths binary, "

@@ -192,5 +192,5 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts lineage, survives executors."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
