@@ -304,7 +304,7 @@ def _rare_pairs(rest: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Per row of ``(doc_id, text)``: n_shingles, component_id, kept, and tag, a hash of the text.
+    """Per row of ``(doc_id, text)``: n_shingles, component_id, kept, tag (a hash of the text), root (of its component).
 
     Two documents are linked if their sets of distinct word shingles have a Jaccard similarity
     of ``rule.percent`` or more; component_id is the least doc_id reachable over links. kept
@@ -332,11 +332,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .join(roots.select("root").distinct(), "root")  # those with links
     )
     of_root = least.groupBy("root").agg(F.min("doc_id").alias("least"))
-    linked = least.select("digest", "root").join(of_root, "root").select("digest", "least")
+    linked = least.select("digest", "root").join(of_root, "root").select("digest", "least", "root")
     named = (
         classes.select("digest", "doc_id")
         .join(linked, "digest", "left")
-        .select("digest", F.coalesce("least", "doc_id").alias("least"))
+        .select(
+            "digest", F.coalesce("least", "doc_id").alias("least"), F.coalesce("root", "digest").alias("root")
+        )
     )
     out = _of_class(drawn.select("doc_id", "tag", "n_shingles", "digest"), named, classes)
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
@@ -347,6 +349,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
         "tag",
+        "root",
     )
 
 
@@ -376,19 +379,20 @@ def _of_class(rows: DataFrame, named: DataFrame, classes: DataFrame) -> DataFram
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The documents, all columns, with one of each group of near duplicates.
 
-    The one with the least doc_id stays. Of rows with the same doc_id one text stays, by the least
-    hash, and of repeated rows one. Texts without words and rows without doc_id all stay.
+    The one with the least doc_id stays; if several rows of the group have it, the text with the least
+    hash, and of repeated rows one. Rows that share a doc_id but not a group are documents of their
+    own. Texts without words and rows without doc_id all stay.
     """
     found = stored(near_duplicates(docs, rule).where("n_shingles > 0 and doc_id is not null"), "groups")
-    first = found.where("kept").groupBy("component_id").agg(
-        F.min("tag").alias("best"), F.max("tag").alias("worst"), F.count("*").alias("rows")
+    first = found.where("kept").groupBy("root").agg(
+        F.min("doc_id").alias("id"), F.min("tag").alias("best"), F.count("*").alias("rows")
     )
     doubtful = first.where("rows > 1")  # several rows with one doc_id
     losers = found.where("not kept").union(
-        found.where("kept").join(doubtful, "component_id").where("tag != best").select(*found.columns)
+        found.where("kept").join(doubtful, "root").where("tag != best").select(*found.columns)
     )
     losers = losers.select("doc_id", "tag").distinct()
-    repeated = doubtful.select(F.col("component_id").alias("doc_id"), F.col("best").alias("tag"))
+    repeated = doubtful.select(F.col("id").alias("doc_id"), F.col("best").alias("tag"))
 
     def same(other: DataFrame) -> Column:
         return (docs["doc_id"] == other["doc_id"]) & (F.xxhash64(docs["text"]) == other["tag"])

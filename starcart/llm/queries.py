@@ -29,7 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, linked from 85 percent on."""
-    return near_duplicates(table(spark, sf_dir, "documents"), Rule(3, 85, rows=6, bands=32))
+    found = near_duplicates(table(spark, sf_dir, "documents"), Rule(3, 85, rows=6, bands=32))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def rank_file(path: str | None = None) -> bytes:
