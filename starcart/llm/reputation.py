@@ -24,6 +24,9 @@ SECOND_LEVEL = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "co.jp", "co.nz"
 LIMIT = 0.5  # share of bad pages
 SURENESS = 1.645  # standard deviations below the mean
 WEAKEST, STRONGEST = 1.0, 10_000.0  # pseudo-counts of a prior
+_STEPS = 20
+_LEAST, _MOST = 1 / (STRONGEST + 1), 1 / (WEAKEST + 1)
+GRID = [_LEAST * (_MOST / _LEAST) ** (i / _STEPS) for i in range(_STEPS + 1)]  # correlations
 
 _URL = r"://([^/?#]*)([^?#]*)"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -65,17 +68,29 @@ def domain_of(host: Column, suffix: Column) -> Column:
 
 
 def strength(groups: DataFrame) -> DataFrame:
-    """One row: the pseudo-count of a prior over groups ``(n, bad, prior)``, by moments.
+    """One row: the pseudo-count of a prior over groups ``(n, bad, prior)``, by weighted moments.
 
     With correlation r between pages of a group, the squared distance of bad from n * prior has the mean
-    n p (1 - p) (1 + (n - 1) r); the pseudo-count is 1 / r - 1.
+    n p (1 - p) v, v = 1 + (n - 1) r; the pseudo-count is 1 / r - 1. A group's moment counts with its own
+    information, (n - 1) / v**2, so that no group has more than 1 / r**2, however many pages it holds. The
+    weights depend on r: the weighted sums are taken at each r of a grid, all in one aggregation, and r is
+    where they last change sign.
     """
-    spread = F.col("prior") * (1 - F.col("prior"))
-    distance = F.sum(F.pow(F.col("bad") - F.col("n") * F.col("prior"), F.lit(2.0)) - F.col("n") * spread)
-    room = F.sum(F.col("n") * (F.col("n") - 1) * spread)
-    r = F.round(F.coalesce(distance / F.nullif(room, F.lit(0.0)), F.lit(0.0)), 9)
-    least, most = 1 / (STRONGEST + 1), 1 / (WEAKEST + 1)
-    return groups.agg((1 / F.least(F.greatest(r, F.lit(least)), F.lit(most)) - 1).alias("k"))
+    n, prior = F.col("n"), F.col("prior")
+    ratio = F.pow(F.col("bad") - n * prior, F.lit(2.0)) / (n * prior * (1 - prior))
+    sums = []
+    for r in GRID:
+        v = 1 + (n - 1) * r
+        sums.append(F.sum(F.when(n > 1, r * (n - 1) * (ratio - v) / (v * v))))
+    # rounded, so that r does not depend on the order of the sums
+    one = groups.agg(F.transform(F.array(*sums), lambda x: F.round(F.coalesce(x, F.lit(0.0)), 6)).alias("sums"))
+    at = F.col("sums")
+    r = F.lit(GRID[0])
+    for j, (here, above) in enumerate(zip(GRID, GRID[1:], strict=False)):
+        part = at[j] / (at[j] - at[j + 1])
+        r = F.when((at[j] > 0) & (at[j + 1] <= 0), here * F.pow(F.lit(above / here), part)).otherwise(r)
+    r = F.when(at[len(GRID) - 1] > 0, GRID[-1]).otherwise(r)
+    return one.select((1 / F.round(r, 9) - 1).alias("k"))
 
 
 def _shrunk(groups: DataFrame) -> DataFrame:

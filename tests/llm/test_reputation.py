@@ -65,6 +65,28 @@ def test_shrinking(spark):
     assert all(0 < r.bound < r.share < 1 for r in out.values())
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_one_hot_host_does_not_decide_for_all(spark, hot):
+    """A host with a third of the pages, at the mean rate, leaves the bad hosts blocked."""
+    rng = random.Random(2)
+    draw = lambda n: float(sum(rng.random() < 0.03 for _ in range(n)))
+    rows = [(f"bad{i}.com", 50.0, 50.0) for i in range(100)] + [(f"h{i}.com", 50.0, draw(50)) for i in range(900)]
+    if hot:
+        share = sum(r[2] for r in rows) / sum(r[1] for r in rows)
+        rows.append(("hot.com", 25_000.0, float(round(25_000 * share))))
+    out = {r.host: r for r in reputations(spark.createDataFrame(rows, "host string, n double, bad double")).collect()}
+    assert {h for h, r in out.items() if r.bound > 0.5} == {f"bad{i}.com" for i in range(100)}
+
+
+def test_a_few_bad_hosts_beside_a_hot_one(spark):
+    rng = random.Random(3)
+    rows = [(f"bad{i}.com", 50.0, 50.0) for i in range(8)]
+    rows += [(f"h{i}.com", 50.0, float(sum(rng.random() < 0.03 for _ in range(50)))) for i in range(992)]
+    rows.append(("hot.com", 25_000.0, 950.0))
+    out = {r.host: r for r in reputations(spark.createDataFrame(rows, "host string, n double, bad double")).collect()}
+    assert {h for h, r in out.items() if r.bound > 0.5} == {f"bad{i}.com" for i in range(8)}
+
+
 def test_odd_rows(spark):
     pages = [(1, None), (2, "x"), (3, "http://a.com/1"), (3, "http://a.com/1"), (None, "http://a.com/2")]
     pages = spark.createDataFrame(pages, "page_id long, url string").withColumns(
