@@ -11,14 +11,19 @@ tested. With A symbols in the encoding and L characters:
 * serial correlation of each symbol with the next one.
 
 The three p-values are combined by Fisher's rule; a token below ``RANDOM_P`` is not random. Passing is
-easy for short tokens, so it is not yet a discovery. ``p_text`` is the probability that ordinary text of the
-token's length would look as even as it does: text repeats letters, so its expected chi-squared value
-grows with the length, and with it the power to tell. The discoveries of a document are chosen among its
-tokens by the Benjamini-Hochberg rule on ``p_text`` with rate ``FALSE_DISCOVERIES``.
+easy for short tokens, so it is not yet a discovery. ``p_text`` bounds the probability that ordinary text would
+look as random as the token does: it is the likelihood of the token under a chain for text, divided by that under
+equally frequent symbols of its own encoding (by Markov's inequality, text gets below p with probability p at most).
+The chain knows that case, digits and separators come in runs, that vowels and consonants take turns, and how
+frequent letters are; words, decimal numbers and names seen through any encoding, also hex, have their price.
+The discoveries of a document are chosen among its tokens by the Benjamini-Hochberg rule on ``p_text`` with rate
+``FALSE_DISCOVERIES``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +39,6 @@ TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 RANDOM_P = 0.01
 FALSE_DISCOVERIES = 0.05
 
-# Chance that two letters of text are equal, and that three are.
-_PAIRS, _TRIPLES = 0.062, 0.0055
-
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _DIGITS = "0123456789"
 ALPHABETS = {  # tried in this order
@@ -49,6 +51,47 @@ ALPHABETS = {  # tried in this order
 }
 
 
+# Ordinary text as a chain over kinds of symbols. Letters per cent of European texts.
+_VOWELS = {"a": 24, "e": 33, "i": 19, "o": 17, "u": 7}
+_CONSONANTS = {
+    "t": 11.5, "n": 12.5, "s": 11.5, "r": 11, "l": 7.5, "d": 7, "h": 5.5, "c": 5.5, "m": 4.5, "p": 4, "g": 3.5, "b": 2.7,
+    "f": 2.5, "v": 2.2, "k": 1.8, "w": 1.6, "y": 1.5, "z": 1, "q": 0.7, "j": 0.6, "x": 0.4,
+}
+_SYMBOLS = _UPPER + _UPPER.lower() + _DIGITS + "+/"
+_KINDS = ("lower", "upper", "digit", "other")
+_NEXT = {  # chance of the kind that follows, in the order of _KINDS
+    "lower": (0.86, 0.06, 0.03, 0.05),
+    "upper": (0.50, 0.42, 0.04, 0.04),
+    "digit": (0.08, 0.06, 0.80, 0.06),
+    "other": (0.50, 0.25, 0.20, 0.05),
+}
+_VOWEL_AFTER = {"vowel": 0.2, "consonant": 0.55, "other": 0.35}
+# states: vowel and consonant of either case, digit, other
+_STATES = (("lower", "vowel"), ("lower", "consonant"), ("upper", "vowel"), ("upper", "consonant"), ("digit", "other"), ("other", "other"))
+
+
+def _step(before: tuple[str, str], after: tuple[str, str]) -> float:
+    chance = _NEXT[before[0]][_KINDS.index(after[0])]
+    vowel = _VOWEL_AFTER[before[1]]
+    return math.log(chance * {"vowel": vowel, "consonant": 1 - vowel, "other": 1.0}[after[1]])
+
+
+def _emission(symbol: str) -> tuple[int, float]:
+    """A symbol's state, and the logarithm of its chance there."""
+    if symbol.isdigit():
+        return 4, math.log(1 / 10)
+    if not symbol.isalpha():
+        return 5, math.log(1 / 2)
+    letter, case = symbol.lower(), 2 * symbol.isupper()
+    for k, shares in enumerate((_VOWELS, _CONSONANTS)):
+        if letter in shares:
+            return case + k, math.log(shares[letter] / sum(shares.values()))
+    raise ValueError(symbol)
+
+
+STEPS = [_step(x, y) for x in _STATES for y in _STATES]
+EMISSIONS = [_emission(c) for c in _SYMBOLS]
+
 def _places(text: Column, pattern: str, value: int = 0) -> Column:
     """The matches as (start, end, value), in order; characters, end exclusive.
 
@@ -119,17 +162,31 @@ def _statistics(token: Column) -> Column:
     )
     squares = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x)
     middle = (a - 1) / 2
+    states = F.array(*(F.lit(k) for k, _ in EMISSIONS))
+    emissions = F.array(*(F.lit(e) for _, e in EMISSIONS))
+    steps = F.array(*map(F.lit, STEPS))
     first = F.struct(
-        F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("product"), F.lit(1.0).alias("runs")
+        F.lit(None).cast("double").alias("last"),
+        F.lit(0.0).alias("product"),
+        F.lit(1.0).alias("runs"),
+        F.lit(len(_STATES) - 1).alias("state"),  # a token begins as after a separator
+        F.lit(0.0).alias("text"),
     )
+    # words in capitals are words: their case tells nothing
+    capitals = ~body.rlike("[a-z]")
 
     def add(state: Column, c: Column) -> Column:
         x = F.instr(alphabet, c) - 1 - middle
         new_run = (state["last"] >= 0) != (x >= 0)
+        place = F.instr(F.lit(_SYMBOLS), F.when(capitals, F.lower(c)).otherwise(c)) - 1
+        kind = F.get(states, place)
+        step = F.get(steps, state["state"] * len(_STATES) + kind)
         return F.struct(
             x.alias("last"),
             (state["product"] + F.coalesce(state["last"] * x, F.lit(0.0))).alias("product"),
             (state["runs"] + F.when(new_run, 1.0).otherwise(0.0)).alias("runs"),
+            kind.alias("state"),
+            (state["text"] + step + F.get(emissions, place)).alias("text"),
         )
 
     fold = F.aggregate(F.filter(F.split(body, "", -1), lambda c: c != ""), first, add)
@@ -151,13 +208,11 @@ def _p_values(s: Column) -> Column:
     z_runs = (s["fold"]["runs"] - 1 - (n - 1) / 2) / F.sqrt((n - 1) / 4)
     z_serial = s["fold"]["product"] / ((a * a - 1) / 12) / F.sqrt(n - 1)
     half = -F.log(_normal_tail_floor(z_chi)) - F.log(_two_sided(z_runs)) - F.log(_two_sided(z_serial))
-    text_mean = a * (1 + (n - 1) * _PAIRS) - n
-    text_sd = a / n * F.sqrt(4 * n * n * n * (_TRIPLES - _PAIRS * _PAIRS) + 2 * n * n * _PAIRS)
     return F.struct(
         s["start"].alias("start"),
         s["end"].alias("end"),
         (F.exp(-half) * (1 + half + half * half / 2)).alias("p_random"),
-        _normal_tail((text_mean - chi) / text_sd).alias("p_text"),
+        F.exp(F.least(s["fold"]["text"] + n * F.log(a), F.lit(0.0))).alias("p_text"),
     )
 
 

@@ -65,6 +65,35 @@ def test_random_tokens_are_found(docs_of, alphabet, length, least):
     assert share_flagged(docs_of, drawn(alphabet, length)) >= least
 
 
+ENCODINGS = {
+    "upper hex": "0123456789ABCDEF",
+    "base32": string.ascii_uppercase + "234567",
+    "lower alphanumeric": string.ascii_lowercase + string.digits,
+    "alphanumeric": string.ascii_letters + string.digits,
+    "base64": string.ascii_letters + string.digits + "+/",
+}
+
+
+@pytest.mark.parametrize("length", [24, 32, 40, 64])
+@pytest.mark.parametrize("encoding", ENCODINGS)
+def test_random_tokens_of_each_encoding_and_length(docs_of, encoding, length):
+    assert share_flagged(docs_of, drawn(ENCODINGS[encoding], length)) >= 0.9
+
+
+def test_capitals_and_numbers_are_left_alone(docs_of):
+    """Seen through hex and base32: words in capitals, decimal numbers, dates, repeats."""
+    rng = random.Random(8)
+    number = lambda k: "".join(rng.choices(string.digits, k=k))
+    hexes = "FACADE DECADE BEADED FACED ADDED CAFE DEAD BEEF FADED ACCEDED".split()
+    tokens = [f"{number(rng.randrange(18, 40))}{rng.choice('ABCDEF')}{number(6)}" for _ in range(100)]
+    tokens += ["".join(rng.choices(hexes, k=5)) + number(2) for _ in range(100)]
+    tokens += ["_".join(rng.choices(WORDS, k=4)).upper() + "2" for _ in range(100)]
+    tokens += ["".join(rng.choices(WORDS, k=4)).upper() + "2" for _ in range(100)]
+    tokens += [f"IMG_{number(8)}_{number(6)}_{rng.choice(WORDS)}" for _ in range(100)]
+    assert share_flagged(docs_of, tokens) <= 0.01
+    assert share_flagged(docs_of, ["DEADBEEF0" * 5, "A1" * 20, "0123456789ABCDEF" * 3]) == 0
+
+
 def test_ordinary_tokens_are_left_alone(docs_of):
     rng = random.Random(7)
     slugs = ["_".join(rng.choices(WORDS, k=4)) + str(rng.randrange(99)) for _ in range(200)]
