@@ -16,8 +16,9 @@ look as random as the token does: it is the likelihood of the token under a chai
 equally frequent symbols of its own encoding (by Markov's inequality, text gets below p with probability p at most).
 The chain knows that case, digits and separators come in runs, that vowels and consonants take turns, and how
 frequent letters are; words, decimal numbers and names seen through any encoding, also hex, have their price.
-The discoveries of a document are chosen among its tokens by the Benjamini-Hochberg rule on ``p_text`` with rate
-``FALSE_DISCOVERIES``.
+A token is a discovery if ``p_text`` is at most ``FALSE_DISCOVERIES`` shared among ``FAMILY`` tokens. The family is the
+same for every document, so the tokens around a key do not decide whether it is found: among FAMILY tokens of ordinary
+text, wherever they stand, at most FALSE_DISCOVERIES are expected to be added.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ KINDS = ("assign", "access", "hex", "random")
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 RANDOM_P = 0.01
 FALSE_DISCOVERIES = 0.05
+FAMILY = 1_000  # tokens
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _DIGITS = "0123456789"
@@ -256,23 +258,10 @@ def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFr
     )
     rows = rows.select("kept", "base", F.transform("tokens", _statistics).alias("tokens"))
     rows = rows.select("kept", "base", F.transform("tokens", _p_values).alias("tokens"))
-    ranked = F.array_sort(F.transform("tokens", lambda t: t["p_text"]))
-    small = F.filter(
-        F.transform(
-            ranked,
-            lambda p, i: F.when(p <= FALSE_DISCOVERIES * (i + 1) / F.size("tokens"), p),
-        ),
-        lambda p: p.isNotNull(),
-    )
-    rows = rows.select("kept", "base", "tokens", F.array_max(small).alias("bound"))
     added = F.filter(
-        "tokens", lambda t: (t["p_text"] <= F.col("bound")) & (t["p_random"] >= RANDOM_P)
-    )
-    return rows.select(
-        "kept.*",
-        "base",
-        F.when(F.col("bound").isNull(), _spans(F.slice("tokens", 1, 0), 3)).otherwise(_spans(added, 3)).alias("added"),
+        "tokens", lambda t: (t["p_text"] <= FALSE_DISCOVERIES / FAMILY) & (t["p_random"] >= RANDOM_P)
     )
+    return rows.select("kept.*", "base", _spans(added, 3).alias("added"))
 
 
 def written(spans: Column) -> Column:
