@@ -43,6 +43,47 @@ def test_containment_decides():
     assert none == []
 
 
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_no_notice_is_taken_for_another_license(name):
+    rng = random.Random(name)
+    for notice in TEMPLATES[name]:
+        for before in (0, 7, 40):
+            words = prose(rng, before + 40)
+            text = " ".join([*words[:before], notice, *words[before:]])
+            (found,) = notices([text.encode()], KNOWN)
+            assert [n for n, *_ in found] == [name], notice
+
+
+def test_licenses_off_the_shelf_are_no_others():
+    texts = [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 9.0 International License.",
+        "This work is licensed under the GNU General Public License, version 9.",
+        "This work is licensed under the GNU Other General Public License, version 3.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 9.0.",
+        "Licensed under CC BY-XX-SA 4.0.",
+    ]
+    assert notices([t.encode() for t in texts], KNOWN) == [[]] * len(texts)
+
+
+def test_other_wordings_keep_their_version():
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; {} of the License."
+    texts = {
+        "This work is licensed under a Creative Commons Attribution 4.0 License.": "CC-BY-4.0",
+        gpl.format("General Public License", "version 2"): "GPL-2.0",
+        gpl.format("General Public License", "version 3"): "GPL-3.0",
+        gpl.format("Lesser General Public License", "version 2.1"): "LGPL-2.1",
+        gpl.format("Affero General Public License", "either version 3"): "AGPL-3.0",
+    }
+    found = notices([t.encode() for t in texts], KNOWN)
+    assert [[n for n, *_ in f] for f in found] == [[n] for n in texts.values()]
+
+
+def test_two_licenses_side_by_side():
+    text = "Released under the MIT License. Licensed under the Apache License, Version 2.0. Licensed under CC BY 4.0."
+    (found,) = notices([text.encode()], KNOWN)
+    assert [n for n, *_ in found] == ["MIT", "Apache-2.0", "CC-BY-4.0"]
+
+
 def test_repeated_notices():
     text = " ".join(["Released under the MIT License. Some words in between here now ok."] * 30)
     (found,) = notices([text.encode()], KNOWN)
