@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starcart.llm import chat, reputation
+from starcart.llm import chat, collocations, divergence, reputation
 from starcart.llm.byte_bpe import decoded, digests, encoded
 from starcart.llm.decontamination import contaminated
 from starcart.llm.lattice_lm import lattice_scores
@@ -135,6 +135,16 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(given.unionByName(hostile)))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 firmest phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source against the others of its language, and its ten strongest terms."""
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -147,9 +157,13 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_url_filter": op10_url_filter,
     "op11_chat_format": op11_chat_format,
+    "op12_collocations": op12_collocations,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op10_url_filter": reputation.ORACLE_SQL,
     "op11_chat_format": chat.ORACLE_SQL,
+    "op12_collocations": collocations.ORACLE_SQL,
+    "op13_source_divergence": divergence.ORACLE_SQL,
 }

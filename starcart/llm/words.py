@@ -72,6 +72,24 @@ class Stretches:
         return mix((self._sums[end] - self._sums[start]) * self._down[start])
 
 
+def string_hashes(strings: pa.Array) -> np.ndarray:
+    """A hash per entry of a text or binary array without nulls."""
+    strings = strings.cast(pa.binary())
+    n, data = len(strings), strings.buffers()[2]
+    edges = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + n + 1]
+    if data is None or not n:
+        return mix(np.zeros(n, np.uint64))
+    edges = edges.astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]]
+    edges = edges - edges[0]
+    return Stretches(raw).hash(edges[:-1], edges[1:])
+
+
+def spans(first: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """(start, end) of the stretches of ``n`` things that begin at ``first``; none if there is no thing."""
+    return list(zip(first.tolist(), [*first[1:].tolist(), n][: len(first)], strict=True))
+
+
 class Words:
     """The words of several texts at once, parted by the bytes that ``breaks`` marks.
 
