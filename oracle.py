@@ -173,6 +173,32 @@ def _profile_csv() -> str:
     return f"with {SOURCES}\n" + "\nunion all ".join(parts)
 
 
+def _mixed_headers() -> str:
+    """The payments; a third of the files have no column for the installments."""
+    return f"""with {SOURCES}
+select order_id, payment_sequential, payment_type,
+       case when cast(order_id as bigint) % 3 <> 2 then payment_installments end as payment_installments,
+       payment_value
+from src_payments"""
+
+
+def _formats() -> str:
+    """The orders, every fourth without a purchase time."""
+    return f"""with {SOURCES}
+select * replace (case when "index" % 4 <> 3 then order_purchase_timestamp end as order_purchase_timestamp)
+from src_orders"""
+
+
+def _format_profile() -> str:
+    written = ("ISO", "dd/MM/yyyy HH:mm:ss", "yyyy/MM/dd''T''HH:mm:ss")
+    rows = ["(0, cast(null as varchar), 3)", *[f"({i + 1}, '{f}', {i})" for i, f in enumerate(written)]]
+    return f"""with {SOURCES}
+select 'orders' as table_name, 'order_purchase_timestamp' as column_name, cast(position as integer) as position,
+       format, (select count(*) from src_orders where "index" % 4 = way and order_purchase_timestamp is not null
+                or "index" % 4 = way and way = 3) as cell_count
+from (values {", ".join(rows)}) t(position, format, way)"""
+
+
 def _row_counts() -> str:
     parts = [
         f"select '{name}' as table_name, count(*) as row_count from {name}" for name in STAR_NAMES
@@ -370,6 +396,9 @@ def all_sql() -> dict[str, str]:
     wide = {"first": "date '1990-01-01'", "last": "date '2030-01-01'"}
     return {
         "scan_csv": f"with {SOURCES}\nselect * from src_orders",
+        "scan_csv_mixed_headers": _mixed_headers(),
+        "scan_csv_formats": _formats(),
+        "source_format_profile": _format_profile(),
         "source_profile": _profile(),
         "source_profile_csv": _profile_csv(),
         "sink_csv_roundtrip": _over_star("select * from order_items_fact"),

@@ -6,7 +6,8 @@
     spark-submit starcart/plans/jobs.py reports --jdbc-url URL --jdbc-properties FILE --output DIR
 
 ``--option KEY=VALUE`` goes to the CSV reader, ``--pattern COLUMN=FORMAT`` tells how a column writes dates
-or times, ``--input-bytes`` and ``--cores`` size the session, ``--s3a FILE`` (JSON: endpoint, access_key,
+or times (given again for the same column: a further format, tried after the earlier ones; ``ISO`` is ISO text),
+``--hash TABLE=SQL`` reads a table of the database over several connections, ``--input-bytes`` and ``--cores`` size the session, ``--s3a FILE`` (JSON: endpoint, access_key,
 secret_key, ...) connects an object store.
 """
 
@@ -28,7 +29,7 @@ from starcart.operators import reports
 from starcart.plans.refresh import read_star, refresh_star, register_views
 from starcart.plans.session import prepare, s3a_settings, sized_settings
 from starcart.sources.files import read_raw, typed_sources
-from starcart.sources.profile import source_profile
+from starcart.sources.profile import format_profile, source_profile
 from starcart.sources.stores import FileStore, JdbcStore
 
 
@@ -50,18 +51,29 @@ def _pairs(given: list[str] | None) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in given or [])
 
 
+def _patterns(given: list[str] | None) -> dict[str, list[str]]:
+    """``COLUMN=FORMAT`` arguments, the formats of a column in their order."""
+    found: dict[str, list[str]] = {}
+    for column, pattern in (pair.split("=", 1) for pair in given or []):
+        found.setdefault(column, []).append(pattern)
+    return found
+
+
 def _store(args: argparse.Namespace, path: str | None) -> FileStore | JdbcStore:
     if args.jdbc_url:
         properties = json.loads(Path(args.jdbc_properties).read_text())
-        return JdbcStore(args.jdbc_url, properties, args.connections)
+        hashes = _pairs(getattr(args, "hash", None))
+        return JdbcStore(args.jdbc_url, properties, args.connections, hashes=hashes)
     return FileStore(path, args.format, getattr(args, "files", None))
 
 
 def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
-    patterns = _pairs(args.pattern)
+    patterns = _patterns(args.pattern)
     raw = read_raw(spark, args.source, args.source_format, **_pairs(args.option))
     if args.profile:
         source_profile(raw, patterns).show(1000, truncate=False)
+        if patterns:
+            format_profile(raw, patterns).show(1000, truncate=False)
     hot = args.hot or (ADAPTIVE if args.source_format == "csv" else MEASURE)
     refresh_star(
         spark,
@@ -110,6 +122,7 @@ def _arguments() -> argparse.ArgumentParser:
     source.add_argument("--star")
     report.add_argument("--output", help="store whole reports here as Parquet")
     report.add_argument("--rows", type=int, default=20, help="printed without --output")
+    report.add_argument("--hash", action="append", metavar="TABLE=SQL")
     report.set_defaults(run=_reports)
 
     for command, place in ((etl, target), (report, source)):

@@ -7,12 +7,43 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from starcart.functions.parsing import parsed, rounded, unparsed
+from starcart.functions.parsing import Formats, format_counts, formats_of, literal, parsed, rounded, unparsed
 from starcart.schemas import SOURCE_TABLES
 
 
+def format_profile(raw: Mapping[str, DataFrame], patterns: Mapping[str, Formats]) -> DataFrame:
+    """How many cells each format of a column was the first to fit, from one scan per table.
+
+    One row per format of the text columns that ``patterns`` names, in the order they are tried, and one
+    with ``position`` 0 and no format for the cells that fit none.
+    """
+    parts = []
+    for name, columns in SOURCE_TABLES.items():
+        have = dict(raw[name].dtypes) if name in raw else {}
+        totals, cells = [], []
+        for column, pattern in patterns.items():
+            if column not in columns or have.get(column) != "string":
+                continue
+            want, formats = columns[column], formats_of(pattern)
+            counts = [unparsed(column, "string", want, pattern), *format_counts(column, "string", want, pattern)]
+            for position, (label, count) in enumerate(zip([None, *formats], counts, strict=True)):
+                place = f"n{len(totals)}"
+                totals.append(f"count_if({count}) as {place}")
+                text = literal(label) if label else "cast(null as string)"
+                cells.append(
+                    f"named_struct('column_name', '{column}', 'position', {position}, "
+                    f"'format', {text}, 'cell_count', {place})"
+                )
+        if totals:
+            found = raw[name].selectExpr(*totals)
+            parts.append(found.selectExpr(f"'{name}' as table_name", f"inline(array({', '.join(cells)}))"))
+    if not parts:
+        raise ValueError("no text column of the given tables has a format")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def source_profile(
-    raw: Mapping[str, DataFrame], patterns: Mapping[str, str] | None = None
+    raw: Mapping[str, DataFrame], patterns: Mapping[str, Formats] | None = None
 ) -> DataFrame:
     """One row per column of the given source tables, from one scan and one global aggregate per table.
 

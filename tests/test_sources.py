@@ -16,8 +16,8 @@ from starcart.plans import session
 from starcart.plans.jobs import all_reports, main
 from starcart.plans.refresh import build_star, read_star, refresh_star, write_star
 from starcart.schemas import SOURCE_TABLES, STAR_TABLES
-from starcart.sources.files import load_sources, read_csv, read_raw, typed_sources
-from starcart.sources.profile import source_profile
+from starcart.sources.files import csv_layout, load_sources, read_csv, read_raw, typed_sources
+from starcart.sources.profile import format_profile, source_profile
 from starcart.sources.stores import FileStore, JdbcStore
 
 
@@ -333,6 +333,31 @@ def test_scratch_folder_lies_in_the_shared_one(tmp_path):
     assert session.scratch_root(shared).startswith("hdfs://store/warehouse/starcart-")
 
 
+def test_command_line_reads_a_database_in_parts(monkeypatch, spark, tmp_path):
+    calls = {}
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        calls[table] = predicates
+        nothing = ", ".join(f"cast(null as {t}) as `{c}`" for c, t in STAR_TABLES[table].items())
+        return spark.sql(f"select {nothing} where false")
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    _write(tmp_path / "db.json", '{"user": "u"}')
+    given = ["--jdbc-url", "jdbc:x", "--jdbc-properties", str(tmp_path / "db.json"), "--connections", "3"]
+    hashes = ["--hash", "orders_dim=hashtext(order_id)", "--hash", "order_items_fact=ascii(a) + b = 1"]
+    main(["reports", *given, *hashes, "--output", str(tmp_path / "out")])
+    assert len(calls["orders_dim"]) == len(calls["order_items_fact"]) == 3
+    assert "ascii(a) + b = 1" in calls["order_items_fact"][0] and calls["payments_dim"] is None
+
+
+def test_command_line_takes_several_formats_of_a_column(spark, csv_root, tmp_path, capsys):
+    given = ["--pattern", "shipping_limit_date=dd.MM.yyyy", "--pattern", "shipping_limit_date=ISO"]
+    main(["etl", "--source", csv_root, "--target", str(tmp_path / "star"), "--profile", *given])
+    assert "dd.MM.yyyy" in capsys.readouterr().out
+    fact = read_star(spark, FileStore(str(tmp_path / "star")))["order_items_fact"]
+    assert fact.where("shipping_limit_date is null").count() == 0
+
+
 def test_command_line_checks_its_arguments(csv_root, tmp_path):
     with pytest.raises(SystemExit):
         main(["etl", "--source", csv_root, "--jdbc-url", "jdbc:x"])
@@ -387,3 +412,97 @@ def test_audits_report_broken_keys(star_of):
     assert edges["products_dim.product_category_name"] == (1, 0, 1, 1)
     counts = dict(values(audits.star_row_counts(star)))
     assert counts["orders_dim"] == 3 and counts["location_dim"] == 0
+
+
+# -- headers that differ from file to file -----------------------------------------
+
+
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "odd name%20[1]"
+    folder.mkdir()
+    _write(folder / "1.csv", "a,b\n1,2\n")
+    _write(folder / "2.csv", "b,a\n20,10\n")
+    _write(folder / "3 x%2F.csv", "\n﻿b,a\r\n200,100\r\n")
+    _write(folder / "4.csv", "a,c\n1000,3000\n")
+    _write(folder / "empty.csv", "")
+    path = str(folder).replace("[", "\\[").replace("]", "\\]")
+    df = read_csv(spark, path)
+    assert df.columns == ["b", "a", "c"]
+    assert sorted((r.a, r.b, r.c) for r in df.collect()) == [
+        ("1", "2", None), ("10", "20", None), ("100", "200", None), ("1000", None, "3000"),
+    ]
+    layout = csv_layout(spark, path, {"a": "string", "b": "string"}).collect()
+    assert [tuple(r) for r in layout] == [
+        (["b", "a"], 2, [], []), (["a", "b"], 1, [], []), (["a", "c"], 1, ["b"], ["c"]),
+    ]
+
+
+def test_files_with_one_header_are_one_scan(spark, tmp_path):
+    df = spark.range(5000).selectExpr("cast(id as string) a", "repeat('x', 200) b")
+    df.repartition(4).write.option("header", True).csv(str(tmp_path / "t"))
+    back = read_csv(spark, str(tmp_path / "t"))
+    assert back.count() == 5000
+    assert back._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_an_empty_directory_of_headers_and_comments(spark, tmp_path):
+    _write(tmp_path / "a.csv", "# made by hand\nx,y\n")
+    _write(tmp_path / "b.csv", "# made by hand\ny,x\n1,2\n")
+    assert values(read_csv(spark, str(tmp_path), comment="#").select("x", "y")) == [("2", "1")]
+
+
+# -- dates and times in several formats --------------------------------------------
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Europe/Berlin"])
+def test_local_times_do_not_depend_on_the_zone(spark, zone):
+    texts = ["2018-11-04 00:30:00", "2018-02-17 23:30:00", "2018-03-25 02:30:00", "2018-10-28 02:30:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for pattern in (None, "yyyy-MM-dd HH:mm:ss", ["dd.MM.yyyy", "yyyy-MM-dd HH:mm:ss"]):
+            out = typed(df, {"t": "timestamp_ntz"}, {"t": pattern}).collect()
+            assert [str(r.t) for r in out] == texts
+        out = typed(df, {"t": "date"}, {"t": "yyyy-MM-dd HH:mm:ss"}).collect()
+        assert [str(r.t) for r in out] == [t[:10] for t in texts]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_formats_with_quoted_letters_and_offsets(spark):
+    df = spark.sql("select '2018-11-04T00:30:00' as a, '5 o''clock 2019-01-02' as b, '2018-11-04 00:30+02:00' as c")
+    patterns = {"a": "yyyy-MM-dd'T'HH:mm:ss", "b": "H' o''clock 'yyyy-MM-dd", "c": "yyyy-MM-dd HH:mmXXX"}
+    out = typed(df, dict.fromkeys("abc", "timestamp_ntz"), patterns).first()
+    assert [str(x) for x in out] == ["2018-11-04 00:30:00", "2019-01-02 05:00:00", "2018-11-03 22:30:00"]
+
+
+def test_formats_are_tried_in_order_and_counted(raw):
+    times = ["2018-01-02 03:04:05", "01/02/2018", "13/02/2018", "3.2.2018 04-05", "", None, "soon", "2018-05-06"]
+    tables = raw(orders=[{"order_approved_at": t} for t in times])
+    patterns = {"order_approved_at": ["ISO", "MM/dd/yyyy", "dd/MM/yyyy", "d.M.yyyy HH-mm"], "price": "unused"}
+    out = typed_sources(tables, patterns)["orders"].select("order_approved_at")
+    assert [str(r[0]) for r in values(out)] == [
+        "2018-01-02 03:04:05", "2018-01-02 00:00:00", "2018-02-13 00:00:00", "2018-02-03 04:05:00",
+        "None", "None", "None", "2018-05-06 00:00:00",
+    ]
+    found = values(format_profile(tables, {"order_approved_at": patterns["order_approved_at"]}))
+    assert [r[2:] for r in found] == [
+        (0, None, 1), (1, "ISO", 2), (2, "MM/dd/yyyy", 1), (3, "dd/MM/yyyy", 1), (4, "d.M.yyyy HH-mm", 1),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("text", "want", "kept", "rejected", "lost"),
+    [
+        ("40.0000001", "int", None, 1, 0),
+        ("40." + "0" * 25 + "1", "bigint", None, 1, 0),
+        ("40." + "0" * 25, "bigint", 40, 0, 0),
+        ("9223372036854775807", "bigint", 9223372036854775807, 0, 0),
+        ("1." + "0" * 25 + "1", "decimal(18,4)", Decimal("1.0000"), 0, 1),
+    ],
+)
+def test_no_digit_is_lost_unseen(spark, text, want, kept, rejected, lost):
+    df = spark.createDataFrame([(text,)], "x string")
+    counts = [f"count_if({unparsed('x', 'string', want)})", f"count_if({rounded('x', 'string', want)})"]
+    assert tuple(df.selectExpr(*counts).first()) == (rejected, lost)
+    assert typed(df, {"x": want}).first()[0] == kept
