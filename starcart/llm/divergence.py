@@ -9,8 +9,8 @@ order of rows.
    of the term's hash. A term, however common, is one count per task and source.
 2. A shard adds them up and keeps the frequent terms: one columnar row per (language, shard), stored.
 3. Totals per source come from these rows. Every shard gets those of its language and adds up the differences of
-   all pairs of sources over its terms, and its ten strongest terms per source. No pair is a row before it is a sum
-   over all terms of a task.
+   all pairs of sources over its terms, and its ten strongest terms per source. A task gives out one row per source,
+   with its sums for all others; no pair is a row before it is a sum over all terms.
 
 Null texts, languages and sources are empty ones. A row is a document, repeated or not. An empty table has no
 rows; a group without terms takes part with nothing but the smoothing. Shares are exact below 9e15 kept terms
@@ -43,7 +43,8 @@ _SHARD = (
     "lang string, shard int, terms array<string>, sources array<string>, totals array<bigint>, "
     "term_at binary, source_at binary, n binary"
 )
-_FOUND = "part string, lang string, source string, item string, value bigint"
+_FOUND = "lang string, source string, sums binary, item string, value bigint"
+_SUMS = "lang string, source string, sums array<bigint>"
 
 
 def counted(batch: pa.RecordBatch) -> pa.Table:
@@ -253,7 +254,7 @@ def _compared(top: int):
                             zip((-value[first]).tolist(), (start + places[first]).tolist(), strict=True)
                         )
                 found = [
-                    ("term", row["lang"], names[i], row["terms"][place], -value)
+                    (row["lang"], names[i], None, row["terms"][place], -value)
                     for i, all_of in strongest.items()
                     for value, place in sorted(all_of)[:top]
                 ]
@@ -266,21 +267,42 @@ def _compared(top: int):
 
 
 def _pairs(sums: dict[str, tuple[list[str], np.ndarray]]) -> pa.RecordBatch:
-    found = []
-    for lang, (names, matrix) in sums.items():
-        both = matrix + matrix.T
-        for i, own in enumerate(names):
-            found += [("pair", lang, own, other, int(both[i, j])) for j, other in enumerate(names) if i != j]
-    return _rows(found)
+    """A row per source, with its sums for all sources of the language in their order."""
+    return _rows(
+        [
+            (lang, own, both.tobytes(), None, None)
+            for lang, (names, matrix) in sums.items()
+            for own, both in zip(names, matrix + matrix.T, strict=True)
+        ]
+    )
 
 
 def _rows(found: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*found, strict=True)) or [[]] * 5
-    kinds = [pa.string()] * 4 + [pa.int64()]
-    names = ["part", "lang", "source", "item", "value"]
+    kinds = [pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64()]
+    names = ["lang", "source", "sums", "item", "value"]
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of rows that follow one another with the same language and source, added up."""
+    own, total = None, None
+
+    def row() -> pa.RecordBatch:
+        columns = [pa.array([own[0]]), pa.array([own[1]]), pa.array([total.tolist()], pa.list_(pa.int64()))]
+        return pa.record_batch(columns, ["lang", "source", "sums"])
+
+    for batch in batches:
+        for lang, source, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if own != (lang, source):
+                if own is not None:
+                    yield row()
+                own, total = (lang, source), np.zeros(len(sums) // 8, np.int64)
+            total += np.frombuffer(sums, np.int64)
+    if own is not None:
+        yield row()
+
+
 def columnar_shards(documents: DataFrame, shards: int, docs: int = DOCS) -> DataFrame:
     """The kept terms and their counts per source: a row per (language, shard); other columns are left out."""
     parts = partial_counts(documents, shards)
@@ -296,20 +318,24 @@ def divergences(documents: DataFrame, docs: int = DOCS, top: int = TOP) -> DataF
     profile = totals.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("source", "total"))).alias("profile"))
     kept = shards.groupBy("lang").agg(F.sum(F.size("terms")).alias("kept"))
     # a row per shard of each language, so that no language is one key
-    profile = profile.join(kept, "lang").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
-    compared = shards.drop("totals").join(profile, ["lang", "shard"])
+    dealt = profile.join(kept, "lang").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    compared = shards.drop("totals").join(dealt, ["lang", "shard"])
     found = map_batches(
         compared.select("lang", "terms", "sources", "term_at", "source_at", "n", "profile", "kept"),
         _compared(top),
         _FOUND,
     )
     found = stored(found, "differences")
-    pairs = found.where("part = 'pair'").groupBy("part", "lang", "source", "item").agg(F.sum("value").alias("value"))
+    sums = found.where("sums is not null").select("lang", "source", "sums")
+    sums = map_batches(sums.repartition("lang", "source").sortWithinPartitions("lang", "source"), _added, _SUMS)
+    names = profile.select("lang", F.col("profile.source").alias("names"))
+    each = F.explode(F.arrays_zip(F.col("names").alias("item"), F.col("sums").alias("value"))).alias("x")
+    pairs = sums.join(names, "lang").select("lang", "source", each)
+    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "x.item", "x.value").where("item != source")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    terms = found.where("part = 'term'").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    pairs = pairs.withColumn("rank", F.row_number().over(order))
-    columns = ["lang", "source", "part", "item", "value", "rank"]
-    return pairs.select(columns).unionByName(terms.select(columns))
+    rank = F.row_number().over(order).alias("rank")
+    terms = found.where("sums is null").select("lang", "source", F.lit("term").alias("part"), "item", "value", rank)
+    return pairs.select("*", rank).unionByName(terms.where(F.col("rank") <= top))
 
 
 ORACLE_SQL = rf"""
