@@ -38,7 +38,10 @@ _BREAK = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _HELD_ROWS = 500_000  # partial counts that a task merges before it gives them out
 _CELLS = 1 << 20  # cells of a dense (source, term) matrix at a time
 
-_PART = "shard int, lang string, source string, terms binary, n binary, docs binary"
+_PART = (
+    "shard int, langs array<string>, sources array<string>, terms binary, "
+    "group_at binary, term_at binary, n binary, docs binary"
+)
 _SHARD = (
     "lang string, shard int, terms array<string>, sources array<string>, totals array<bigint>, "
     "term_at binary, source_at binary, n binary"
@@ -91,28 +94,68 @@ def _longs(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _packed(table: pa.Table, shards: int) -> pa.RecordBatch:
-    """Rows of ``_PART``: per shard, language and source the terms, parted by zero bytes, and their numbers."""
-    lang, source, term = (table.column(c).combine_chunks() for c in ("lang", "source", "term"))
-    data = term.cast(pa.binary())
-    shard = (string_hashes(data) % np.uint64(shards)).astype(np.int32)
-    codes = [x.dictionary_encode().indices.to_numpy() for x in (lang, source)]
-    order = np.lexsort((*codes[::-1], shard))
-    keys = np.stack([shard[order], codes[0][order], codes[1][order]])
-    first = np.flatnonzero(np.any(np.diff(keys, axis=1, prepend=-1), axis=0))
-    sorted_term = data.take(pa.array(order))
+    """A row of ``_PART`` per shard: its groups, its terms parted by zero bytes, and their counts in columns."""
+    table = table.combine_chunks()
+    term = table.column("term").cast(pa.binary()).combine_chunks().dictionary_encode()
+    names = table.select(["lang", "source"]).group_by(["lang", "source"]).aggregate([])
+    langs, sources = (names.column(c).to_pylist() for c in ("lang", "source"))
+    place = {pair: i for i, pair in enumerate(zip(langs, sources, strict=True))}
+    pairs = zip(table.column("lang").to_pylist(), table.column("source").to_pylist(), strict=True)
+    group = np.fromiter((place[pair] for pair in pairs), np.int64, len(table))
+    code = term.indices.to_numpy()
+    shard = (string_hashes(term.dictionary) % np.uint64(shards)).astype(np.int32)[code]
+    order = np.lexsort((group, code, shard))
+    shard, group, code = shard[order], group[order], code[order]
     n, docs = _longs(table.column("n"))[order], _longs(table.column("docs"))[order]
-    cuts = spans(first, len(order))
-    terms = sorted_term.to_pylist()
-    return pa.record_batch(
-        [
-            pa.array(shard[order[first]], pa.int32()),
-            lang.take(pa.array(order[first])),
-            source.take(pa.array(order[first])),
-            pa.array([b"\0".join(terms[a:b]) for a, b in cuts], pa.binary()),
-            pa.array([n[a:b].tobytes() for a, b in cuts], pa.binary()),
-            pa.array([docs[a:b].tobytes() for a, b in cuts], pa.binary()),
-        ],
-        ["shard", "lang", "source", "terms", "n", "docs"],
+    fresh = np.diff(code, prepend=-1) != 0  # all rows of a term are in one shard
+    terms, at = term.dictionary.take(pa.array(code[fresh])).to_pylist(), np.cumsum(fresh) - 1
+    rows = []
+    for a, b in spans(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard)):
+        own, group_at = np.unique(group[a:b], return_inverse=True)
+        rows.append(
+            {
+                "shard": int(shard[a]),
+                "langs": [langs[i] for i in own],
+                "sources": [sources[i] for i in own],
+                "terms": b"\0".join(terms[at[a] : at[b - 1] + 1]),
+                "group_at": group_at.astype("<i4").tobytes(),
+                "term_at": (at[a:b] - at[a]).astype("<i4").tobytes(),
+                "n": n[a:b].tobytes(),
+                "docs": docs[a:b].tobytes(),
+            }
+        )
+    return pa.RecordBatch.from_pylist(rows, _PART_ARROW)
+
+
+_PART_ARROW = pa.schema(
+    [
+        ("shard", pa.int32()),
+        ("langs", pa.list_(pa.string())),
+        ("sources", pa.list_(pa.string())),
+        ("terms", pa.binary()),
+        *[(c, pa.binary()) for c in ("group_at", "term_at", "n", "docs")],
+    ]
+)
+
+
+def _together(table: pa.Table, column: str, lists: pa.Array) -> pa.Array:
+    """Places in the lists of the rows, as places in all lists one after another."""
+    places = table.column(column).to_pylist()
+    before = np.cumsum(pc.list_value_length(lists).to_numpy()) - pc.list_value_length(lists).to_numpy()
+    sizes = np.array([len(p) // 4 for p in places])
+    return pa.array(np.frombuffer(b"".join(places), "<i4") + np.repeat(before, sizes))
+
+
+def _unpacked(table: pa.Table) -> pa.Table:
+    """``lang, source, term, n, docs`` of the rows of ``_PART``."""
+    terms = pc.split_pattern(pc.cast(table.column("terms"), pa.string()), "\0").combine_chunks()
+    langs, sources = (table.column(c).combine_chunks() for c in ("langs", "sources"))
+    group = _together(table, "group_at", langs)
+    numbers = [pa.array(np.frombuffer(b"".join(table.column(c).to_pylist()), "<i8")) for c in ("n", "docs")]
+    term = terms.flatten().take(_together(table, "term_at", terms))
+    return pa.table(
+        [langs.flatten().take(group), sources.flatten().take(group), term, *numbers],
+        ["lang", "source", "term", "n", "docs"],
     )
 
 
@@ -141,16 +184,7 @@ def _whole_shard(docs: int):
     """The counts of one shard added up, a row per language."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        lists = pc.split_pattern(pc.cast(table.column("terms"), pa.string()), "\0").combine_chunks()
-        at = pc.list_parent_indices(lists)
-        numbers = [
-            pa.array(np.frombuffer(b"".join(table.column(c).to_pylist()), "<i8")) for c in ("n", "docs")
-        ]
-        rows = pa.table(
-            [table.column("lang").take(at), table.column("source").take(at), lists.flatten(), *numbers],
-            ["lang", "source", "term", "n", "docs"],
-        )
-        rows = _merged([rows])
+        rows = _merged([_unpacked(table)])
         spread = rows.group_by(["lang", "term"]).aggregate([("docs", "sum")])
         keep = pc.and_(pc.greater_equal(spread.column("docs_sum"), docs), pc.not_equal(spread.column("term"), ""))
         spread = spread.filter(keep).select(["lang", "term"])
