@@ -344,6 +344,17 @@ select order_id, order_item_id, count(*) as occurrences, any_value(order_item_pr
   any_value(t.payment_value) as payment_value, any_value(lost_lines) as lost_lines
 from joined join totals t using (order_id) group by order_id, order_item_id"""
 
+_CONTROL_ITEM_TEXTS = """
+, listed as (
+  select o.order_id, list(f.order_item_id order by f.order_item_id) as ids
+  from orders_dim o
+  join order_items_fact f on f.order_id = o.order_id
+  join payments_dim p on p.order_id = o.order_id
+  where f.order_item_id is not null group by o.order_id)
+select order_id, piece, cast(len(ids[piece * 3 + 1:piece * 3 + 3]) as bigint) as n_ids,
+  array_to_string(ids[piece * 3 + 1:piece * 3 + 3], ',') as item_ids
+from (select *, unnest(generate_series(0, cast((len(ids) - 1) // 3 as bigint))) as piece from listed)"""
+
 _CONTROL = """
 select o.order_id, coalesce(number_of_items, 0) as number_of_items,
   coalesce(incomplete_lines, 0) as incomplete_lines,
@@ -384,6 +395,7 @@ from orders_dim o left join location_dim l on o.location_id = l.location_id grou
     "report_top_categories_as_written": _CATEGORIES.format(first=_LITERAL_LOOKUP),
     "report_top_categories_new_customers": _CATEGORIES.format(first=_FIRST_ORDERS),
     "report_payment_control_as_written": _CONTROL_AS_WRITTEN,
+    "report_payment_control_item_texts": _CONTROL_ITEM_TEXTS,
     "report_payment_control": _CONTROL,
 }
 

@@ -1,20 +1,21 @@
-"""Joining a big table to a narrow one by a key that may hold a large share of its rows.
+"""Joining a big table to a narrow one by a key that may hold a large share of the rows of either.
 
-The rows of a hot key are dealt into pieces by a hash of the row, and the few looked-up
-rows of that key are repeated once per piece. The piece becomes part of the join key,
-so the big table is still shuffled once, and the pieces spread over all tasks.
-Equal rows get equal pieces: a ``distinct`` that keeps the piece needs no other
-partitioning. No random numbers are used, so a task that is run again deals the same
-rows to the same pieces.
+The rows of a hot key are dealt over a grid of cells. A row of the big table goes to a row of the grid by its
+hash and is repeated for every column, a looked-up row goes to a column by its hash and is repeated for every
+row, so each pair meets in one cell. Where few rows are looked up there is one column, and the big
+table is not repeated. The cell becomes part of the join key, so the big table is still shuffled once, and
+the cells spread over all tasks. Equal rows get equal cells: a ``distinct`` that keeps the cell needs
+no other partitioning. No random numbers are used, so a task that is run again deals the same rows
+to the same cells.
 
 A key is hot if it has more rows than a task's fair share, rows / partitions. No more than
-``partitions`` keys can have that, so their list is short by itself, at every size. It is a
+``partitions`` keys of a table can have that, so their list is short by itself, at every size. It is a
 DataFrame of the same plan: nothing runs while a plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = "_piece"
@@ -23,47 +24,108 @@ PIECE = "_piece"
 #: them to the adaptive skew join, for sources whose second reading costs much (CSV).
 MEASURE, ADAPTIVE = "measure", "adaptive"
 
-# Fixed value: keys that the counting sketch follows per key that can be hot. A count is then
-# right to about a ninth of a fair share.
+# Keys that the counting sketches follow per key that can be hot. A count is then
+# right to about a ninth of a fair share. One sketch follows a million at most; beyond that there are several.
 _FOLLOWED = 32
 _MOST_FOLLOWED = 1_000_000
+# Fixed value: cells per task that the output of a hot key is dealt to, so that tasks come out even.
+_CELLS = 16
+
+
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _counted_keys(df: DataFrame, key: str, partitions: int, kept: int) -> DataFrame:
+    """``rows, item, n``: at least the ``kept`` commonest keys with their counts, and null.
+
+    Counts come from mergeable sketches over the one column, each for the keys of one remainder of their hash.
+    """
+    followed = max(_FOLLOWED * partitions, 1000)
+    sketches = -(-followed // _MOST_FOLLOWED)
+    followed = min(followed, _MOST_FOLLOWED)
+    kind = dict(df.dtypes)[key]
+    entry = f"struct<item: {kind}, count: bigint>"
+    counts = (
+        df.select(F.col(key).alias("key"))
+        .groupBy(F.pmod(F.xxhash64("key"), F.lit(sketches)).alias("sketch"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("key").isNull()).alias("nulls"),
+            F.expr(f"approx_top_k(key, {min(kept, followed)}, {followed})").alias("top"),
+        )
+        .select("rows", "nulls", F.expr(f"cast(top as array<{entry}>)").alias("top"))
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.sum("nulls").alias("nulls"),
+            F.flatten(F.collect_list(F.coalesce("top", F.expr(f"cast(array() as array<{entry}>)")))).alias("top"),
+        )
+    )
+    null_key = F.expr(f"array(named_struct('item', cast(null as {kind}), 'count', nulls))")
+    present = F.filter("top", lambda x: x["item"].isNotNull())
+    return counts.select("rows", F.explode(F.concat(present, null_key)).alias("x")).select(
+        "rows", F.col("x.item").alias("item"), F.col("x.count").alias("n")
+    )
 
 
 def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """``_hot, _pieces``: keys, null included, with more rows than a task's fair share.
 
-    Counts come from one mergeable sketch over the one column; which keys are listed decides
-    only where rows travel. A key with p fair shares gets p pieces, rounded up, and one more.
+    Which keys are listed decides only where rows travel. A key with p fair shares gets p pieces, rounded up,
+    and one more.
     """
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    followed = min(max(_FOLLOWED * partitions, 1000), _MOST_FOLLOWED)
-    kept = min(partitions, followed)
-    counts = df.select(F.col(key).alias("key")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("key").isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(key, {kept}, {followed})").alias("top"),
+    partitions = _partitions(df, partitions)
+    shares = F.try_divide(F.col("n") * partitions, F.col("rows"))
+    return _counted_keys(df, key, partitions, partitions).where(shares > 1).select(
+        F.col("item").alias("_hot"), (F.ceil(shares) + 1).alias("_pieces")
     )
-    kind = dict(df.dtypes)[key]
-    null_key = F.expr(f"array(named_struct('item', cast(null as {kind}), 'count', nulls))")
-    listed = counts.select(
-        "rows",
-        F.explode(
-            F.concat(
-                F.filter(
-                    F.transform(
-                        F.coalesce("top", F.expr(f"cast(array() as array<struct<item: {kind}, count: bigint>>)")),
-                        lambda x: F.struct(x["item"].alias("item"), x["count"].alias("count")),
-                    ),
-                    lambda x: x["item"].isNotNull(),
-                ),
-                null_key,
-            )
-        ).alias("x"),
+
+
+def hot_grid(big: DataFrame, lookup: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``_hot, _pieces, _columns``: keys that are hot in either table, with the rows and columns of their grid.
+
+    A key's joined rows are the product of its counts; one that no sketch follows is taken to have as many as it can
+    have. The key gets cells by its share of all joined rows, and at least as many rows or columns as
+    it has fair shares in a table. Only a key that is hot in ``lookup`` gets more than one column.
+    ``lookup`` may be any table with the same keys; it is only counted.
+    """
+    partitions = _partitions(big, partitions)
+    followed = _FOLLOWED * partitions
+    ours = _counted_keys(big, key, partitions, followed).select(F.col("item").alias("a"), "n", "rows")
+    theirs = _counted_keys(lookup, key, partitions, followed).where("item is not null").select(
+        F.col("item").alias("b"), F.col("n").alias("m"), F.col("rows").alias("others")
     )
-    shares = F.try_divide(F.col("x.count") * partitions, F.col("rows"))
-    return listed.where(shares > 1).select(
-        F.col("x.item").alias("_hot"), (F.ceil(shares) + 1).alias("_pieces")
+    both = ours.join(theirs, F.col("a").eqNullSafe(F.col("b")), "full")
+    sizes = both.agg(F.max("rows").alias("_rows"), F.max("others").alias("_others"))
+    # one row; a product may pass 64 bits
+    both = both.drop("rows", "others").crossJoin(sizes)
+    most_n, most_m = (F.ceil(F.col(c) / followed) for c in ("_rows", "_others"))
+    both = both.select(
+        F.coalesce("a", "b").alias("_hot"),
+        F.coalesce("n", F.least(most_n, F.col("_rows")), F.lit(0)).cast("double").alias("n"),
+        F.coalesce("m", F.when(F.col("a").isNull(), 0), most_m, F.lit(0)).cast("double").alias("m"),
+        (F.coalesce("_rows", F.lit(0)) / partitions).alias("fair_n"),
+        (F.coalesce("_others", F.lit(0)) / partitions).alias("fair_m"),
+        F.coalesce("_rows", F.lit(0)).cast("double").alias("_rows"),
+        F.col("b").isNotNull().alias("seen"),
+    )
+    hot = both.where("n > fair_n or m > fair_m")
+    total = hot.agg(F.sum(F.col("n") * F.col("m")).alias("_joined"))
+    hot = hot.crossJoin(total)
+    cells = F.ceil(F.lit(_CELLS * partitions) * F.try_divide(F.col("n") * F.col("m"), F.col("_rows") + F.col("_joined")))
+    rows = F.when(F.col("n") > F.col("fair_n"), F.ceil(F.col("n") / F.col("fair_n")) + 1).otherwise(1)
+    # only a key that is there for certain: the rows of others would meet nothing in some columns
+    columns = F.when(F.col("seen") & (F.col("m") > F.col("fair_m")), F.ceil(F.col("m") / F.col("fair_m")) + 1).otherwise(1)
+    hot = hot.select("_hot", "n", "m", F.coalesce(cells, F.lit(1)).alias("cells"), rows.alias("r"), columns.alias("c"))
+    # with r rows and c columns the key's rows travel n * c + m * r times
+    even = F.round(F.sqrt(F.col("cells") * F.try_divide(F.col("n"), F.col("m"))))
+    more = F.when(F.col("c") == 1, F.col("cells")).otherwise(F.least(F.col("cells"), F.coalesce(even, F.lit(1.0))))
+    hot = hot.withColumn("r", F.greatest("r", more.cast("bigint")))
+    wide = F.greatest("c", F.ceil(F.col("cells") / F.col("r")))
+    return hot.select(
+        "_hot",
+        F.col("r").cast("bigint").alias("_pieces"),
+        F.when(F.col("c") == 1, 1).otherwise(wide).cast("bigint").alias("_columns"),
     )
 
 
@@ -72,32 +134,72 @@ def split_join(
 ) -> DataFrame:
     """``big`` joined to ``lookup`` (``left`` or ``left_semi``), with hot keys in pieces.
 
-    ``lookup`` should have few rows per key, as they are repeated. ``hot`` is as from ``hot_keys``;
-    with it the result has the additional column ``PIECE``, without it the join is left
+    ``hot`` is as from ``hot_keys``, where ``lookup`` has few rows per key, or, for a left join,
+    from ``hot_grid``; the result then has the additional column ``PIECE``. Without it the join is left
     to Spark.
     """
     if hot is None:
         return big.join(lookup, key, how)
+    if "_columns" in hot.columns:
+        if how != "left":
+            raise ValueError(f"a grid needs a left join, not {how}")
+        return _grid_join(big, lookup, key, hot)
     pieces = F.broadcast(hot)  # at most as many rows as there are partitions
     count = F.coalesce("_pieces", F.lit(1).cast("bigint"))
     dealt = (
         big.join(pieces, F.col(key).eqNullSafe(F.col("_hot")), "left")
-        .withColumn(PIECE, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), count))
+        .withColumn(PIECE, F.pmod(_row_hash(big), count))
         .drop("_hot", "_pieces")
     )
     repeated = (
         lookup.join(pieces, F.col(key) == F.col("_hot"), "left")
-        .withColumn(PIECE, F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+        .withColumn(PIECE, F.explode(_upto(count)))
         .drop("_hot", "_pieces")
     )
     return dealt.join(repeated, [key, PIECE], how)
 
 
-def measured(df: DataFrame, key: str, hot: str) -> DataFrame | None:
-    """The hot keys to deal under the chosen method."""
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _upto(count: Column) -> Column:
+    """0 to ``count - 1``."""
+    return F.sequence(F.lit(0).cast("bigint"), count - 1)
+
+
+def _grid_join(big: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    cells = F.broadcast(hot)  # at most twice as many rows as there are partitions
+    one = F.lit(1).cast("bigint")
+    rows, columns = F.coalesce("_pieces", one), F.coalesce("_columns", one)
+    dealt = (
+        big.join(cells, F.col(key).eqNullSafe(F.col("_hot")), "left")
+        .withColumn("_row", F.pmod(_row_hash(big), rows))
+        .withColumn("_column", F.explode(_upto(columns)))
+        .withColumn(PIECE, F.col("_row") * columns + F.col("_column"))
+        .withColumn("_several", columns > 1)
+        .drop("_hot", "_pieces", "_columns", "_row", "_column")
+    )
+    repeated = (
+        lookup.join(cells, F.col(key) == F.col("_hot"), "left")
+        .withColumn("_column", F.pmod(_row_hash(lookup), columns))
+        .withColumn("_row", F.explode(_upto(rows)))
+        .withColumn(PIECE, F.col("_row") * columns + F.col("_column"))
+        .withColumn("_met", F.lit(True))
+        .drop("_hot", "_pieces", "_columns", "_row", "_column")
+    )
+    joined = dealt.join(repeated, [key, PIECE], "left")
+    # a key with several columns is in the lookup, so its rows meet in some column if not in this one
+    return joined.where(F.col("_met") | ~F.col("_several")).drop("_met", "_several")
+
+
+def measured(df: DataFrame, key: str, hot: str, lookup: DataFrame | None = None) -> DataFrame | None:
+    """The hot keys to deal under the chosen method; with ``lookup`` those of both tables."""
     if hot not in (MEASURE, ADAPTIVE):
         raise ValueError(f"hot is {MEASURE!r} or {ADAPTIVE!r}, not {hot!r}")
-    return hot_keys(df, key) if hot == MEASURE else None
+    if hot == ADAPTIVE:
+        return None
+    return hot_keys(df, key) if lookup is None else hot_grid(df, lookup, key)
 
 
 def distinct_columns(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starcart.functions.counted import counted, matches
 from starcart.functions.hot import MEASURE, measured, split_join
+from starcart.functions.pieces import string_agg
 
 Star = Mapping[str, DataFrame]
 
@@ -225,14 +226,17 @@ def _lost(name: str, amount: Column) -> Column:
     return F.col(name).isNotNull() & amount.isNull()
 
 
-def payment_control_as_written(star: Star, legacy_decimal: bool = True) -> DataFrame:
+def payment_control_as_written(
+    star: Star, legacy_decimal: bool = True, hot: str = MEASURE
+) -> DataFrame:
     """The control query as first written: items joined to payments, per order.
 
     An order with k payments shows k times its item totals, next to its largest payment. A row is one
     item id of an order, with ``occurrences``, the times it comes up among the joined rows, instead of
     one text of all ids; the totals of the order stand on each of its rows. ``lost_lines`` counts the
     joined rows whose price or freight the legacy decimal drops from the sums. Only the totals are
-    multiplied, no joined row is built and nothing is gathered per order.
+    multiplied, no joined row is built and nothing is gathered per order. ``payment_control_item_texts`` gives the
+    text; ``hot`` is how orders with a large share of the lines meet their totals (``functions.hot``).
     """
     price = _amount("price", legacy_decimal)
     freight = _amount("freight_value", legacy_decimal)
@@ -254,9 +258,11 @@ def payment_control_as_written(star: Star, legacy_decimal: bool = True) -> DataF
         .join(orders, "order_id")
         .withColumn("times", F.col("payments") * F.col("copies"))
     )
+    lines = ids.select("order_id", "order_item_id", "n")
+    dealt = measured(star["order_items_fact"], "order_id", hot)
     return (
-        ids.select("order_id", "order_item_id", "n")
-        .join(per_order, "order_id")
+        split_join(lines, per_order, "order_id", dealt)
+        .where("times is not null")
         .select(
             "order_id",
             "order_item_id",
@@ -268,6 +274,17 @@ def payment_control_as_written(star: Star, legacy_decimal: bool = True) -> DataF
     )
 
 
+def payment_control_item_texts(star: Star, per_piece: int = 1000, hot: str = MEASURE) -> DataFrame:
+    """The control query's text of all item ids of an order, ``per_piece`` ids to a row.
+
+    ``piece`` counts from 0 within the order; ``item_ids`` lists ids in ascending order, each as often as it comes
+    up among the joined rows, separated by commas; ``n_ids`` is their number.
+    """
+    ids = payment_control_as_written(star, hot=hot).select("order_id", "order_item_id", "occurrences")
+    texts = string_agg(ids, "order_id", "order_item_id", per_piece, times="occurrences")
+    return texts.select("order_id", "piece", F.col("n_values").alias("n_ids"), F.col("text").alias("item_ids"))
+
+
 def payment_control(star: Star) -> DataFrame:
     """What is due against what was paid, for every order of orders_dim exactly once.
 

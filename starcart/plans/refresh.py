@@ -43,7 +43,7 @@ def build_star(
             sources["orders"],
             sources["customers"],
             separator,
-            measured(sources["orders"], "customer_id", hot),
+            measured(sources["orders"], "customer_id", hot, sources["customers"]),
         )
 
     def calendar() -> DataFrame:
@@ -59,7 +59,7 @@ def build_star(
                 sources["orders"],
                 sources["customers"],
                 separator,
-                measured(sources["orders"], "customer_id", hot),
+                measured(sources["orders"], "customer_id", hot, sources["customers"]),
             ),
             "payments_dim": lambda: tables.payments_dim(sources["payments"]),
             "products_dim": lambda: tables.products_dim(sources["products"]),
@@ -68,7 +68,7 @@ def build_star(
             "order_items_fact": lambda: tables.order_items_fact(
                 sources["order_items"],
                 located_orders(),
-                measured(sources["order_items"], "order_id", hot),
+                measured(sources["order_items"], "order_id", hot, sources["orders"]),
             ),
         }
     )
@@ -111,9 +111,8 @@ def refresh_star(
     write_star({name: star[name] for name in star if name != "order_items_fact"}, store)
     if store.exact:
         locations = store.read(spark, "orders_dim").select("order_id", "location_id").distinct()
-        fact = tables.order_items_fact(
-            sources["order_items"], locations, measured(sources["order_items"], "order_id", hot)
-        )
+        dealt = measured(sources["order_items"], "order_id", hot, store.read(spark, "orders_dim"))
+        fact = tables.order_items_fact(sources["order_items"], locations, dealt)
     else:
         fact = star["order_items_fact"]
     store.write(fact, "order_items_fact")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sizes of scan and shuffle tasks, and the most of each. The driver keeps
 # track of (scan tasks) x (shuffle partitions), so beyond these numbers tasks get
@@ -103,3 +103,13 @@ def scratch_root(spark: SparkSession) -> str:
         if on_cluster and ("://" not in shared or shared.startswith("file:")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/starcart-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to a new folder under ``scratch_root`` and read back.
+
+    Cuts the lineage, and fixes what depends on how rows were dealt, such as a partition's number.
+    """
+    path = f"{scratch_root(df.sparkSession)}/{name}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,78 @@
+"""Texts of groups in pieces, against plain lists."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from starcart.functions import pieces
+from starcart.functions.pieces import string_agg
+
+
+def by_hand(rows, per_piece, separator=","):
+    groups = {}
+    for group, value, n in rows:
+        if value is not None:
+            groups.setdefault(group, []).extend([value] * n)
+    out = set()
+    for group, values in groups.items():
+        values = sorted(values)
+        for k in range(0, len(values), per_piece):
+            some = [str(v) for v in values[k : k + per_piece]]
+            out.add((group, k // per_piece, len(some), separator.join(some)))
+    return out
+
+
+def found(df):
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("listed", [1, 3, 10_000])
+def test_random_groups(spark, monkeypatch, seed, listed):
+    monkeypatch.setattr(pieces, "_LISTED", listed)
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice(["a", "b", None, "", "é"]), rng.choice([None, *range(-5, 40)]), rng.choice([0, 1, 1, 2, 30]))
+        for _ in range(rng.choice([0, 5, 150]))
+    ]
+    df = spark.createDataFrame(rows, "g string, v int, n int").repartition(3)
+    per_piece = rng.choice([1, 2, 7, 1000])
+    assert found(string_agg(df, "g", "v", per_piece, "; ", "n")) == by_hand(rows, per_piece, "; ")
+    once = [(g, v, 1) for g, v, _ in rows]
+    assert found(string_agg(df.drop("n"), "g", "v", per_piece)) == by_hand(once, per_piece)
+
+
+def test_values_of_text(spark):
+    rows = [("g", v, 1) for v in ["b", "a,x", "", "Z", "é", "a"]]
+    df = spark.createDataFrame(rows, "g string, v string, n int")
+    assert found(string_agg(df, "g", "v", 2)) == by_hand(rows, 2)
+
+
+def test_a_group_with_a_third_of_the_rows_is_many_rows_of_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(60_000).selectExpr("if(id % 3 = 0, 'hot', concat('g', id % 5000)) as g", "cast(id as int) as v")
+        out = string_agg(df, "g", "v", 100)
+        hot = out.where("g = 'hot'")
+        assert hot.count() == 200
+        assert hot.select(F.spark_partition_id()).distinct().count() > 8
+        assert out.agg(F.max("n_values")).first()[0] == 100
+        whole = ",".join(r.text for r in hot.orderBy("piece").collect())
+        assert whole == ",".join(str(i) for i in range(0, 60_000, 3))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_one_value_fills_many_pieces(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "_LISTED", 7)
+    df = spark.createDataFrame([("g", 1, 250), ("g", 2, 1)], "g string, v int, n long")
+    assert found(string_agg(df, "g", "v", 10, times="n")) == by_hand([("g", 1, 250), ("g", 2, 1)], 10)
+    with pytest.raises(ValueError):
+        string_agg(df, "g", "v", 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 
 import compare
@@ -11,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import starcart as s
-from starcart.functions.hot import PIECE, hot_keys, split_join
+from starcart.functions import hot
+from starcart.functions.hot import PIECE, distinct_columns, hot_grid, hot_keys, split_join
 from starcart.operators import audits
 from starcart.operators import star as tables
 from starcart.plans.session import RUNTIME_SETTINGS
@@ -110,7 +112,7 @@ def test_payment_control_shuffles_each_table_once(stored, large_tables):
 
 def test_payment_control_as_written_gathers_nothing(stored, large_tables):
     plan = plan_of(s.payment_control_as_written(stored))
-    assert "collect_list" not in plan
+    assert "collect_list(order_item_id" not in plan and "_piece" in plan
     assert re.search(r"hashpartitioning\(order_id#\d+, order_item_id#\d+, \d+\)", plan)
 
 
@@ -329,3 +331,79 @@ def test_hot_key_is_one_row_per_task_before_the_shuffle(spark, hot_sources, spli
 def test_foreign_key_audit_reads_each_stored_table_once(stored, large_tables):
     plan = plan_of(audits.foreign_key_violations(stored))
     assert plan.count("FileScan") == 8
+
+
+# -- keys that are hot on both sides --------------------------------------------------
+
+
+@pytest.fixture
+def sixteen(spark):
+    """Sixteen shuffle partitions as they come, without the run-time merging and splitting of tasks."""
+    given = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in given}
+    for key, value in given.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _tasks(df):
+    return sorted(r[1] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_a_customer_with_many_places_and_a_third_of_the_orders(spark, sixteen):
+    """The joined rows, 3,000 x 4,000 for one key, are dealt evenly; plain pieces would repeat every place."""
+    orders = spark.range(12_000).selectExpr(
+        "cast(id as string) order_id", "if(id % 3 = 0, 'c', concat('x', id)) customer_id"
+    )
+    places = spark.range(3_000).selectExpr("'c' customer_id", "cast(id as string) location_id").unionAll(
+        spark.range(12_000).selectExpr("concat('x', id) customer_id", "'one' location_id")
+    )
+    grid = hot_grid(orders, places, "customer_id")
+    (cell,) = grid.collect()
+    assert cell[0] == "c" and 1 < cell._columns < cell._pieces
+    joined = split_join(orders, places, "customer_id", grid)
+    sizes = _tasks(joined)
+    assert sum(sizes) == 4_000 * 3_000 + 8_000
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[7]
+    # the rows that travel for it stay few: no more than the joined rows of one task
+    assert cell._columns * 4_000 + cell._pieces * 3_000 < sizes[7]
+
+
+def test_a_key_with_many_places_and_few_orders(spark, sixteen):
+    """No task reads all of its places."""
+    orders = spark.range(1_600).selectExpr("cast(id as string) order_id", "concat('x', id) customer_id")
+    places = spark.range(9_000).selectExpr(
+        "if(id % 3 = 0, 'x5', concat('x', id)) customer_id", "cast(id as string) location_id"
+    )
+    (cell,) = hot_grid(orders, places, "customer_id").collect()
+    assert cell[0] == "x5" and cell._columns >= 6
+    assert max(_tasks(split_join(orders, places, "customer_id", hot_grid(orders, places, "customer_id")))) < 900
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_grid_joins_like_a_plain_join(spark, seed):
+    rng = random.Random(seed)
+    keys = ["a", "a", "a", "b", "b", "c", "d", "e", None]
+    left = [(rng.choice(keys), rng.randint(0, 3)) for _ in range(rng.randint(0, 60))]
+    right = [(rng.choice([*keys, "z", "z", "z"]), rng.randint(0, 3)) for _ in range(rng.randint(0, 60))]
+    big = spark.createDataFrame(left, "k string, v int")
+    lookup = spark.createDataFrame(right, "k string, w int")
+    plain = big.join(lookup, "k", "left")
+    made = [(k, r, c) for k, r, c in [("a", 3, 2), ("b", 1, 4), (None, 2, 1)] if k is None or k in {r[0] for r in right}]
+    given = spark.createDataFrame(made, "_hot string, _pieces long, _columns long")
+    for grid in (hot_grid(big, lookup, "k"), given):
+        joined = split_join(big, lookup, "k", grid)
+        assert sorted(map(str, joined.drop(PIECE).collect())) == sorted(map(str, plain.collect()))
+        assert distinct_columns(joined, ["k", "v", "w"]).count() == plain.distinct().count()
+    with pytest.raises(ValueError):
+        split_join(big, lookup, "k", given, "left_semi")
+
+
+def test_more_keys_than_one_sketch_follows(spark, monkeypatch):
+    monkeypatch.setattr(hot, "_MOST_FOLLOWED", 1000)
+    many = spark.range(90_000).selectExpr("if(id % 2 = 0, cast(id % 300 as string), concat('rare', id)) as k")
+    found = {r[0] for r in hot_keys(many, "k", 600).collect()}
+    assert found == {str(k) for k in range(0, 300, 2)}
