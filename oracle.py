@@ -206,6 +206,11 @@ def _row_counts() -> str:
     return f"with {SOURCES},\n{star_ctes()}\n" + "\nunion all ".join(parts)
 
 
+def _published() -> str:
+    """As the version published last, which has first payments only."""
+    return _row_counts().replace("from payments_dim", "from payments_dim where payment_sequential = 1")
+
+
 def _primary_keys() -> str:
     keys = {
         "location_dim": "location_id",
@@ -419,6 +424,7 @@ def all_sql() -> dict[str, str]:
         "load_date_dim": _days(*covering),
         "star_row_counts": _row_counts(),
         "star_refresh": _row_counts(),
+        "star_published_version": _published(),
         "audit_primary_keys": _primary_keys(),
         "audit_foreign_keys": _foreign_keys(),
         **{name: _over_star(body) for name, body in REPORTS.items()},

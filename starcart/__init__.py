@@ -10,14 +10,23 @@ from starcart.operators.reports import (
     top_categories,
     top_products,
 )
-from starcart.plans.refresh import build_star, read_star, refresh_star, register_views, write_star
+from starcart.plans.refresh import (
+    build_star,
+    publish_star,
+    read_star,
+    refresh_star,
+    register_views,
+    write_star,
+)
 from starcart.plans.session import prepare
 from starcart.sources.files import load_sources
 from starcart.sources.stores import FileStore, JdbcStore
+from starcart.sources.versions import VersionedStore
 
 __all__ = [
     "FileStore",
     "JdbcStore",
+    "VersionedStore",
     "build_star",
     "late_delivery_pct",
     "load_sources",
@@ -26,6 +35,7 @@ __all__ = [
     "payment_control",
     "payment_control_as_written",
     "prepare",
+    "publish_star",
     "read_star",
     "refresh_star",
     "register_views",

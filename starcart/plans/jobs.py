@@ -7,6 +7,7 @@
 
 ``--option KEY=VALUE`` goes to the CSV reader, ``--pattern COLUMN=FORMAT`` tells how a column writes dates
 or times (given again for the same column: a further format, tried after the earlier ones; ``ISO`` is ISO text),
+``--versioned`` publishes each load as a version of its own, and reads the latest or ``--version N``;
 ``--hash TABLE=SQL`` reads a table of the database over several connections, ``--input-bytes`` and ``--cores`` size the session, ``--s3a FILE`` (JSON: endpoint, access_key,
 secret_key, ...) connects an object store.
 """
@@ -26,11 +27,12 @@ if __name__ == "__main__":
 
 from starcart.functions.hot import ADAPTIVE, MEASURE
 from starcart.operators import reports
-from starcart.plans.refresh import read_star, refresh_star, register_views
+from starcart.plans.refresh import publish_star, read_star, refresh_star, register_views
 from starcart.plans.session import prepare, s3a_settings, sized_settings
 from starcart.sources.files import read_raw, typed_sources
 from starcart.sources.profile import format_profile, source_profile
 from starcart.sources.stores import FileStore, JdbcStore
+from starcart.sources.versions import VersionedStore
 
 
 def all_reports(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -67,6 +69,13 @@ def _store(args: argparse.Namespace, path: str | None) -> FileStore | JdbcStore:
     return FileStore(path, args.format, getattr(args, "files", None))
 
 
+def _opened(spark: SparkSession, args: argparse.Namespace) -> FileStore | JdbcStore:
+    """Where the reports find the star: the latest version, if it is kept in versions."""
+    if args.versioned and args.star:
+        return VersionedStore(args.star, args.format).at(spark, args.version)
+    return _store(args, args.star)
+
+
 def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
     patterns = _patterns(args.pattern)
     raw = read_raw(spark, args.source, args.source_format, **_pairs(args.option))
@@ -75,19 +84,16 @@ def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
         if patterns:
             format_profile(raw, patterns).show(1000, truncate=False)
     hot = args.hot or (ADAPTIVE if args.source_format == "csv" else MEASURE)
-    refresh_star(
-        spark,
-        typed_sources(raw, patterns),
-        _store(args, args.target),
-        args.date_start,
-        args.date_end,
-        hot=hot,
-        covering=args.covering,
-    )
+    options = {"date_start": args.date_start, "date_end": args.date_end, "hot": hot, "covering": args.covering}
+    sources = typed_sources(raw, patterns)
+    if args.versioned and args.target:
+        publish_star(spark, sources, VersionedStore(args.target, args.format, args.files), **options)
+    else:
+        refresh_star(spark, sources, _store(args, args.target), **options)
 
 
 def _reports(spark: SparkSession, args: argparse.Namespace) -> None:
-    star = read_star(spark, _store(args, args.star))
+    star = read_star(spark, _opened(spark, args))
     register_views(star)
     for title, report in all_reports(star).items():
         if args.output:
@@ -122,6 +128,7 @@ def _arguments() -> argparse.ArgumentParser:
     source.add_argument("--star")
     report.add_argument("--output", help="store whole reports here as Parquet")
     report.add_argument("--rows", type=int, default=20, help="printed without --output")
+    report.add_argument("--version", type=int, help="with --versioned; the latest without it")
     report.add_argument("--hash", action="append", metavar="TABLE=SQL")
     report.set_defaults(run=_reports)
 
@@ -133,6 +140,7 @@ def _arguments() -> argparse.ArgumentParser:
         command.add_argument("--input-bytes", type=int, help="sizes the session, with --cores")
         command.add_argument("--cores", type=int)
         command.add_argument("--s3a", metavar="FILE")
+        command.add_argument("--versioned", action="store_true", help="the star's folder holds versions")
     return parser
 
 

@@ -13,6 +13,7 @@ from starcart.functions.hot import MEASURE, measured
 from starcart.functions.lazy import LazyTables
 from starcart.operators import star as tables
 from starcart.schemas import STAR_TABLES
+from starcart.sources.versions import VersionedStore
 
 
 class Store(Protocol):
@@ -119,6 +120,19 @@ def refresh_star(
     return read_star(spark, store)
 
 
+def publish_star(
+    spark: SparkSession, sources: Mapping[str, DataFrame], versions: VersionedStore, **options
+) -> LazyTables:
+    """``refresh_star`` into a new version that is published when all of it is written.
+
+    Until then, and if anything fails, readers of ``versions.at(spark)`` get the version before.
+    """
+    version = versions.begin()
+    star = refresh_star(spark, sources, version, **options)
+    versions.publish(spark, version)
+    return star
+
+
 def register_views(star: Mapping[str, DataFrame]) -> None:
     """Make every table available to ``spark.sql`` under its own name."""
     for name, df in star.items():

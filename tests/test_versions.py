@@ -1,0 +1,98 @@
+"""Versions of a star appear whole or not at all."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import raw_tables
+from pyspark.sql import functions as F
+
+import starcart as s
+from starcart.plans.jobs import main
+from starcart.sources.files import typed_sources
+from starcart.sources.versions import NotPublished, VersionedStore
+
+
+def sources(spark, n):
+    rows = [{"order_id": f"o{i}", "order_item_id": "1", "product_id": "p"} for i in range(n)]
+    orders = [{"order_id": f"o{i}", "customer_id": "c"} for i in range(n)]
+    return dict(typed_sources(raw_tables(spark, order_items=rows, orders=orders)))
+
+
+def lines(spark, store, number=None):
+    return s.read_star(spark, store.at(spark, number))["order_items_fact"].count()
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_readers_see_the_latest_whole_version(spark, tmp_path, fmt):
+    store = VersionedStore(str(tmp_path), fmt)
+    with pytest.raises(NotPublished):
+        store.at(spark)
+    s.publish_star(spark, sources(spark, 3), store)
+    pinned = s.read_star(spark, store.at(spark))
+    assert lines(spark, store) == 3
+    s.publish_star(spark, sources(spark, 5), store, covering=True)
+    assert (lines(spark, store), lines(spark, store, 1), lines(spark, store, 2)) == (5, 3, 5)
+    # a reader from before goes on with what it opened
+    assert pinned["order_items_fact"].count() == 3 and pinned["orders_dim"].count() == 3
+    numbers = {r.number: r.row_counts["orders_dim"] for r in store.manifests(spark).collect()}
+    assert numbers == {1: 3, 2: 5}
+
+
+def test_a_refresh_that_fails_halfway_leaves_the_old_star(spark, tmp_path):
+    store = VersionedStore(str(tmp_path))
+    s.publish_star(spark, sources(spark, 3), store)
+    broken = sources(spark, 7)
+    broken["order_items"] = broken["order_items"].withColumn(
+        "product_id", F.when(F.col("order_id") == "o4", F.raise_error("disk on fire").cast("string")).otherwise("p")
+    )
+    with pytest.raises(Exception, match="disk on fire"):
+        s.publish_star(spark, broken, store)
+    # the dimensions of the failed one are there, but nobody finds them
+    assert len(os.listdir(tmp_path / "versions")) == 2
+    star = s.read_star(spark, store.at(spark))
+    assert {name: star[name].count() for name in ("orders_dim", "order_items_fact")} == {
+        "orders_dim": 3, "order_items_fact": 3,
+    }
+
+
+def test_a_version_that_lacks_a_table_is_not_published(spark, tmp_path):
+    store = VersionedStore(str(tmp_path))
+    version = store.begin()
+    s.write_star({"date_dim": s.build_star(spark, sources(spark, 1))["date_dim"]}, version)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store.publish(spark, version)
+    with pytest.raises(NotPublished):
+        store.at(spark)
+
+
+def test_one_of_two_that_end_together_has_published(spark, tmp_path, monkeypatch):
+    store = VersionedStore(str(tmp_path))
+    one, two = sorted((store.begin(), store.begin()), key=lambda v: v.root)
+    for n, version in ((2, one), (4, two)):
+        s.refresh_star(spark, sources(spark, n), version)
+    none_yet = store.manifests(spark)
+    real = VersionedStore.manifests
+    store.publish(spark, two)
+    calls = iter([none_yet])
+    # the other one has looked before the first was there
+    monkeypatch.setattr(VersionedStore, "manifests", lambda self, sp: next(calls, None) or real(self, sp))
+    assert store.publish(spark, one) == 1
+    assert lines(spark, store) == 2
+    calls = iter([none_yet])
+    with pytest.raises(NotPublished):
+        store.publish(spark, two)
+
+
+def test_command_line_publishes_and_reads_versions(spark, tmp_path):
+    raw = raw_tables(spark, orders=[{"order_id": "o", "customer_id": "c"}])
+    for name, df in raw.items():
+        df.write.option("header", True).csv(str(tmp_path / "in" / f"{name}.csv"))
+    target = str(tmp_path / "star")
+    for _ in range(2):
+        main(["etl", "--source", str(tmp_path / "in"), "--target", target, "--versioned"])
+    main(["reports", "--star", target, "--versioned", "--output", str(tmp_path / "out")])
+    main(["reports", "--star", target, "--versioned", "--version", "1", "--output", str(tmp_path / "out")])
+    with pytest.raises(NotPublished):
+        main(["reports", "--star", target, "--versioned", "--version", "3"])
