@@ -211,7 +211,8 @@ def _published() -> str:
     return _row_counts().replace("from payments_dim", "from payments_dim where payment_sequential = 1")
 
 
-def _primary_keys() -> str:
+def _primary_keys(tables: str | None = None, prefix: str = "") -> str:
+    tables = tables or f"{SOURCES},\n{star_ctes()}"
     keys = {
         "location_dim": "location_id",
         "customers_dim": "customer_id",
@@ -225,17 +226,19 @@ def _primary_keys() -> str:
     parts = []
     for table, key in keys.items():
         known = " and ".join(f"{c} is not null" for c in key.split(", "))
+        rows = f"{prefix}{table}"
         parts.append(
             f"""select '{table}' as table_name, '{key}' as key_columns,
-  (select count(*) from {table}) as row_count,
-  (select count(*) from {table} where not ({known})) as null_key_rows,
+  (select count(*) from {rows}) as row_count,
+  (select count(*) from {rows} where not ({known})) as null_key_rows,
   count(*) as repeated_keys, cast(coalesce(sum(n - 1), 0) as bigint) as surplus_rows
-from (select {key}, count(*) as n from {table} where {known} group by all having count(*) > 1)"""
+from (select {key}, count(*) as n from {rows} where {known} group by all having count(*) > 1)"""
         )
-    return f"with {SOURCES},\n{star_ctes()}\n" + "\nunion all ".join(parts)
+    return f"with {tables}\n" + "\nunion all ".join(parts)
 
 
-def _foreign_keys() -> str:
+def _foreign_keys(tables: str | None = None, prefix: str = "") -> str:
+    tables = tables or f"{SOURCES},\n{star_ctes()}"
     edges = (
         ("order_items_fact", "order_id", "order_id", "orders_dim", "order_id"),
         ("order_items_fact", "product_id", "product_id", "products_dim", "product_id"),
@@ -260,15 +263,76 @@ def _foreign_keys() -> str:
     )
     parts = []
     for child, column, expression, parent, key in edges:
-        orphan = f"r is not null and not exists (select 1 from {parent} p where p.{key} = r)"
+        orphan = f"r is not null and not exists (select 1 from {prefix}{parent} p where p.{key} = r)"
         parts.append(
             f"""select '{child}.{column}' as child, '{parent}.{key}' as parent,
   count(*) as child_rows, count(*) - count(r) as null_rows,
   count(*) filter (where orphan) as orphan_rows,
   count(distinct r) filter (where orphan) as orphan_keys
-from (select r, {orphan} as orphan from (select {expression} as r from {child}))"""
+from (select r, {orphan} as orphan from (select {expression} as r from {prefix}{child}))"""
         )
-    return f"with {SOURCES},\n{star_ctes()}\n" + "\nunion all ".join(parts)
+    return f"with {tables}\n" + "\nunion all ".join(parts)
+
+
+def _enforced() -> str:
+    """The spoilt star, parents first: ``v_`` tables have a verdict per row, ``a_`` tables the accepted rows."""
+    spoilt = """
+s_customers_dim as (select * from customers_dim where cast(customer_id as bigint) % 50 <> 0),
+s_orders_dim as (
+  select * replace (case when "index" % 40 <> 0 then order_id end as order_id) from orders_dim
+),
+s_order_items_fact as (
+  select * from order_items_fact
+  union all
+  select * replace (cast(price + 1 as decimal(18,4)) as price) from order_items_fact where order_item_id = 1
+  union all select * from order_items_fact where order_item_id = 2
+)"""
+    # table, its key, and (column, its value as a key, parent, key of the parent)
+    checks = (
+        ("location_dim", "location_id", ()),
+        ("category_dim", "category_name", ()),
+        ("date_dim", "ddate", ()),
+        ("customers_dim", "customer_id", (("location_id", "location_id", "location_dim", "location_id"),)),
+        ("products_dim", "product_id",
+         (("product_category_name", "product_category_name", "category_dim", "category_name"),)),
+        ("orders_dim", "order_id",
+         (("customer_id", "customer_id", "customers_dim", "customer_id"),
+          ("order_purchase_timestamp", "cast(order_purchase_timestamp as date)", "date_dim", "ddate"))),
+        ("payments_dim", "order_id, payment_sequential", (("order_id", "order_id", "orders_dim", "order_id"),)),
+        ("order_items_fact", "order_id, order_item_id",
+         (("order_id", "order_id", "orders_dim", "order_id"),
+          ("product_id", "product_id", "products_dim", "product_id"),
+          ("location_id", "location_id", "location_dim", "location_id"))),
+    )
+    changed = ("customers_dim", "orders_dim", "order_items_fact")
+    steps = []
+    for table, key, edges in checks:
+        null = " or ".join(f"{c} is null" for c in key.split(", "))
+        whys = [f"case when {null} then 'null in key' end"] + [
+            f"case when {value} is not null and {value} not in (select {name} from a_{parent} where {name} is not null) "
+            f"then 'no {parent}.{name} for {column}' end"
+            for column, value, parent, name in edges
+        ]
+        rows = f"s_{table}" if table in changed else table
+        steps.append(
+            f"""
+w_{table} as (select *, concat_ws('; ', {", ".join(whys)}) as why from {rows}),
+v_{table} as (
+  select *, case when why <> '' then why
+                 when row_number() over (partition by why, {key}) > 1 then 'repeated key' else 'accepted' end as verdict
+  from w_{table}
+),
+a_{table} as (select * from v_{table} where verdict = 'accepted')"""
+        )
+    return f"{SOURCES},\n{star_ctes("date '1990-01-01'")},{spoilt},{','.join(steps)}"
+
+
+def _enforcement_counts() -> str:
+    parts = [
+        f"select '{name}' as table_name, verdict, count(*) as row_count from v_{name} group by verdict"
+        for name in STAR_NAMES
+    ]
+    return f"with {_enforced()}\n" + "\nunion all ".join(parts)
 
 
 def _over_star(body: str, **calendar: str) -> str:
@@ -425,6 +489,9 @@ def all_sql() -> dict[str, str]:
         "star_row_counts": _row_counts(),
         "star_refresh": _row_counts(),
         "star_published_version": _published(),
+        "enforce_keys": _enforcement_counts(),
+        "enforce_keys_audit_primary": _primary_keys(_enforced(), "a_"),
+        "enforce_keys_audit_foreign": _foreign_keys(_enforced(), "a_"),
         "audit_primary_keys": _primary_keys(),
         "audit_foreign_keys": _foreign_keys(),
         **{name: _over_star(body) for name, body in REPORTS.items()},

@@ -15,7 +15,7 @@ DataFrame of the same plan: nothing runs while a plan is built.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = "_piece"
@@ -37,7 +37,7 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def _counted_keys(df: DataFrame, key: str, partitions: int, kept: int) -> DataFrame:
-    """``rows, item, n``: at least the ``kept`` commonest keys with their counts, and null.
+    """One row ``rows, top``: at least the ``kept`` commonest keys with their counts, and null, as ``item, count``.
 
     Counts come from mergeable sketches over the one column, each for the keys of one remainder of their hash.
     """
@@ -45,27 +45,23 @@ def _counted_keys(df: DataFrame, key: str, partitions: int, kept: int) -> DataFr
     sketches = -(-followed // _MOST_FOLLOWED)
     followed = min(followed, _MOST_FOLLOWED)
     kind = dict(df.dtypes)[key]
-    entry = f"struct<item: {kind}, count: bigint>"
-    counts = (
-        df.select(F.col(key).alias("key"))
-        .groupBy(F.pmod(F.xxhash64("key"), F.lit(sketches)).alias("sketch"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("key").isNull()).alias("nulls"),
-            F.expr(f"approx_top_k(key, {min(kept, followed)}, {followed})").alias("top"),
-        )
-        .select("rows", "nulls", F.expr(f"cast(top as array<{entry}>)").alias("top"))
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.sum("nulls").alias("nulls"),
-            F.flatten(F.collect_list(F.coalesce("top", F.expr(f"cast(array() as array<{entry}>)")))).alias("top"),
-        )
-    )
-    null_key = F.expr(f"array(named_struct('item', cast(null as {kind}), 'count', nulls))")
-    present = F.filter("top", lambda x: x["item"].isNotNull())
-    return counts.select("rows", F.explode(F.concat(present, null_key)).alias("x")).select(
-        "rows", F.col("x.item").alias("item"), F.col("x.count").alias("n")
-    )
+    entries = f"array<struct<item: {kind}, count: bigint>>"
+    keys = df.select(F.col(key).alias("key"))
+    found = [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("key").isNull()).alias("nulls"),
+        F.expr(f"approx_top_k(key, {min(kept, followed)}, {followed})").alias("top"),
+    ]
+    if sketches == 1:
+        counts = keys.agg(*found).withColumn("top", F.expr(f"cast(top as {entries})"))
+    else:
+        remainder = F.pmod(F.xxhash64("key"), F.lit(sketches))
+        counts = keys.groupBy(remainder.alias("sketch")).agg(*found)
+        tops = F.flatten(F.collect_list(F.expr(f"cast(top as {entries})")))
+        counts = counts.agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), tops.alias("top"))
+    present = F.filter(F.coalesce("top", F.expr(f"cast(array() as {entries})")), lambda x: x["item"].isNotNull())
+    null_key = F.expr(f"array(named_struct('item', cast(null as {kind}), 'count', coalesce(nulls, 0)))")
+    return counts.select(F.coalesce("rows", F.lit(0)).alias("rows"), F.concat(present, null_key).alias("top"))
 
 
 def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -75,10 +71,9 @@ def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
     and one more.
     """
     partitions = _partitions(df, partitions)
-    shares = F.try_divide(F.col("n") * partitions, F.col("rows"))
-    return _counted_keys(df, key, partitions, partitions).where(shares > 1).select(
-        F.col("item").alias("_hot"), (F.ceil(shares) + 1).alias("_pieces")
-    )
+    shares = F.try_divide(F.col("x.count") * partitions, F.col("rows"))
+    listed = _counted_keys(df, key, partitions, partitions).select("rows", F.explode("top").alias("x"))
+    return listed.where(shares > 1).select(F.col("x.item").alias("_hot"), (F.ceil(shares) + 1).alias("_pieces"))
 
 
 def hot_grid(big: DataFrame, lookup: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -91,35 +86,43 @@ def hot_grid(big: DataFrame, lookup: DataFrame, key: str, partitions: int | None
     """
     partitions = _partitions(big, partitions)
     followed = _FOLLOWED * partitions
-    ours = _counted_keys(big, key, partitions, followed).select(F.col("item").alias("a"), "n", "rows")
-    theirs = _counted_keys(lookup, key, partitions, followed).where("item is not null").select(
-        F.col("item").alias("b"), F.col("n").alias("m"), F.col("rows").alias("others")
+    kind = dict(big.dtypes)[key]
+    ours = _counted_keys(big, key, partitions, followed)
+    theirs = _counted_keys(lookup.select(F.col(key).cast(kind)), key, partitions, followed)
+    # two tables of one row; all that follows is in one task and about lists bounded by the number of partitions
+    both = ours.crossJoin(theirs.select(F.col("rows").alias("others"), F.col("top").alias("other_top")))
+    lists = F.concat(
+        F.transform("top", lambda x: _entry(x["item"], x["count"], F.lit(None))),
+        F.transform(
+            F.filter("other_top", lambda x: x["item"].isNotNull()), lambda x: _entry(x["item"], F.lit(None), x["count"])
+        ),
     )
-    both = ours.join(theirs, F.col("a").eqNullSafe(F.col("b")), "full")
-    sizes = both.agg(F.max("rows").alias("_rows"), F.max("others").alias("_others"))
-    # one row; a product may pass 64 bits
-    both = both.drop("rows", "others").crossJoin(sizes)
-    most_n, most_m = (F.ceil(F.col(c) / followed) for c in ("_rows", "_others"))
-    both = both.select(
-        F.coalesce("a", "b").alias("_hot"),
-        F.coalesce("n", F.least(most_n, F.col("_rows")), F.lit(0)).cast("double").alias("n"),
-        F.coalesce("m", F.when(F.col("a").isNull(), 0), most_m, F.lit(0)).cast("double").alias("m"),
-        (F.coalesce("_rows", F.lit(0)) / partitions).alias("fair_n"),
-        (F.coalesce("_others", F.lit(0)) / partitions).alias("fair_m"),
-        F.coalesce("_rows", F.lit(0)).cast("double").alias("_rows"),
-        F.col("b").isNotNull().alias("seen"),
+    keys = both.select("rows", "others", F.inline(lists)).groupBy("rows", "others", "item").agg(
+        F.max("n").alias("n"), F.max("m").alias("m")
     )
-    hot = both.where("n > fair_n or m > fair_m")
-    total = hot.agg(F.sum(F.col("n") * F.col("m")).alias("_joined"))
-    hot = hot.crossJoin(total)
-    cells = F.ceil(F.lit(_CELLS * partitions) * F.try_divide(F.col("n") * F.col("m"), F.col("_rows") + F.col("_joined")))
-    rows = F.when(F.col("n") > F.col("fair_n"), F.ceil(F.col("n") / F.col("fair_n")) + 1).otherwise(1)
+    most_n, most_m = (F.ceil(F.col(c) / followed) for c in ("rows", "others"))
+    keys = keys.select(
+        F.col("item").alias("_hot"),
+        F.coalesce("n", most_n).cast("double").alias("n"),
+        F.coalesce("m", F.when(F.col("item").isNull(), 0).otherwise(most_m)).cast("double").alias("m"),
+        (F.col("rows") / partitions).alias("fair_n"),
+        (F.col("others") / partitions).alias("fair_m"),
+        F.col("m").isNotNull().alias("seen"),
+    ).where("n > fair_n or m > fair_m")
+    joined = F.sum(F.col("n") * F.col("m")).over(Window.partitionBy())
+    share = F.try_divide(F.col("n") * F.col("m"), F.col("fair_n") * partitions + joined)
+    rows = F.when(F.col("n") > F.col("fair_n"), F.ceil(F.try_divide("n", "fair_n")) + 1)
     # only a key that is there for certain: the rows of others would meet nothing in some columns
-    columns = F.when(F.col("seen") & (F.col("m") > F.col("fair_m")), F.ceil(F.col("m") / F.col("fair_m")) + 1).otherwise(1)
-    hot = hot.select("_hot", "n", "m", F.coalesce(cells, F.lit(1)).alias("cells"), rows.alias("r"), columns.alias("c"))
+    columns = F.when(F.col("seen") & (F.col("m") > F.col("fair_m")), F.ceil(F.try_divide("m", "fair_m")) + 1)
+    hot = keys.select(
+        "_hot", "n", "m",
+        F.coalesce(F.ceil(F.lit(_CELLS * partitions) * share), F.lit(1)).alias("cells"),
+        F.coalesce(rows, F.lit(1)).alias("r"),
+        F.coalesce(columns, F.lit(1)).alias("c"),
+    )
     # with r rows and c columns the key's rows travel n * c + m * r times
-    even = F.round(F.sqrt(F.col("cells") * F.try_divide(F.col("n"), F.col("m"))))
-    more = F.when(F.col("c") == 1, F.col("cells")).otherwise(F.least(F.col("cells"), F.coalesce(even, F.lit(1.0))))
+    even = F.coalesce(F.round(F.sqrt(F.col("cells") * F.try_divide("n", "m"))), F.lit(1.0))
+    more = F.when(F.col("c") == 1, F.col("cells")).otherwise(F.least(F.col("cells"), even))
     hot = hot.withColumn("r", F.greatest("r", more.cast("bigint")))
     wide = F.greatest("c", F.ceil(F.col("cells") / F.col("r")))
     return hot.select(
@@ -129,6 +132,10 @@ def hot_grid(big: DataFrame, lookup: DataFrame, key: str, partitions: int | None
     )
 
 
+def _entry(item: Column, n: Column, m: Column) -> Column:
+    return F.struct(item.alias("item"), n.cast("bigint").alias("n"), m.cast("bigint").alias("m"))
+
+
 def split_join(
     big: DataFrame, lookup: DataFrame, key: str, hot: DataFrame | None, how: str = "left"
 ) -> DataFrame:

@@ -14,9 +14,14 @@ class LazyTables(Mapping[str, DataFrame]):
     needs two of eight tables does so for those two only.
     """
 
-    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+    def __init__(
+        self,
+        makers: Mapping[str, Callable[[], DataFrame]],
+        counted_from: Mapping[str, Callable[[], DataFrame]] | None = None,
+    ) -> None:
         self._makers = dict(makers)
         self._made: dict[str, DataFrame] = {}
+        self._counted_from = dict(counted_from or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
@@ -31,3 +36,12 @@ class LazyTables(Mapping[str, DataFrame]):
 
     def __len__(self) -> int:
         return len(self._makers)
+
+
+def to_count_keys(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """A table with the same frequent keys as ``name``: the one it is made from where that is known, else itself.
+
+    Counting the keys of a table that is not stored would otherwise make it a second time.
+    """
+    known = getattr(tables, "_counted_from", {})
+    return known[name]() if name in known else tables[name]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starcart.functions.counted import counted, matches
 from starcart.functions.hot import MEASURE, measured, split_join
+from starcart.functions.lazy import to_count_keys
 from starcart.functions.pieces import string_agg
 
 Star = Mapping[str, DataFrame]
@@ -165,6 +166,11 @@ def first_orders(star: Star) -> DataFrame:
     )
 
 
+def _hot_orders(star: Star, hot: str) -> DataFrame | None:
+    """Orders with a large share of the lines."""
+    return measured(to_count_keys(star, "order_items_fact"), "order_id", hot)
+
+
 def _sold_lines(star: Star) -> DataFrame:
     return star["order_items_fact"].select("order_id", "product_id")
 
@@ -187,7 +193,7 @@ def _sold_all(star: Star, hot: str) -> DataFrame:
     )
     lines = _sold_lines(star)
     return (
-        split_join(lines, counted(found, "order_id", weight="m"), "order_id", measured(lines, "order_id", hot))
+        split_join(lines, counted(found, "order_id", weight="m"), "order_id", _hot_orders(star, hot))
         .groupBy("product_id")
         .agg(F.sum(matches("m")).alias("n"))
     )
@@ -196,7 +202,7 @@ def _sold_all(star: Star, hot: str) -> DataFrame:
 def _sold_first(star: Star, hot: str) -> DataFrame:
     """Sales per product among first orders."""
     lines, firsts = _sold_lines(star), first_orders(star).distinct()
-    dealt = measured(lines, "order_id", hot)
+    dealt = _hot_orders(star, hot)
     return counted(split_join(lines, firsts, "order_id", dealt, "left_semi"), "product_id")
 
 
@@ -259,9 +265,8 @@ def payment_control_as_written(
         .withColumn("times", F.col("payments") * F.col("copies"))
     )
     lines = ids.select("order_id", "order_item_id", "n")
-    dealt = measured(star["order_items_fact"], "order_id", hot)
     return (
-        split_join(lines, per_order, "order_id", dealt)
+        split_join(lines, per_order, "order_id", _hot_orders(star, hot))
         .where("times is not null")
         .select(
             "order_id",

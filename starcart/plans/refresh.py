@@ -71,7 +71,8 @@ def build_star(
                 located_orders(),
                 measured(sources["order_items"], "order_id", hot, sources["orders"]),
             ),
-        }
+        },
+        counted_from={"order_items_fact": lambda: sources["order_items"]},
     )
 
 
