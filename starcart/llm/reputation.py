@@ -164,14 +164,26 @@ def judged(pages: DataFrame, labels: DataFrame, limit: float = LIMIT) -> DataFra
     )
 
 
-_LEVEL = """
-  {name}_k as (
-    select 1 / least(greatest(round(coalesce(
-      sum(pow(bad - n * prior, 2.0) - n * prior * (1 - prior))
-        / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0.0), 0.0), 9), 1 / 10001.0), 1 / 2.0) - 1 as k
-    from {name}),
+def _level_sql(name: str) -> str:
+    """Strength and means of one level, with the same grid of correlations as ``strength``."""
+    sums = []
+    for j, r in enumerate(GRID):
+        v = f"(1 + (n - 1) * {r!r})"
+        ratio = "pow(bad - n * prior, 2.0) / (n * prior * (1 - prior))"
+        sums.append(f"round(coalesce(sum({r!r} * (n - 1) * ({ratio} - {v}) / ({v} * {v})) filter (n > 1), 0.0), 6) as at{j}")
+    last = len(GRID) - 1
+    # from the last change of sign back to the first
+    changes = [
+        f"when at{j} > 0 and at{j + 1} <= 0 then {GRID[j]!r} * pow({GRID[j + 1] / GRID[j]!r}, at{j} / (at{j} - at{j + 1}))"
+        for j in reversed(range(last))
+    ]
+    found = f"case when at{last} > 0 then {GRID[last]!r} {' '.join(changes)} else {GRID[0]!r} end"
+    return f"""
+  {name}_at as (select {", ".join(sums)} from {name}),
+  {name}_k as (select 1 / round({found}, 9) - 1 as k from {name}_at),
   {name}_mean as (select t.*, (k * prior + bad) / (k + n) as mean, k from {name} t, {name}_k)"""
 
+
 ORACLE_SQL = f"""
 with read as (
     select page_id,
@@ -204,13 +216,13 @@ with read as (
     select suffix, sum(n) as n, sum(bad) as bad,
       any_value((select (sum(bad) + 1) / (sum(n) + 2) from placed)) as prior
     from placed group by suffix),
-  {_LEVEL.format(name="s")},
+  {_level_sql("s")},
   d as (
     select domain, sum(p.n) as n, sum(p.bad) as bad, any_value(m.mean) as prior
     from placed p join s_mean m using (suffix) group by domain, suffix),
-  {_LEVEL.format(name="d")},
+  {_level_sql("d")},
   h as (select host, p.n, p.bad, m.mean as prior from placed p join d_mean m using (domain)),
-  {_LEVEL.format(name="h")},
+  {_level_sql("h")},
   known as (
     select host, mean - {SURENESS} * sqrt(mean * (1 - mean) * (1 / (k + n + 1)
       + 1 / (select sum(n) + 3 from placed))) as bound from h_mean),

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 import random
 
+import compare
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from starcart.llm.reputation import document_of, domain_of, host_of, judged, path_of, reputations, rule_of, suffix_of
+from starcart.llm.reputation import (
+    ORACLE_SQL,
+    document_of,
+    domain_of,
+    host_of,
+    judged,
+    path_of,
+    reputations,
+    rule_of,
+    suffix_of,
+)
 
 
 @pytest.mark.parametrize(
@@ -97,3 +109,29 @@ def test_odd_rows(spark):
     assert sorted((r.host, r.verdict) for r in rows) == [("", "allow")] * 2 + [("a.com", "allow")] * 3
     assert judged(pages.limit(0), labels).count() == 0
     assert judged(pages, labels.limit(0)).count() == 5
+
+
+@pytest.mark.parametrize("hot", [0, 2_000])
+def test_the_sql_is_the_same_estimate(spark, hot):
+    """Hosts that differ, beside one that holds a third of the pages: verdicts of the query and of its SQL."""
+    rng = random.Random(6)
+    pages, labels, number = [], [], 0
+    hosts = [(f"h{i}.d{i % 7}.com", 20, 1.0 if i % 10 == 0 else 0.04) for i in range(180)]
+    hosts += [(f"s{i}.co.uk", 3, 0.5) for i in range(20)] + [("empty.com", 0, 0.0)]
+    hosts += [("hot.com", hot, 0.1)] if hot else []
+    for host, n, share in hosts:
+        for _ in range(n):
+            pages.append((number, f"http://{host}/x/{number}"))
+            labels.append((number, int(rng.random() >= share), 0))
+            number += 1
+        pages.append((number + 10**6, f"http://{host}/x/y"))
+    pages_df = spark.createDataFrame(pages, "page_id long, url string")
+    labels_df = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    ours = judged(pages_df, labels_df).drop("share").toArrow()
+    db = duckdb.connect()
+    db.register("pages", pages_df.toArrow())
+    db.register("labels", labels_df.toArrow())
+    theirs = db.sql(ORACLE_SQL).to_arrow_table()
+    assert compare.differences(ours, theirs) == []
+    blocked = {r["host"] for r in ours.to_pylist() if r["verdict"] == "block"}
+    assert {f"h{i}.d{i % 7}.com" for i in range(0, 180, 10)} <= blocked and "hot.com" not in blocked
