@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starcart.llm.words import stored
+
 # Rules as (verdict, host, path); a rule is written host + path.
 RULES = (
     ("block", "net", "/"),
@@ -108,7 +110,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     has its domain's share; without any labelled page all have a share of one half.
     """
     hosts = outcomes.withColumn("suffix", suffix_of(F.col("host")))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
+    hosts = stored(hosts.withColumn("domain", domain_of(F.col("host"), F.col("suffix"))), "hosts")
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
@@ -116,9 +118,11 @@ def reputations(outcomes: DataFrame) -> DataFrame:
         ((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior"), (F.sum("n") + 3).alias("pages")
     )
     everything = F.broadcast(everything)  # a single row
-    suffixes = _shrunk(suffixes.join(everything.select("prior"), how="cross"))
+    # each level is asked for its groups and for their strength: stored, it is worked out once
+    suffixes = stored(_shrunk(suffixes.join(everything.select("prior"), how="cross")), "suffixes")
     of_suffix = suffixes.select("suffix", F.col("mean").alias("prior"))
-    of_domain = _shrunk(domains.join(of_suffix, "suffix")).select("domain", F.col("mean").alias("prior"))
+    domains = stored(_shrunk(domains.join(of_suffix, "suffix")), "domains")
+    of_domain = domains.select("domain", F.col("mean").alias("prior"))
     known = _shrunk(hosts.join(of_domain, "domain")).join(everything.select("pages"), how="cross")
     # of the host's share, and of the mean that all shares are shrunk towards in the end
     sd = F.sqrt(
