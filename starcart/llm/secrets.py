@@ -1,6 +1,6 @@
 """Secrets in texts: three fixed patterns, and tokens that pass a battery of randomness tests.
 
-Only Spark expressions: a document's matches are arrays in its row, so there is no shuffle.
+Only Spark expressions: a document's matches are arrays in its row; only counts of tokens are shuffled.
 
 A token is a run of 20 or more base64 characters. Its encoding is inferred from its characters: hex,
 base32, lower-case alphanumeric, alphanumeric, base64; decimal numbers and letters of one case alone are not
@@ -16,16 +16,20 @@ look as random as the token does: it is the likelihood of the token under a chai
 equally frequent symbols of its own encoding (by Markov's inequality, text gets below p with probability p at most).
 The chain knows that case, digits and separators come in runs, that vowels and consonants take turns, and how
 frequent letters are; words, decimal numbers and names seen through any encoding, also hex, have their price.
-A token is a discovery if ``p_text`` is at most ``FALSE_DISCOVERIES`` shared among ``FAMILY`` tokens. The family is the
-same for every document, so the tokens around a key do not decide whether it is found: among FAMILY tokens of ordinary
-text, wherever they stand, at most FALSE_DISCOVERIES are expected to be added.
+
+Which tokens are discoveries is decided for all documents together, by Benjamini and Hochberg's rule for each encoding and
+class of lengths: tokens are counted by quarter decades of ``p_text``, and the limit is the largest one at which
+the number of tokens times the limit is at most ``FALSE_DISCOVERIES`` of those below it. Short tokens, of
+which many look random by chance, thus do not set the limit of long ones, nor words in capitals that
+of hex keys. No limit is above ``MOST_P``, as real texts may hold names that the chain does not know. The count is a
+table of a few thousand rows whatever the corpus; the rows of a table that is empty have no limit to meet.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The patterns; the shortest match, or value of an assignment, that counts.
@@ -39,7 +43,10 @@ KINDS = ("assign", "access", "hex", "random")
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 RANDOM_P = 0.01
 FALSE_DISCOVERIES = 0.05
-FAMILY = 1_000  # tokens
+MOST_P = 1e-3
+LENGTHS = (24, 32, 40, 64, 128)  # classes of lengths begin at 20 and at these
+_DECADE = 4  # classes of p per decade
+_LEAST_P = 75  # decades that are told apart
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _DIGITS = "0123456789"
@@ -151,6 +158,9 @@ def _tested(place: Column) -> Column:
         place["end"].alias("end"),
         url_safe.alias("body"),
         alphabet.alias("alphabet"),
+        F.coalesce(
+            *(F.when(body.rlike(pattern), F.lit(i)) for i, pattern in enumerate(ALPHABETS))
+        ).alias("encoding"),
     )
 
 
@@ -199,6 +209,7 @@ def _statistics(token: Column) -> Column:
         a.alias("a"),
         (a / n * squares - n).alias("chi"),
         fold.alias("fold"),
+        _family(token["encoding"], n).alias("family"),
     )
 
 
@@ -210,14 +221,41 @@ def _p_values(s: Column) -> Column:
     z_runs = (s["fold"]["runs"] - 1 - (n - 1) / 2) / F.sqrt((n - 1) / 4)
     z_serial = s["fold"]["product"] / ((a * a - 1) / 12) / F.sqrt(n - 1)
     half = -F.log(_normal_tail_floor(z_chi)) - F.log(_two_sided(z_runs)) - F.log(_two_sided(z_serial))
+    random = F.exp(-half) * (1 + half + half * half / 2) >= RANDOM_P
+    # of p_text; -1 for a token that is not random
+    decades = -F.least(s["fold"]["text"] + n * F.log(a), F.lit(0.0)) / math.log(10)
+    level = F.floor(F.least(decades, F.lit(float(_LEAST_P))) * _DECADE).cast("int")
     return F.struct(
         s["start"].alias("start"),
         s["end"].alias("end"),
-        (F.exp(-half) * (1 + half + half * half / 2)).alias("p_random"),
-        F.exp(F.least(s["fold"]["text"] + n * F.log(a), F.lit(0.0))).alias("p_text"),
+        s["family"].alias("family"),
+        F.when(random, level).otherwise(-1).alias("level"),
     )
 
 
+def _family(encoding: Column, length: Column) -> Column:
+    """The tokens that are judged together: those of one encoding and class of lengths."""
+    classes = sum(((length >= n).cast("int") for n in LENGTHS), F.lit(0))
+    return encoding * (len(LENGTHS) + 1) + classes
+
+
+def limits(tokens: DataFrame) -> DataFrame:
+    """One row with a map: the least level of a discovery, for each family that has any.
+
+    ``tokens`` has a column of that name as from the tests. Level k holds the p_text from 10 ** -(k / 4) on downwards, which is
+    the limit that is asked for when level k and all above it are discovered.
+    """
+    counts = tokens.select(F.explode("tokens").alias("t")).groupBy("t.family", "t.level").agg(F.count("*").alias("n"))
+    above = Window.partitionBy("family").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy("family")
+    counts = counts.withColumn("found", F.sum("n").over(above)).withColumn("all", F.sum("n").over(every))
+    limit = F.pow(F.lit(10.0), -F.col("level") / _DECADE)
+    kept = counts.where((F.col("level") >= 0) & (limit <= MOST_P))
+    kept = kept.where(F.col("all") * limit <= FALSE_DISCOVERIES * F.col("found"))
+    least = kept.groupBy("family").agg(F.min("level").alias("level"))
+    return least.agg(F.map_from_entries(F.collect_list(F.struct("family", "level"))).alias("limits"))
+
+
 def _normal_tail_floor(z: Column) -> Column:
     return F.greatest(_normal_tail(z), F.lit(1e-300))
 
@@ -227,7 +265,7 @@ def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFr
 
     Spans are characters of the text, end exclusive, kind a place in KINDS; ``base`` holds the matches of the
     three patterns and ``added`` random tokens that lie in none of them, both by start, then kind. A null
-    text counts as empty and has none. Rows are judged one by one: repeated rows are alike.
+    text counts as empty and has none. The texts are read twice, first for the limits; repeated rows are alike.
     """
     names = [f"`{c}`" for c in keep]
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -258,9 +296,8 @@ def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFr
     )
     rows = rows.select("kept", "base", F.transform("tokens", _statistics).alias("tokens"))
     rows = rows.select("kept", "base", F.transform("tokens", _p_values).alias("tokens"))
-    added = F.filter(
-        "tokens", lambda t: (t["p_text"] <= FALSE_DISCOVERIES / FAMILY) & (t["p_random"] >= RANDOM_P)
-    )
+    rows = rows.crossJoin(F.broadcast(limits(rows)))  # a single row
+    added = F.filter("tokens", lambda t: t["level"] >= F.try_element_at("limits", t["family"]))
     return rows.select("kept.*", "base", _spans(added, 3).alias("added"))
 
 
