@@ -483,6 +483,7 @@ def all_sql() -> dict[str, str]:
         "source_profile": _profile(),
         "source_profile_csv": _profile_csv(),
         "sink_csv_roundtrip": _over_star("select * from order_items_fact"),
+        "sink_csv_odd_texts": "select cast(doc_id as varchar) as category_name, text as category_name_english from documents",
         "sink_parquet_roundtrip": _over_star("select * from orders_dim"),
         **{f"load_{name}": _over_star(f"select * from {name}") for name in STAR_NAMES},
         "load_date_dim": _days(*covering),

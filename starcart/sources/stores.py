@@ -29,20 +29,31 @@ EXACT_CSV = {
 _EXACT_FORMATS = ("parquet", "orc")
 
 
-def _writable(df: DataFrame) -> DataFrame:
-    """Rows as they are; one that exact CSV would not give back fails the job with its column's name.
+# How exact CSV writes what would end a record, and the sign of such a way of writing itself.
+# No text reads ``\N`` then, and a file can be read in parts.
+_ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
 
-    That is a text with a line break, which splits a record where files are read in parts, or one that
-    reads like the null marker.
-    """
 
-    def kept(name: str) -> Column:
+def _replaced(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Text columns with one text for another, in the given order."""
+
+    def changed(name: str) -> Column:
         column = F.col(f"`{name}`")
-        lost = column.rlike("[\\r\\n]") | (column == EXACT_CSV["nullValue"])
-        message = F.lit(f"CSV cannot keep a line break or a text \\N: column {name}")
-        return F.when(lost, F.raise_error(message).cast("string")).otherwise(column).alias(name)
+        for old, new in pairs:
+            column = F.replace(column, F.lit(old), F.lit(new))
+        return column.alias(name)
+
+    return df.select(*[changed(n) if kind == "string" else F.col(f"`{n}`") for n, kind in df.dtypes])
+
 
-    return df.select(*[kept(n) if kind == "string" else F.col(f"`{n}`") for n, kind in df.dtypes])
+def _escaped(df: DataFrame) -> DataFrame:
+    """Rows whose texts stay on one line; ``_unescaped`` gives back any text."""
+    return _replaced(df, list(_ESCAPES))
+
+
+def _unescaped(df: DataFrame) -> DataFrame:
+    """Every backslash begins an escape, so the last pair, a plain backslash, can wait for the others."""
+    return _replaced(df, [(new, old) for old, new in reversed(_ESCAPES)])
 
 
 @dataclass(frozen=True)
@@ -53,7 +64,7 @@ class FileStore:
     ``files`` sets the number of files per table at the price of one more shuffle;
     without it every write task leaves one file, and adaptive execution sizes the tasks by
     bytes. ``options`` go to Spark's writer and reader; without them CSV is written as
-    ``EXACT_CSV``, which gives back what was written or fails.
+    ``EXACT_CSV`` with line breaks and backslashes escaped, which gives back what was written.
     """
 
     root: str
@@ -71,7 +82,7 @@ class FileStore:
         options = dict(self._options)
         if self.fmt == "csv":
             options["header"] = "true"
-            df = _writable(df) if self.exact else df
+            df = _escaped(df) if self.exact else df
         df.write.mode("overwrite").format(self.fmt).options(**options).save(self.path(table))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
@@ -80,7 +91,8 @@ class FileStore:
             raw = read_csv(spark, self.path(table), **self._options)
         else:
             raw = spark.read.format(self.fmt).options(**self._options).load(self.path(table))
-        return typed(raw, STAR_TABLES[table])
+        found = typed(raw, STAR_TABLES[table])
+        return _unescaped(found) if self.fmt == "csv" and self.exact else found
 
     @property
     def exact(self) -> bool:
