@@ -199,6 +199,20 @@ select 'orders' as table_name, 'order_purchase_timestamp' as column_name, cast(p
 from (values {", ".join(rows)}) t(position, format, way)"""
 
 
+def _sketches() -> str:
+    """Exact counts; a column is a key candidate if it has no null and as many values as rows, but for 2.5 per cent."""
+    parts = [
+        f"""select '{table}' as table_name, '{column}' as column_name, count(*) as row_count,
+  count(*) - count("{column}") as null_count, true as within_error,
+  count(*) > 0 and count("{column}") = count(*)
+    and count(distinct cast("{column}" as varchar)) >= 0.975 * count(*) as key_candidate
+from src_{table}"""
+        for table in ("customers", "orders", "products")
+        for column in (c.split()[0] for c in SOURCE_COLUMNS[table].split(", "))
+    ]
+    return f"with {SOURCES}\n" + "\nunion all ".join(parts)
+
+
 def _row_counts() -> str:
     parts = [
         f"select '{name}' as table_name, count(*) as row_count from {name}" for name in STAR_NAMES
@@ -480,6 +494,7 @@ def all_sql() -> dict[str, str]:
         "scan_csv_mixed_headers": _mixed_headers(),
         "scan_csv_formats": _formats(),
         "source_format_profile": _format_profile(),
+        "source_sketches": _sketches(),
         "source_profile": _profile(),
         "source_profile_csv": _profile_csv(),
         "sink_csv_roundtrip": _over_star("select * from order_items_fact"),
