@@ -5,8 +5,8 @@ summed per slot; the slots, heaviest first, go to the shard that has least so fa
 a table of versions: a rebalancing adds a version with a few edited rows and moves no other slot. Only the
 slot table, of fixed length, is ever in one place; records never leave the hash order.
 
-Repeated texts have different ids and so lie in different slots: a large group of copies is
-spread over all shards.
+Repeated texts with different ids lie in different slots, and so do rows that are repeated as they are: a large
+group of copies is spread over all shards.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ SLOTS = 4096
 CELLS = 16  # parts of a slot that are numbered apart
 SHARDS = 40
 OVERHEAD = 16
+COPIES = 10_000
 
 
 def record_size(text: Column) -> Column:
@@ -26,13 +27,29 @@ def record_size(text: Column) -> Column:
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``doc_id, size, text_crc32, virtual_slot, cell`` per row. Null texts count as empty."""
+    """``doc_id, size, text_crc32, virtual_slot, cell`` per row. Null texts count as empty.
+
+    Rows that agree in doc_id and text are counted, and the count is dealt out again: the first of them goes where its
+    hash says, each further one where the hash of its number does. So rows repeated over and over are
+    spread over all slots, and no task lists more than ``COPIES`` of them at a time.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots * CELLS))
-    return docs.select(
+    size, crc = record_size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    rows = docs.select("doc_id", size, crc, F.xxhash64("doc_id", "text").alias("_hash"))
+    counted = rows.groupBy("doc_id", "size", "text_crc32", "_hash").agg(F.count("*").alias("_n"))
+    few = counted.where(F.col("_n") <= COPIES).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    many = counted.where(F.col("_n") > COPIES)
+    many = many.withColumn("_part", F.explode(F.expr(f"sequence(0, (_n - 1) div {COPIES})")))
+    many = many.repartition("_hash", "_part").withColumn(
+        "_copy", F.explode(F.expr(f"sequence(_part * {COPIES}, least(_n, (_part + 1) * {COPIES}) - 1)"))
+    )
+    dealt = few.unionByName(many.drop("_part"))
+    own = F.when(F.col("_copy") == 0, F.col("_hash")).otherwise(F.xxhash64("_hash", "_copy"))
+    place = F.pmod(own, F.lit(slots * CELLS))
+    return dealt.select(
         "doc_id",
-        record_size(F.col("text")).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+        "size",
+        "text_crc32",
         F.floor(place / CELLS).cast("int").alias("virtual_slot"),
         (place % CELLS).cast("int").alias("cell"),
     )

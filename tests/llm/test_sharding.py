@@ -9,6 +9,7 @@ from collections import defaultdict
 from llm.conftest import prose
 from pyspark.sql import functions as F
 
+from starcart.llm import sharding
 from starcart.llm.sharding import current, grown, record_size, records, sharded, slot_bytes, slot_map
 
 
@@ -77,6 +78,25 @@ def test_odd_rows(odd_docs, no_docs):
     assert sharded(none, slot_map(slot_bytes(none), 4, 64).drop("version")).count() == 0
 
 
+def test_repeated_rows_keep_the_law(docs_of, monkeypatch):
+    """A third of the rows are one row over and over; rows of a few copies are dealt like those of many."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(prose(rng, rng.choice([20, 60])))) for i in range(6000)]
+    rows += [(-1, "the same row again and again, with some text that weighs something " * 4)] * 3000 + rows[:50]
+    for copies in (10_000, 700):
+        monkeypatch.setattr(sharding, "COPIES", copies)
+        placed = records(docs_of(rows))
+        weights = slot_bytes(placed)
+        out = sharded(placed, slot_map(weights, 8).drop("version")).collect()
+        sizes, places = defaultdict(int), defaultdict(list)
+        for r in out:
+            sizes[r.shard] += r.size
+            places[r.shard].append(r.slot)
+        assert sorted((r.doc_id, r.size) for r in out) == sorted((d, len(t.encode()) + 16) for d, t in rows)
+        assert max(sizes.values()) < 1.05 * min(sizes.values())
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_record_size(docs_of):
     sizes = docs_of([(1, "é"), (2, None)]).select(record_size(F.col("text")).alias("n")).collect()
     assert [r.n for r in sizes] == [18, 16]
