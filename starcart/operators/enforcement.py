@@ -96,7 +96,7 @@ def _split(df: DataFrame, table: str, accepted: Star, hot: str) -> tuple[DataFra
     quarantine = rows.where(F.size("reasons") > 0).unionByName(
         repeated.withColumn("reasons", F.array(F.lit(REPEATED)))
     )
-    return winners.select(*columns), stored(quarantine, f"{table}_quarantine")
+    return winners.select(*columns), quarantine
 
 
 def enforce(star: Star, hot: str = MEASURE) -> Enforced:
