@@ -120,7 +120,8 @@ def test_a_key_is_found_alike_in_short_and_long_texts(docs_of, encoding, length)
     rest = " ".join("_".join(rng.choices(WORDS, k=3)) + "A1" for _ in range(999))
     keys = drawn(ENCODINGS[encoding], length, 20)
     rows = [(i, key) for i, key in enumerate(keys)] + [(100 + i, f"{key} {rest}") for i, key in enumerate(keys)]
-    found = {r.doc_id: [tuple(a) for a in r.added] for r in find_secrets(docs_of(rows)).collect()}
+    docs = docs_of(rows).repartition(16)
+    found = {r.doc_id: [tuple(a) for a in r.added] for r in find_secrets(docs).collect()}
     assert all(found[i] == found[100 + i] for i in range(len(keys)))
     assert sum(found[100 + i] == [(0, 3, length)] for i in range(len(keys))) >= 17
 
@@ -131,7 +132,7 @@ def test_what_is_found_does_not_depend_on_other_keys(docs_of):
     keys = drawn(string.ascii_letters + string.digits, 40, 50)
     mild = ["".join(rng.choices("etaoinshrd" * 3 + string.ascii_lowercase + string.digits, k=24)) + "7" for _ in range(60)]
     rows = [(i, t) for i, t in enumerate(mild)] + [(100 + i, f"{t} {' '.join(keys)}") for i, t in enumerate(mild)]
-    found = {r.doc_id: {a.start for a in r.added} for r in find_secrets(docs_of(rows)).collect()}
+    found = {r.doc_id: {a.start for a in r.added} for r in find_secrets(docs_of(rows).repartition(16)).collect()}
     assert all((0 in found[i]) == (0 in found[100 + i]) for i in range(len(mild)))
 
 
