@@ -47,10 +47,13 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids per document. A null text counts as empty."""
+    """Token ids per document. A null text counts as empty.
+
+    Ids are stored before they are decoded, so that a task never has two Python workers at once.
+    """
     ranks, pattern = rank_file(), public_tokenizers.PATTERN
     found = encoded(docs, ranks, pattern, ("doc_id", "lang", "source", "text")).drop("starts")
-    found = decoded(found, ranks)
+    found = decoded(stored(found, "encoded"), ranks)
     return found.select(
         "doc_id",
         "lang",

@@ -30,9 +30,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starcart.llm.words import map_batches, slices
+from starcart.llm.words import give_back, map_batches, slices
 
-_CACHED = 100_000  # pieces in a generation of a worker's cache, of at most _PIECE characters
+_CACHED = 20_000  # pieces in a generation of a worker's cache, of at most _PIECE characters
 _PIECE = 48
 
 # The characters that \s stands for in the pattern's own dialect.
@@ -258,6 +258,7 @@ def encoded(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ..
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Codec(rank_file, pattern)  # for the task, half a second; not kept in idle workers
+        give_back()  # the lists of merges, as large as the model
         for batch in batches:
             for part in slices(batch):
                 yield piece(part, own)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -100,3 +102,19 @@ def test_digests_of_odd_rows(odd_docs, own, reference):
 def test_empty_table(no_docs):
     ranks = rank_file()
     assert digests(decoded(encoded(no_docs, ranks, PATTERN), ranks)).count() == 0
+
+
+def test_a_worker_remembers_few_pieces():
+    codec = Codec(rank_file(), PATTERN)
+    for i in range(0, 90_000, 3_000):
+        (ids,) = codec.encode([" ".join(f"w{k:x}" for k in range(i, i + 3_000))])
+        assert codec.decode(ids).decode().startswith(f"w{i:x} ")
+    kept = [*codec.known.items(), *codec.known.older.items()]
+    assert sum(sys.getsizeof(x) for pair in kept for x in pair) < 10_000_000
+
+
+def test_the_pipeline_runs_one_python_worker_per_task(spark, docs_of, capsys):
+    found = corpus_pipeline.byte_bpe(spark, docs_of([(1, "a text"), (2, None), (3, "")]), "")
+    found.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    assert {r.doc_id: (r.n_tokens > 0, r.round_trip) for r in found.collect()} == {1: (True, True), 2: (False, True), 3: (False, True)}
