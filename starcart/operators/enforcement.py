@@ -6,8 +6,8 @@ row has its key. Of several sound rows with one key the one with the least hash
 columns), whatever the order of the rows. A null reference is allowed, as in SQL.
 
 Equal rows are counted, not kept apart: the quarantine has ``copies``. Tables may have keys that hold a large share of
-the rows: rows are grouped before they are shuffled, references are looked up as distinct values, and
-only rows of repeated keys are joined to their winner, hot ones in pieces.
+the rows: these are dealt to pieces. Rows travel once, by the key's first column; references are looked up as
+distinct values, and only rows whose key's least row is unsound, or hot, are grouped a second time.
 """
 
 from __future__ import annotations
