@@ -209,6 +209,14 @@ def measured(df: DataFrame, key: str, hot: str, lookup: DataFrame | None = None)
     return hot_keys(df, key) if lookup is None else hot_grid(df, lookup, key)
 
 
+def any_hot(hot: DataFrame | None) -> DataFrame | None:
+    """The hot keys, or nothing where no key is hot, so that the join needs no piece in its key.
+
+    This asks at once, so it is for jobs, not for plans; where keys are hot, the plan counts them again.
+    """
+    return None if hot is None or hot.isEmpty() else hot
+
+
 def distinct_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct rows of ``columns``, in the partitioning the join left behind."""
     piece = [PIECE] if PIECE in df.columns else []

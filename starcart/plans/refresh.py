@@ -9,7 +9,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starcart.functions.hot import MEASURE, measured
+from starcart.functions.hot import ADAPTIVE, MEASURE, any_hot, measured
 from starcart.functions.lazy import LazyTables
 from starcart.operators import star as tables
 from starcart.schemas import STAR_TABLES
@@ -107,14 +107,18 @@ def refresh_star(
 
     Where the store gives back exactly what it got, the fact takes the place of
     each order from the orders_dim just written, and so neither customers nor
-    orders are read and joined a second time.
+    orders are read and joined a second time. Where no order is hot, the pairs of order
+    and place travel once: they are made unique where they meet the lines.
     """
     star = build_star(spark, sources, date_start, date_end, separator, hot, covering)
     write_star({name: star[name] for name in star if name != "order_items_fact"}, store)
     if store.exact:
-        locations = store.read(spark, "orders_dim").select("order_id", "location_id").distinct()
-        dealt = measured(sources["order_items"], "order_id", hot, store.read(spark, "orders_dim"))
-        fact = tables.order_items_fact(sources["order_items"], locations, dealt)
+        places = store.read(spark, "orders_dim").select("order_id", "location_id")
+        dealt = any_hot(measured(sources["order_items"], "order_id", hot, places))
+        # with hot orders, counted or not, pairs are made unique before they travel to the lines
+        if hot != ADAPTIVE and dealt is None:
+            places = places.where("order_id is not null").repartition("order_id")
+        fact = tables.order_items_fact(sources["order_items"], places.distinct(), dealt)
     else:
         fact = star["order_items_fact"]
     store.write(fact, "order_items_fact")

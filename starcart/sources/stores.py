@@ -27,6 +27,7 @@ EXACT_CSV = {
 
 # Formats whose files give back what was written.
 _EXACT_FORMATS = ("parquet", "orc")
+_COMPRESSED = {"compression": "zstd"}
 
 
 # How exact CSV writes what would end a record, and the sign of such a way of writing itself.
@@ -64,7 +65,8 @@ class FileStore:
     ``files`` sets the number of files per table at the price of one more shuffle;
     without it every write task leaves one file, and adaptive execution sizes the tasks by
     bytes. ``options`` go to Spark's writer and reader; without them CSV is written as
-    ``EXACT_CSV`` with line breaks and backslashes escaped, which gives back what was written.
+    ``EXACT_CSV`` with line breaks and backslashes escaped, which gives back what was written,
+    and Parquet and ORC are compressed with zstd.
     """
 
     root: str
@@ -104,7 +106,7 @@ class FileStore:
     @property
     def _options(self) -> Mapping[str, str]:
         if self.options is None:
-            return EXACT_CSV if self.fmt == "csv" else {}
+            return EXACT_CSV if self.fmt == "csv" else _COMPRESSED if self.fmt in _EXACT_FORMATS else {}
         return self.options
 
 

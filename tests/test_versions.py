@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
+from collections import Counter
 
 import pytest
 from conftest import raw_tables
 from pyspark.sql import functions as F
 
 import starcart as s
+from starcart.functions.hot import ADAPTIVE, MEASURE
 from starcart.plans.jobs import main
 from starcart.sources.files import typed_sources
+from starcart.sources.stores import FileStore
 from starcart.sources.versions import NotPublished, VersionedStore
 
 
@@ -96,3 +100,56 @@ def test_command_line_publishes_and_reads_versions(spark, tmp_path):
     main(["reports", "--star", target, "--versioned", "--version", "1", "--output", str(tmp_path / "out")])
     with pytest.raises(NotPublished):
         main(["reports", "--star", target, "--versioned", "--version", "3"])
+
+
+class Seen(FileStore):
+    """A store that keeps the plans of what is written."""
+
+    plans: dict = {}
+
+    def write(self, df, table):
+        self.plans[table] = df._jdf.queryExecution().executedPlan().toString()
+        super().write(df, table)
+
+
+@pytest.fixture
+def large_tables(spark):
+    """Plan as if no table were small enough to broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_lines_and_places_travel_once_where_no_order_is_hot(spark, tmp_path, large_tables):
+    s.refresh_star(spark, sources(spark, 40), Seen(str(tmp_path)))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", Seen.plans["order_items_fact"])
+    assert len(exchanges) == 2 and all(re.fullmatch(r"order_id#\d+, \d+", e) for e in exchanges)
+
+
+@pytest.mark.parametrize("hot", [MEASURE, ADAPTIVE])
+@pytest.mark.parametrize("lines_of_one", [1, 60])
+def test_fact_from_stored_places_is_that_of_the_sources(spark, tmp_path, large_tables, lines_of_one, hot):
+    place = {"customer_state": "S", "customer_zip_code_prefix": "01"}
+    customers = [{"customer_id": f"c{i % 3}", "customer_city": f"city {i}", **place} for i in range(6)]
+    orders = [{"order_id": f"o{i % 20}", "customer_id": f"c{i % 4}", "order_status": str(i % 7)} for i in range(60)]
+    orders += [{"customer_id": "c1", "order_status": str(i)} for i in range(30)]
+    items = [{"order_id": f"o{i % 25}", "order_item_id": str(i % 50)} for i in range(75)] + [{"order_item_id": "1"}] * 2
+    items += [{"order_id": "o1", "order_item_id": str(100 + i)} for i in range(lines_of_one)]
+    given = dict(typed_sources(raw_tables(spark, customers=customers, orders=orders, order_items=items)))
+    wanted = Counter(map(tuple, s.build_star(spark, given, hot=ADAPTIVE)["order_items_fact"].collect()))
+    star = s.refresh_star(spark, given, FileStore(str(tmp_path)), hot=hot)
+    found = Counter(map(tuple, star["order_items_fact"].collect()))
+    # o1 is of c1 alone, who has two places, and lines without an order have none
+    assert found == wanted and max(found.values()) == 1
+    assert sum(r[0] is None for r in found) == 1 and len({r[4] for r in found if r[0] == "o1"}) > 1
+
+
+def test_versions_are_compressed_unless_told_otherwise(spark, tmp_path):
+    def kinds(root):
+        return {f.split(".", 1)[1] for _, _, names in os.walk(root) for f in names if f.startswith("part-") and "json" not in f}
+
+    s.publish_star(spark, sources(spark, 3), VersionedStore(str(tmp_path / "a")))
+    s.publish_star(spark, sources(spark, 3), VersionedStore(str(tmp_path / "b"), options={"compression": "snappy"}))
+    assert kinds(tmp_path / "a") == {"zstd.parquet"} and kinds(tmp_path / "b") == {"snappy.parquet"}
